@@ -184,4 +184,4 @@ def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
                      .otherwise(merge.strip_stash(F.col("native_meta"))))
     return j.select("file_id", "sha1", "route", "content_request", "metadata_request",
                     F.col("search_text").alias("content"), "extracted_properties",
-                    "display", "error_class", "error_ignored")
+                    "native_meta", "display", "error_class", "error_ignored")

@@ -22,7 +22,11 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``native_meta`` is the native handler's formatted metadata as
     ``struct<visible, collapsed>`` (NULL when the handler produced none).
     """
-    d = table(spark, sf_dir, "documents")
+    return files_from(table(spark, sf_dir, "documents"))
+
+
+def files_from(d: DataFrame) -> DataFrame:
+    """:func:`files` over any frame with the ``documents`` columns (batch or stream)."""
     r6 = F.col("doc_id") % 6
     mime = F.element_at(F.array(*[F.lit(m) for m in MIME_BY_RESIDUE]), (r6 + 1).cast("int"))
     has_native = r6.isin(1, 2)
