@@ -140,7 +140,30 @@ def resolve_long(spark: SparkSession, labels: DataFrame, params: DataFrame) -> D
     return hits.select(F.col("root").alias("label"), "param", "value")
 
 
+_RESOLVED_CACHE: dict = {}
+
+
 def resolve_profiles(spark: SparkSession, config: ProfileConfig) -> DataFrame:
+    """Resolved profile table, one row per configured label (cached).
+
+    The table has at most one row per configured label (checked), so it is
+    resolved once, brought to the driver and re-created as a local relation:
+    every plan that joins it gets a broadcast of a few hundred bytes instead
+    of re-running the recursive resolution.
+    """
+    key = (id(spark), tuple(config.labels), tuple(config.params))
+    hit = _RESOLVED_CACHE.get(key)
+    if hit is None:
+        df = _resolve_profiles(spark, config)
+        rows = df.limit(MAX_CONFIG_LABELS + 1).collect()
+        if len(rows) > MAX_CONFIG_LABELS:
+            raise ValueError("profile configuration too large to broadcast")
+        hit = (rows, df.schema)
+        _RESOLVED_CACHE[key] = hit
+    return spark.createDataFrame(hit[0], hit[1])
+
+
+def _resolve_profiles(spark: SparkSession, config: ProfileConfig) -> DataFrame:
     """Resolved profile table, one row per configured label.
 
     Columns: label, status (``complete`` / ``incomplete`` / ``invalid``),

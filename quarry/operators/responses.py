@@ -37,7 +37,7 @@ def parse_responses(df: DataFrame, body: str = "body") -> DataFrame:
         vals = F.coalesce(arr, F.array(F.try_variant_get(x["value"], "$", "string")))
         return F.struct(i.alias("pos"), x["key"].alias("name"), vals.alias("values"), arr.isNotNull().alias("is_list"))
     props = F.transform(F.filter(c, lambda x: x["key"] != meta.CONTENT_KEY), prop)
-    txt = F.element_at(F.filter(c, lambda x: x["key"] == meta.CONTENT_KEY), 1)["value"]
+    txt = F.try_element_at(F.filter(c, lambda x: x["key"] == meta.CONTENT_KEY), F.lit(1))["value"]
     return (df.withColumn("properties", props)
               .withColumn("text", trim_text(F.try_variant_get(txt, "$", "string")))
               .withColumn("parsed_ok", F.col("_m").isNotNull())

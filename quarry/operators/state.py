@@ -24,16 +24,22 @@ def expire(df: DataFrame, success_before: Column, failure_before: Column) -> Dat
     M and good C unknown and clears the stamp; a failure stamp at or before
     its bound turns that failure unknown. NULL bound = never."""
     s_exp = success_before.isNotNull() & F.col("success_ts").isNotNull() & (F.col("success_ts") <= success_before)
-    m_fexp = failure_before.isNotNull() & (F.col("m_state") == "fail") & (F.col("m_fail_ts") <= failure_before)
-    c_fexp = failure_before.isNotNull() & (F.col("c_state") == "fail") & (F.col("c_fail_ts") <= failure_before)
-    m = F.when((s_exp & (F.col("m_state") == "good")) | m_fexp, "unknown").otherwise(F.col("m_state"))
-    c = F.when((s_exp & (F.col("c_state") == "good")) | c_fexp, "unknown").otherwise(F.col("c_state"))
-    changed = s_exp | m_fexp | c_fexp
-    return (df.withColumn("expired", changed)
-              .withColumn("m_fail_ts", F.when(~m_fexp, F.col("m_fail_ts")))
-              .withColumn("c_fail_ts", F.when(~c_fexp, F.col("c_fail_ts")))
-              .withColumn("m_state", m).withColumn("c_state", c)
-              .withColumn("success_ts", F.when(~s_exp, F.col("success_ts"))))
+    m_fexp = F.coalesce(failure_before.isNotNull() & (F.col("m_state") == "fail")
+                        & (F.col("m_fail_ts") <= failure_before), F.lit(False))
+    c_fexp = F.coalesce(failure_before.isNotNull() & (F.col("c_state") == "fail")
+                        & (F.col("c_fail_ts") <= failure_before), F.lit(False))
+    # Flags first: every rewrite below reads the state before expiry.
+    df = df.withColumn("_s_exp", s_exp).withColumn("_m_fexp", m_fexp).withColumn("_c_fexp", c_fexp)
+    s_exp, m_fexp, c_fexp = F.col("_s_exp"), F.col("_m_fexp"), F.col("_c_fexp")
+    return df.select(
+        *[c for c in df.columns if c not in ("m_state", "c_state", "success_ts", "m_fail_ts", "c_fail_ts",
+                                              "_s_exp", "_m_fexp", "_c_fexp", "expired")],
+        F.when((s_exp & (F.col("m_state") == "good")) | m_fexp, "unknown").otherwise(F.col("m_state")).alias("m_state"),
+        F.when((s_exp & (F.col("c_state") == "good")) | c_fexp, "unknown").otherwise(F.col("c_state")).alias("c_state"),
+        F.when(~s_exp, F.col("success_ts")).alias("success_ts"),
+        F.when(~m_fexp, F.col("m_fail_ts")).alias("m_fail_ts"),
+        F.when(~c_fexp, F.col("c_fail_ts")).alias("c_fail_ts"),
+        (s_exp | m_fexp | c_fexp).alias("expired"))
 
 
 def resolved_enough(m_state: Column, c_state: Column, request: Column) -> Column:

@@ -112,9 +112,8 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings) -> D
         t = (todo.groupBy("sha1").agg(F.max("kind_rank").alias("kind_rank"), F.min("rep").alias("rep"))
              .join(content, "rep")
              .withColumn("request_kind", F.when(F.col("kind_rank") == 2, "full").otherwise("metadata")))
-        out = s.extractor(t.withColumn("ts", now)) if s.extractor is not text_extractor \
+        return s.extractor(t.withColumn("ts", now)) if s.extractor is not text_extractor \
             else text_extractor(t, now)
-        return out.checkpoint(eager=True) if s.materialize else out
 
     kind_rank = F.when(F.col("action") == "extract_full", 2).otherwise(1)
     out1 = extract(e.where(F.col("action").startswith("extract")).select("sha1", "rep", kind_rank.alias("kind_rank")))
@@ -129,16 +128,16 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings) -> D
     e = e.withColumn("error_class", F.when(F.col("service_error") & ~state.resolved_enough(
         F.col("m_state"), F.col("c_state"), F.col("request")), F.lit("service_failure")).otherwise(err)) \
          .withColumn("error_part", part)
+    if s.store is not None or s.materialize:
+        # Reliable checkpoint in the shared folder: the extractor runs once,
+        # its output survives lost executors, and lineage is cut here.
+        e = e.checkpoint(eager=True)
     if s.store is not None:
-        v = s.store.commit(e.where(F.col("changed") & F.col("store").isNotNull())
-                           .withColumn("schema_version", F.lit(state.SCHEMA_VERSION)))
-        # Read the committed version back so the extractor never re-runs.
-        fresh = s.store.state().drop("schema_version")
-        keep = ["store", "sha1", "request", "error_class", "error_part"]
-        stored = e.where(F.col("store").isNotNull()).select(*keep).join(fresh, ["store", "sha1"], "left")
-        unstored = e.where(F.col("store").isNull()).select(*keep, *[c for c in ENTRY_COLS if c not in ("store", "sha1", "schema_version")])
-        e = stored.unionByName(unstored)
-        del v
+        changes = e.where(F.col("changed") & F.col("store").isNotNull())
+        if changes.limit(1).count() > 0:
+            s.store.commit(changes.withColumn("schema_version", F.lit(state.SCHEMA_VERSION)))
+        # Contents are kept only while C is good (as stored).
+        e = e.withColumn("text", F.when(F.col("c_state") == "good", F.col("text")))
     return e.select("store", "sha1", "request", "m_state", "c_state", "properties", "text",
                     "error_class", "error_part")
 

@@ -64,8 +64,8 @@ class ResultStore:
         v = self.version()
         if v == 0:
             return self.spark.createDataFrame([], STORE_SCHEMA)
-        return self.spark.read.schema(STORE_SCHEMA.add("shard", T.StringType())) \
-            .parquet(f"{self.root}/v={v}").drop("shard")
+        schema = T.StructType(STORE_SCHEMA.fields + [T.StructField("shard", T.StringType())])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/v={v}").drop("shard")
 
     def commit(self, changes: DataFrame) -> int:
         """Upsert changed entries by (store, sha1) into a new version.
