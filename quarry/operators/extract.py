@@ -53,6 +53,9 @@ def text_extractor(requests: DataFrame, now: Column | None = None) -> DataFrame:
         now.alias("ts"))
 
 
+text_extractor.never_fails = True
+
+
 def html_properties(html: Column) -> Column:
     return F.filter(F.array(
         _prop(0, "Content-Type", F.concat(F.lit("text/html; charset="), F.coalesce(H.charset(html), F.lit("utf-8")))),
@@ -73,6 +76,9 @@ def html_extractor(requests: DataFrame, now: Column | None = None) -> DataFrame:
         F.lit(None).cast("string").alias("message"), now.alias("ts"))
 
 
+html_extractor.never_fails = True
+
+
 def plugin_extractor(fn: Callable[[Iterator], Iterator], retries: int = DEFAULT_RETRIES) -> Callable:
     """Wrap a batch function ``Iterator[pd.DataFrame] -> Iterator[pd.DataFrame]``.
 

@@ -19,6 +19,7 @@ import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.functions import meta
@@ -118,12 +119,16 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings) -> D
     kind_rank = F.when(F.col("action") == "extract_full", 2).otherwise(1)
     out1 = extract(e.where(F.col("action").startswith("extract")).select("sha1", "rep", kind_rank.alias("kind_rank")))
     e = _apply(e, out1)
-    # A full request failed to parse and M is still unknown → metadata-only pass.
-    fb_cond = (F.col("action") == "extract_full") & (F.col("c_state") == "fail") & (F.col("m_state") == "unknown")
-    e = e.withColumn("action", F.when(fb_cond, "extract_metadata_fallback").otherwise(F.col("action")))
-    out2 = extract(e.where(F.col("action") == "extract_metadata_fallback")
-                   .select("sha1", "rep", F.lit(1).alias("kind_rank")))
-    e = _apply(e, out2)
+    if not getattr(s.extractor, "never_fails", False):
+        # A full request failed to parse and M is still unknown → a
+        # metadata-only pass. Entries are persisted first so the first
+        # extraction is not recomputed by the second branch.
+        e = e.persist(StorageLevel.MEMORY_AND_DISK)
+        fb_cond = (F.col("action") == "extract_full") & (F.col("c_state") == "fail") & (F.col("m_state") == "unknown")
+        e = e.withColumn("action", F.when(fb_cond, "extract_metadata_fallback").otherwise(F.col("action")))
+        out2 = extract(e.where(F.col("action") == "extract_metadata_fallback")
+                       .select("sha1", "rep", F.lit(1).alias("kind_rank")))
+        e = _apply(e, out2)
     err, part = read_result(F.col("m_state"), F.col("c_state"), F.col("request"))
     e = e.withColumn("error_class", F.when(F.col("service_error") & ~state.resolved_enough(
         F.col("m_state"), F.col("c_state"), F.col("request")), F.lit("service_failure")).otherwise(err)) \
