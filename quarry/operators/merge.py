@@ -50,10 +50,11 @@ def metadata_text_lines(df: DataFrame, strategy: str, mapped: str, native_meta:
     extracted); ``native_meta``: native formatted metadata (NULL = none)."""
     st = F.col(strategy)
     empty = F.array().cast("array<string>")
-    df = df.withColumn("_nat_lines", F.when(F.col(native_meta).isNotNull() & (st != "only_extracted"),
-                                            _lines_native(F.col(native_meta))).otherwise(empty)) \
-           .withColumn("_ext_lines", F.when(F.col(mapped).isNotNull() & (st != "no_extracted"),
-                                            _lines_extracted(F.col(mapped))).otherwise(empty))
+    df = df.withColumns({
+        "_nat_lines": F.when(F.col(native_meta).isNotNull() & (st != "only_extracted"),
+                             _lines_native(F.col(native_meta))).otherwise(empty),
+        "_ext_lines": F.when(F.col(mapped).isNotNull() & (st != "no_extracted"),
+                             _lines_extracted(F.col(mapped))).otherwise(empty)})
     nat, ext = F.col("_nat_lines"), F.col("_ext_lines")
     lines = (F.when(st == "no_extracted", nat)
              .when(st == "prefer_native", F.when(F.size(nat) > 0, nat).otherwise(ext))
@@ -106,8 +107,8 @@ def metadata_display(df: DataFrame, strategy: str, properties: str, mapped: str,
                      out: str, visible_fields=DEFAULT_VISIBLE_FIELDS) -> DataFrame:
     """M6: F10 → short circuit → map/sort → M7, into column ``out``."""
     st = F.col(strategy)
-    df = df.withColumn("_nat_disp", strip_stash(F.col(native_meta))) \
-           .withColumn("_ext_disp", extracted_display(F.col(properties), F.col(mapped), visible_fields))
+    df = df.withColumns({"_nat_disp": strip_stash(F.col(native_meta)),
+                         "_ext_disp": extracted_display(F.col(properties), F.col(mapped), visible_fields)})
     nat = F.col("_nat_disp")
     short = (st == "no_extracted") | ((st == "prefer_native") & nat.isNotNull())
     df = df.withColumn(out, F.when(short, nat).otherwise(merge_display(st, F.col("_ext_disp"), nat)))

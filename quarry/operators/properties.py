@@ -191,14 +191,23 @@ class RuleSet:
     def lookup(self, name: Column) -> Column:
         """Rule struct ``(action, tag, fmt)`` for a property name."""
         fallback = self.bang or self.star or ("plain", None, None)
-        if self.bang is not None:
-            return self._rule_struct(self.bang) if not self.table else F.coalesce(
-                F.try_element_at(self._map(), name), self._rule_struct(self.bang))
-        return F.coalesce(F.try_element_at(self._map(), name), self._rule_struct(fallback))
-
-    def _map(self) -> Column:
-        return F.create_map(*itertools.chain.from_iterable(
-            (F.lit(n), self._rule_struct(r)) for n, r in self.table.items()))
+        if not self.table:
+            return self._rule_struct(fallback)
+        act, tag, fmt = self._maps()
+        hit = F.try_element_at(act, name)
+        return F.when(hit.isNull(), self._rule_struct(fallback)).otherwise(F.struct(
+            hit.alias("action"), F.try_element_at(tag, name).alias("tag"), F.try_element_at(fmt, name).alias("fmt")))
+
+    def _maps(self):
+        """Three map literals name → action / tag / format tag, built with
+        one array literal each (cheap to build, folded to constants)."""
+        if getattr(self, "_cached_maps", None) is None:
+            names = list(self.table)
+            cols = list(zip(*[self.table[n] for n in names]))
+            keys = F.lit(names)
+            self._cached_maps = tuple(
+                F.map_from_arrays(keys, F.lit(list(c)).cast("array<string>")) for c in cols)
+        return self._cached_maps
 
     def display_name(self, tag: Column) -> Column:
         """Localised label for ``exif-<tag>`` if known, else the tag."""

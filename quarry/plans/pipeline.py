@@ -77,16 +77,19 @@ def _apply(entries: DataFrame, outcomes: DataFrame) -> DataFrame:
         "c_message": F.when(ok & full, F.lit(None)).when(pf & full, F.col("o_message")).otherwise(F.col("c_message")),
         "success_ts": F.when(ok, F.col("o_ts")).otherwise(F.col("success_ts")),
     }
-    for k, v in upd.items():
-        j = j.withColumn(k, v)
-    j = j.withColumn("service_error", F.col("service_error") | (F.col("o_outcome") == "service_failure"))
-    j = j.withColumn("changed", F.col("changed") | F.col("o_outcome").isin("success", "parser_failure"))
+    upd["service_error"] = F.col("service_error") | F.coalesce(F.col("o_outcome") == "service_failure", F.lit(False))
+    upd["changed"] = F.col("changed") | F.coalesce(F.col("o_outcome").isin("success", "parser_failure"), F.lit(False))
+    j = j.withColumns(upd)
     return j.drop("o_sha1", "o_kind", "o_outcome", "o_props", "o_text", "o_message", "o_ts")
 
 
-def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings) -> DataFrame:
+def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
+                     contents: DataFrame | None = None) -> DataFrame:
     """E2 + E3 over all requests of a batch; returns one entry per (store, sha1)
-    with the request it served and its answer (E4)."""
+    with the request it served and its answer (E4).
+
+    ``prepared`` holds the per-file keys; ``contents`` ``(file_id, content)``
+    is read only for the representative file of each hash to extract."""
     now = F.lit(s.now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     reqs = (prepared.where(F.col("request_rank") > 0)
             .groupBy("store", "sha1")
@@ -107,7 +110,7 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings) -> D
     e = state.expire(e, F.col("success_before"), F.col("failure_before"))
     e = e.withColumn("action", state.action(F.col("m_state"), F.col("c_state"), F.col("request"))) \
          .withColumn("service_error", F.lit(False)).withColumn("changed", F.col("expired"))
-    content = prepared.select(F.col("file_id").alias("rep"), "content")
+    content = (contents if contents is not None else prepared).select(F.col("file_id").alias("rep"), "content")
 
     def extract(todo: DataFrame) -> DataFrame:
         t = (todo.groupBy("sha1").agg(F.max("kind_rank").alias("kind_rank"), F.min("rep").alias("rep"))
@@ -154,38 +157,46 @@ def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
     content (search text), extracted_properties (M3 stash, typed),
     display (M6 struct), error_class, error_ignored.
     """
-    p = prepare_files(spark, files, s)
-    entries = store_or_extract(spark, p, s)
+    # Keys once: hashing reads every content byte, so the per-file keys
+    # (without content) are checkpointed and reused by both the request
+    # aggregation and the final join; bytes are read again only for the
+    # representative file of each hash that must be extracted.
+    p = prepare_files(spark, files, s).drop("content").checkpoint(eager=True)
+    entries = store_or_extract(spark, p, s, contents=files.select("file_id", "content"))
     j = p.join(entries.withColumnRenamed("store", "e_store").withColumnRenamed("sha1", "e_sha1"),
                F.col("store").eqNullSafe(F.col("e_store")) & (F.col("sha1") == F.col("e_sha1")), "left") \
          .drop("e_store", "e_sha1", "content")
     has_err = F.col("error_class").isNotNull()
-    j = j.withColumn("error_ignored", error_policy(F.col("error_class"), F.col("ignore_content_parsing_errors"),
-                                                   F.col("ignore_content_service_errors")))
+    m_err = F.col("m_state") == "fail"
     # P5: an ignored failure leaves both text and metadata empty.
-    j = j.withColumn("ext_props", F.when(has_err, meta.empty_properties())
-                     .otherwise(F.coalesce(F.col("properties"), meta.empty_properties()))) \
-         .withColumn("ext_text", F.when(has_err | (F.col("content_request") != "full"), F.lit(""))
-                     .otherwise(F.coalesce(F.col("text"), F.lit(""))))
-    j = j.withColumn("ext_mapped", map_properties(F.col("ext_props"), s.rules))
+    j = j.withColumns({
+        "error_ignored": error_policy(F.col("error_class"), F.col("ignore_content_parsing_errors"),
+                                      F.col("ignore_content_service_errors")),
+        "ext_props": F.when(has_err, meta.empty_properties())
+                      .otherwise(F.coalesce(F.col("properties"), meta.empty_properties())),
+        "ext_text": F.when(has_err | (F.col("content_request") != "full"), F.lit(""))
+                     .otherwise(F.coalesce(F.col("text"), F.lit(""))),
+        "extracted_properties": F.when(
+            F.col("metadata_request") != "none",
+            F.when(m_err, meta.empty_properties()).otherwise(F.coalesce(F.col("properties"), meta.empty_properties()))),
+    })
+    j = j.withColumns({"ext_mapped": map_properties(F.col("ext_props"), s.rules),
+                       "stash_mapped": map_properties(F.col("extracted_properties"), s.rules)})
     j = merge.metadata_text_lines(j, "metadata_strategy", "ext_mapped", "native_meta", "md_text")
-    j = j.withColumn("ext", F.when(F.col("content_composition").isin("metadata", "text_and_metadata"),
-                                   append_metadata(F.col("ext_text"), F.col("md_text"))).otherwise(F.col("ext_text")))
+    j = merge.metadata_display(j, "metadata_strategy", "extracted_properties", "stash_mapped", "native_meta", "_disp")
+    ext = F.when(F.col("content_composition").isin("metadata", "text_and_metadata"),
+                 append_metadata(F.col("ext_text"), F.col("md_text"))).otherwise(F.col("ext_text"))
     merged = merge.merge_content(F.col("content_strategy"), F.col("native_text"), F.col("ext"))
     content = (F.when(F.col("route") == "native", F.col("native_text"))
                .when(F.col("route") == "none", F.lit(None))
                .when(F.col("content_request") == "none", F.col("native_text"))
                .when(has_err & ~F.coalesce(F.col("error_ignored"), F.lit(False)), F.lit(None))
                .otherwise(merged))
-    j = j.withColumn("search_text", content.cast("string"))
-    m_err = F.col("m_state") == "fail"
-    j = j.withColumn("extracted_properties", F.when(
-        F.col("metadata_request") != "none",
-        F.when(m_err, meta.empty_properties()).otherwise(F.coalesce(F.col("properties"), meta.empty_properties()))))
-    j = j.withColumn("stash_mapped", map_properties(F.col("extracted_properties"), s.rules))
-    j = merge.metadata_display(j, "metadata_strategy", "extracted_properties", "stash_mapped", "native_meta", "_disp")
-    j = j.withColumn("display", F.when(F.col("route").isin("solo", "wrapping"), F.col("_disp"))
-                     .otherwise(merge.strip_stash(F.col("native_meta"))))
+    j = j.withColumn("ext", ext)
+    j = j.withColumns({
+        "search_text": content.cast("string"),
+        "display": F.when(F.col("route").isin("solo", "wrapping"), F.col("_disp"))
+                    .otherwise(merge.strip_stash(F.col("native_meta")))})
     return j.select("file_id", "sha1", "route", "content_request", "metadata_request",
                     F.col("search_text").alias("content"), "extracted_properties",
                     "native_meta", "display", "error_class", "error_ignored")
