@@ -8,7 +8,6 @@ Also reports extractions per distinct content for a cold and a warm store.
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from quarry.plans import catalogue, fixture_profiles, pipeline  # noqa: E402
-from quarry.session import get_session  # noqa: E402
+from quarry.session import get_session, work_dir  # noqa: E402
 from quarry.sources import fixtures  # noqa: E402
 from quarry.sources.store import ResultStore  # noqa: E402
 
@@ -36,7 +35,7 @@ def main():
         catalogue.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
     # Store round trip: cold run fills the store, warm run must extract nothing.
-    root = tempfile.mkdtemp(prefix="quarry-bench-store-")
+    root = work_dir(spark, f"bench-store-{os.getpid()}-{int(time.time())}")
     store = ResultStore(spark, root)
     s = pipeline.Settings(config=fixture_profiles.config(), store=store, store_for_all="bench")
     files = fixtures.files(spark, sf_dir)

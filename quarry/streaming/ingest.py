@@ -79,26 +79,40 @@ def refresh(spark: SparkSession, files: DataFrame, config: ProfileConfig, store:
     return pipeline.store_or_extract(spark, p, s)
 
 
-def fold_outcome_stream(spark: SparkSession, log_stream: DataFrame, state_path: str, checkpoint: str) -> None:
+def decisive_events(log: DataFrame) -> DataFrame:
+    """The at most three events per hash that decide its folded state (the
+    latest M-deciding, C-deciding and success events). Folding them gives
+    the same state as folding the whole log, so they are the stream's
+    bounded state."""
+    ok = F.col("outcome") == "success"
+    pf = F.col("outcome") == "parser_failure"
+    full = F.col("request_kind") == "full"
+    order = F.struct("ts", "event_id")
+    ev = F.struct("ts", "event_id", "request_kind", "outcome")
+    conds = [ok | (pf & ~full), full & (ok | pf), ok]
+    agg = log.groupBy("sha1").agg(*[F.max_by(F.when(c, ev), F.when(c, order)).alias(f"e{i}")
+                                    for i, c in enumerate(conds)])
+    x = agg.select("sha1", F.explode(F.array("e0", "e1", "e2")).alias("e")).where(F.col("e").isNotNull())
+    return x.select("sha1", "e.ts", "e.event_id", "e.request_kind", "e.outcome").dropDuplicates(["sha1", "event_id"])
+
+
+def fold_outcome_stream(spark: SparkSession, log_stream: DataFrame, state_root: str, checkpoint: str) -> None:
     """Fold an outcome-log stream into the latest state per hash.
 
-    Each micro-batch is folded (A2) together with the current state written
-    as a log of its own latest events, so out-of-order records resolve by
-    event time, not by arrival."""
+    Each micro-batch is unioned with the decisive events kept so far and
+    reduced again to decisive events (bounded: three per hash), written as
+    a new version; out-of-order records resolve by event time. Read the
+    state with ``fold_outcomes(spark.read.parquet(<latest version>))``."""
+    cols = ["sha1", "ts", "event_id", "request_kind", "outcome"]
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        cur = None
-        if os.path.exists(state_path) or state_path.startswith(("hdfs:", "s3", "gs:", "abfs")):
+        log = df.select(*cols)
+        if batch_id > 0:
             try:
-                cur = spark.read.parquet(state_path)
-            except Exception:  # first batch: no state yet
-                cur = None
-        log = df.select("sha1", "ts", "request_kind", "outcome", "event_id")
-        if cur is not None:
-            log = log.unionByName(cur.select("sha1", "ts", "request_kind", "outcome", "event_id"))
-        folded = fold_outcomes(log)
-        # Keep the events that decide the state; they are the next batch's seed.
-        keep = log.join(folded.select("sha1"), "sha1")
-        keep.checkpoint(eager=True).write.mode("overwrite").parquet(state_path)
+                log = log.unionByName(spark.read.parquet(f"{state_root}/b={batch_id - 1}").select(*cols))
+            except Exception:  # noqa: BLE001 - no state written yet
+                pass
+        decisive_events(log).write.mode("overwrite").parquet(f"{state_root}/b={batch_id}")
 
     (log_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

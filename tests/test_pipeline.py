@@ -57,3 +57,28 @@ def test_stream_equals_batch(spark, sf):
     s = ingest_documents_stream(spark, sf, fixture_profiles.config(), now=catalogue.FIXED_NOW, source=src + "/in")
     batch = catalogue.q_search_content(spark, sf)
     assert sorted(tuple(r) for r in s.collect()) == sorted(tuple(r) for r in batch.collect())
+
+
+def test_decisive_events_fold_equal(spark, sf):
+    from quarry.operators.outcomes import fold_outcomes
+    from quarry.sources import fixtures
+    from quarry.streaming.ingest import decisive_events
+    log = fixtures.outcomes(spark, sf)
+    full = sorted(tuple(r) for r in fold_outcomes(log).collect())
+    seed = sorted(tuple(r) for r in fold_outcomes(decisive_events(log)).collect())
+    assert full == seed
+
+
+def test_outcome_stream(spark, sf):
+    import os
+    from quarry.operators.outcomes import fold_outcomes
+    from quarry.sources import fixtures
+    from quarry.streaming.ingest import fold_outcome_stream
+    base = tempfile.mkdtemp(prefix="quarry-test-t3-")
+    log = fixtures.outcomes(spark, sf)
+    log.repartition(3).write.parquet(base + "/in")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    fold_outcome_stream(spark, stream, base + "/state", base + "/ckpt")
+    last = max(int(d[2:]) for d in os.listdir(base + "/state") if d.startswith("b="))
+    got = sorted(tuple(r) for r in fold_outcomes(spark.read.parquet(f"{base}/state/b={last}")).collect())
+    assert got == sorted(tuple(r) for r in fold_outcomes(log).collect())
