@@ -322,3 +322,23 @@ def q_ingest_stream(spark, sf):
 
 
 QUERIES = {name: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}
+
+
+def q_outcome_stream(spark, sf):
+    """The events table read as a file stream, folded batch by batch
+    into bounded state; the final state equals q_fold_outcomes."""
+    import uuid
+    from quarry.session import work_dir
+    from quarry.streaming.ingest import fold_outcome_stream
+    base = work_dir(spark, f"outcomes-{uuid.uuid4().hex[:12]}")
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "events*.parquet").parquet(sf))
+    fold_outcome_stream(spark, fixtures.outcomes_from(stream), base + "/state", base + "/checkpoint")
+    jfs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base + "/state")
+    fs = jfs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last = max(int(st.getPath().getName()[2:]) for st in fs.listStatus(jfs) if st.getPath().getName().startswith("b="))
+    return _state_out(outcomes.fold_outcomes(spark.read.parquet(f"{base}/state/b={last}")))
+
+
+QUERIES = {name: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}

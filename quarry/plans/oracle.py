@@ -449,6 +449,7 @@ FROM files f CROSS JOIN comps c JOIN md m ON m.file_id = f.file_id"""
   FROM req r LEFT JOIN md m ON m.file_id = r.file_id)
 SELECT file_id AS doc_id, sha1, route, content FROM fin""".replace("\n, fin AS", ",\nfin AS").replace("WITH_X", _merge_sql())
     q["q_ingest_stream"] = q["q_search_content"]
+    q["q_outcome_stream"] = q["q_fold_outcomes"]
     q["q_generate_metadata"] = W(FILES, PROFILES, EXTRACTED, NATIVE) + """SELECT x.file_id AS doc_id, 'extracted' AS source, CAST(x.pos AS INTEGER) AS pos, x.name,
   string_agg(x.value, ' ' ORDER BY x.vpos) AS value
 FROM xprops x JOIN req r ON r.file_id = x.file_id WHERE r.metadata_request <> 'none'

@@ -94,7 +94,11 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome log per content hash from ``events`` (A2 input)."""
-    ev = table(spark, sf_dir, "events")
+    return outcomes_from(table(spark, sf_dir, "events"))
+
+
+def outcomes_from(ev: DataFrame) -> DataFrame:
+    """:func:`outcomes` over any frame with the ``events`` columns (batch or stream)."""
     et = F.col("event_type")
     return ev.select(
         "event_id",
