@@ -82,3 +82,39 @@ def test_outcome_stream(spark, sf):
     last = max(int(d[2:]) for d in os.listdir(base + "/state") if d.startswith("b="))
     got = sorted(tuple(r) for r in fold_outcomes(spark.read.parquet(f"{base}/state/b={last}")).collect())
     assert got == sorted(tuple(r) for r in fold_outcomes(log).collect())
+
+
+def test_plugin_extractor_and_fallback(spark, sf):
+    """D1 through mapInPandas: full requests on contents whose hash starts
+    with '0'-'3' fail to parse (422); the E3 pass then asks for metadata only,
+    which succeeds. Everything else answers 200 with a JSON body."""
+    import json
+
+    import pandas as pd
+
+    def fake(batches):
+        for b in batches:
+            rows = []
+            for sha, kind, content in zip(b["sha1"], b["request_kind"], b["content"]):
+                fail = kind == "full" and sha[0] in "0123"
+                body = None if fail else json.dumps({"X-TIKA:content": f"  {content}  ", "dc:title": sha[:6]})
+                rows.append((sha, kind, 422 if fail else 200, None, body, 1, dt.datetime(2025, 1, 1)))
+            yield pd.DataFrame(rows, columns=["sha1", "request_kind", "http_status", "transport_errno",
+                                              "response_json", "attempt", "ts"])
+
+    s = pipeline.Settings(config=fixture_profiles.config(), now=dt.datetime(2025, 1, 1),
+                          extractor=extract.plugin_extractor(fake))
+    files = fixtures.files(spark, sf)
+    p = pipeline.prepare_files(spark, files, s).drop("content")
+    e = {r.sha1: r for r in pipeline.store_or_extract(spark, p, s, contents=files.select("file_id", "content")).collect()}
+    bad = [r for k, r in e.items() if k[0] in "0123"]
+    good = [r for k, r in e.items() if k[0] not in "0123"]
+    assert bad and good
+    assert all(r.m_state == "good" and r.c_state == "fail" and r.error_class == "parser_failure" for r in bad)
+    assert all(r.m_state == "good" and r.c_state == "good" and r.error_class is None for r in good)
+    assert all([p_.name for p_ in r.properties] == ["dc:title"] for r in good)
+    out = {r.file_id: r for r in pipeline.generate(spark, files, s).collect()}
+    jpeg_bad = [r for r in out.values() if r.route == "solo" and r.sha1[0] in "0123" and r.file_id % 6 == 2]
+    assert jpeg_bad and all(r.content == "" and r.error_ignored for r in jpeg_bad)   # ignored → ''
+    plain_bad = [r for r in out.values() if r.sha1[0] in "0123" and r.file_id % 6 == 0]
+    assert plain_bad and all(r.content is None and r.error_ignored is False for r in plain_bad)
