@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from quarry.operators.profiles import PARAMS, STRATEGY_WORDS
 from quarry.operators.properties import BUILTIN_RULES
+from quarry.functions.meta import STASH_TAG
 from quarry.plans import catalogue as C
 from quarry.plans.fixture_profiles import LABELS, PARAMS as PROFILE_PARAMS, values_sql
 
@@ -188,7 +189,7 @@ NATIVE = """native AS (
   FROM files WHERE native_text IS NOT NULL
   UNION ALL SELECT file_id, 'collapsed', 0, 'exif-length', 'Length', CAST(n_chars AS VARCHAR)
   FROM files WHERE native_text IS NOT NULL
-  UNION ALL SELECT file_id, 'collapsed', 1, 'opaque_tatf_tika_metadata', 'opaque_tatf_tika_metadata', 'hidden'
+  UNION ALL SELECT file_id, 'collapsed', 1, '""" + STASH_TAG + """', '""" + STASH_TAG + """', 'hidden'
   FROM files WHERE native_text IS NOT NULL)"""
 
 
@@ -222,7 +223,7 @@ def md_text_cte(strategy_src, ext_src="mprop", nat_src="native", nat_cond="true"
 nat_l AS (
   SELECT file_id, string_agg(name || ': ' || coalesce(value, '') || chr(10), ''
     ORDER BY CASE grp WHEN 'visible' THEN 0 ELSE 1 END, pos) AS lines, count(*) AS n
-  FROM {nat_src} WHERE name <> 'opaque_tatf_tika_metadata' AND {nat_cond} GROUP BY file_id),
+  FROM {nat_src} WHERE name <> '{STASH_TAG}' AND {nat_cond} GROUP BY file_id),
 mdt AS (
   SELECT s.file_id, s.strategy,
     CASE WHEN s.strategy = 'only_extracted' THEN NULL ELSE n.lines END AS nl,
@@ -245,7 +246,7 @@ def display_rows_cte(strategy_src, ext_src, nat_src, ext_present):
     row_number() OVER (PARTITION BY file_id, is_visible ORDER BY {lower_ascii('name')}, pos) AS k
   FROM {ext_src}),
 nat_d AS (
-  SELECT file_id, grp, id, name, value, pos + 1 AS k FROM {nat_src} WHERE name <> 'opaque_tatf_tika_metadata'),
+  SELECT file_id, grp, id, name, value, pos + 1 AS k FROM {nat_src} WHERE name <> '{STASH_TAG}'),
 nat_p AS (SELECT DISTINCT file_id FROM {nat_src}),
 choice AS (
   SELECT s.file_id, s.strategy, np.file_id IS NOT NULL AS has_nat, ({ext_present}) AS has_ext
@@ -457,7 +458,7 @@ GROUP BY x.file_id, x.pos, x.name
 UNION ALL
 SELECT n.file_id, 'native', CAST(CASE WHEN n.grp = 'visible' THEN 0 ELSE 1 END AS INTEGER), n.name, n.value
 FROM native n JOIN req r ON r.file_id = n.file_id
-WHERE r.has_nm AND n.name <> 'opaque_tatf_tika_metadata'"""
+WHERE r.has_nm AND n.name <> '""" + STASH_TAG + "'"
     q["q_display_metadata"] = W(FILES, PROFILES, RULES, EXTRACTED, NATIVE,
                                 "xreq AS (SELECT x.* FROM xprops x JOIN req r ON r.file_id = x.file_id WHERE r.metadata_request <> 'none')",
                                 mapped_cte("xreq"),
