@@ -36,4 +36,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_minhash, op6_decontaminate, op8_bpe)}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, deleted lines and words, and the digest of what is left of the text."""
+    from quarry.llm import linededup
+
+    done = linededup.dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "line_dedup.n_lines", "line_dedup.removed_lines", "line_dedup.removed_words",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_minhash, op6_decontaminate, op8_bpe, op9_line_dedup)}
