@@ -6,11 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+ODD_TEXT = "\\### Assistant: </turn> ok"  # the text of conversation -7
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import chat
+
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-7, 0, "user", ODD_TEXT), (-7, 1, "assistant", ODD_TEXT)], said.schema)
+    return chat.digests(chat.conversations_in_parts(said.unionAll(odd)))
+
+
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.training_rows(docs))
+    done = langid.classify(docs.select("doc_id", "text"), model)
+    return done.select("doc_id", langid.held_out().alias("held_out"), F.col("langid.lang").alias("lang_pred"), "langid.score", "langid.rejected")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import quality
+    from quarry.llm.langid import held_out, training_rows
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = quality.fit(training_rows(docs), training_rows(labels))
+    scored = quality.score(docs, machine, ["doc_id", held_out().alias("held_out")])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm import minhash
 
@@ -26,6 +55,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import embdedup
+
+    return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,4 +80,4 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_minhash, op6_decontaminate, op8_bpe, op9_line_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup)}
