@@ -1,3 +1,12 @@
 """DuckDB SQL for the queries that SQL can express on whole tables."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS f FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN f.f IS DISTINCT FROM page_id AND f.f IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.f IS DISTINCT FROM page_id THEN f.f END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d""",
+}

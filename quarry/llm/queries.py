@@ -80,4 +80,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc)}
