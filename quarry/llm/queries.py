@@ -21,6 +21,14 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.conversations_in_parts(said.unionAll(odd)))
 
 
+def op2_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import ctw
+
+    done = ctw.scored(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+                       (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_symbols")).alias("bits_per_byte"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quarry.llm import langid
 
@@ -86,4 +94,4 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op2_ctw, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc)}
