@@ -1,14 +1,52 @@
-"""Stages of the corpus pipeline: (spark, docs, sf_dir) to a DataFrame."""
+"""Stages of the corpus pipeline: (spark, docs, sf_dir) to a DataFrame.
+
+Every stage works on all that its predecessor kept; all but the last return the
+columns of ``docs``. Their defined results for nulls, empty texts, ties,
+repeated rows and empty tables are those of the operators they call.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from quarry.llm import bpe, decontam, langid, linededup, minhash
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the language classifier rejects: no letters, or far from all centroids."""
+    model = langid.fit(langid.training_rows(docs))
+    return langid.classify(docs, model).where(~F.col("langid.rejected")).select(*_own(docs))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Delete aligned blocks from later documents; a document of which nothing is left goes. n_chars follows the text."""
+    done = linededup.dedup(docs)
+    emptied = (F.col("line_dedup.removed_lines") > 0) & ~F.col("text").rlike(r"[^\s]")
+    kept = done.where(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", F.when(F.col("line_dedup.removed_lines") > 0, length).otherwise(F.col("n_chars")))
+    return kept.select(*_own(docs))
 
-from quarry.llm import bpe
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest doc_id of each group of near-duplicates (five words, similarity of 0.8 or more)."""
+    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*_own(docs))
 
-def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last stage: the ids of every kept text, with digests of the ids and of the bytes they decode to."""
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a window of a benchmark item."""
+    found = decontam.search(decontam.written_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.where("n_hit > 0").select("doc_id").distinct(), "doc_id", "left_anti").select(*_own(docs))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Last stage: number and digest of the ids of every kept text, and the digest of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+
+
+def _own(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
