@@ -13,7 +13,9 @@
 4. Verified links give components. Buckets whose members are then in several
    components have all pairs between different components compared (step 3),
    in blocks of bounded size, so no banded pair that could join two components
-   is left out. The links found are added and the components taken again.
+   is left out: first on signatures alone, then, for the members with a
+   surviving partner, on their full sets. A task returns the links that join
+   components, not all pairs. They are added and the components taken again.
 
 Defined results: null, empty and wordless texts have an empty set, link with
 nothing and are their own component. Rows with a null doc_id are not compared
@@ -32,10 +34,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quarry.llm.blocks import coded, scratch, slices, text_column, words_of
+from quarry.llm.blocks import coded, ranges, scratch, slices, text_column, words_of
 from quarry.llm.graph import components
 
-BLOCK = 1000  # classes of one bucket that are compared with as many others in one task
+BLOCK = 500  # classes of one bucket that are compared with as many others in one task
 
 
 @dataclass(frozen=True)
@@ -175,6 +177,15 @@ def _pruned(pairs: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
     return both.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)])).distinct()
 
 
+def _texts(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
+    """``(node, text)`` of the given nodes, written to ``path``."""
+    spark = docs.sparkSession
+    nodes.write.parquet(f"{path}/nodes")
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).where("node is not null")
+    texts.join(spark.read.parquet(f"{path}/nodes"), "node", "left_semi").write.parquet(f"{path}/texts")
+    return spark.read.parquet(f"{path}/texts")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, p: Params, id_col: str, text_col: str, path: str) -> DataFrame:
     """Pairs whose full sets reach the threshold. A text that stands in several pairs of a batch is cut into words once.
 
@@ -184,10 +195,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, p: Params, id_col: str, text_co
     kind, spark = pairs.schema["a"].dataType, pairs.sparkSession
     pairs.write.parquet(f"{path}/pairs")
     pairs = spark.read.parquet(f"{path}/pairs")
-    pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().write.parquet(f"{path}/nodes")
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).where("node is not null")
-    texts.join(spark.read.parquet(f"{path}/nodes"), "node", "left_semi").write.parquet(f"{path}/texts")
-    texts = spark.read.parquet(f"{path}/texts")
+    texts = _texts(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), id_col, text_col, path)
     both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b"))
 
@@ -215,34 +223,101 @@ def _verified(pairs: DataFrame, docs: DataFrame, p: Params, id_col: str, text_co
     return both.mapInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)])).distinct()
 
 
+def _blocked(members: DataFrame) -> DataFrame:
+    """A bucket of ``blocks`` blocks as pairs (i, j) of blocks: a group holds the members of two blocks at most."""
+    m = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return m.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", "blocks")
+
+
+class _Group:
+    """The members of two blocks of a bucket, and for each left one its right partners that pass the sequential test."""
+
+    def __init__(self, t: pa.Table, p: Params):
+        self.p, self.sig = p, _sig_rows(t["sig"], p.size)
+        self.component = t["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        self.node = t["node"].combine_chunks()
+        self.band = t["band"][0].as_py()
+        own, self.i, self.j = t["own"].to_numpy(), t["i"][0].as_py(), t["j"][0].as_py()
+        self.left, self.right = np.flatnonzero(own == self.i), np.flatnonzero(own == self.j)
+
+    def pairs(self, least: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Pairs of different components; one that shares an earlier band is left to that band's bucket."""
+        p = self.p
+        for x in self.left.tolist():
+            y = self.right[self.component[self.right] != self.component[x]]
+            y = y[y > x] if self.i == self.j else y
+            if not len(y):
+                continue
+            y = y[survivors(np.broadcast_to(self.sig[x], (len(y), p.size)), self.sig[y], p, least)]
+            if len(y) and self.band:
+                upto = self.band * p.rows
+                same = (self.sig[y, :upto] == self.sig[x, :upto]).reshape(len(y), self.band, p.rows).all(2).any(1)
+                y = y[~same]
+            if len(y):
+                yield x, y
+
+
+def _suspects(members: DataFrame, p: Params) -> DataFrame:
+    """``(bucket, node)`` of the members that have a partner in another component which passes the sequential test."""
+    least, kind = least_matches(p), members.schema["node"].dataType
+
+    def run(t: pa.Table) -> pa.Table:
+        g = _Group(t, p)
+        found = np.zeros(t.num_rows, bool)
+        for x, y in g.pairs(least):
+            found[x] = True
+            found[y] = True
+        at = pa.array(np.flatnonzero(found))
+        return pa.table({"bucket": t["bucket"].take(at), "node": g.node.take(at)})
+
+    out = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("node", kind)])
+    return _blocked(members).groupBy("bucket", "i", "j").applyInArrow(run, out).distinct()
+
+
 def _across(members: DataFrame, p: Params) -> DataFrame:
-    """Pairs of one bucket and different components that pass the sequential test.
+    """Links (a, b) between different components of a bucket: the pairs that pass the sequential test, verified on their full sets.
 
-    ``members``: (bucket, node, component, sig, blocks). A bucket over BLOCK
-    members is cut into blocks, and a task gets two of them.
+    ``members`` also have their text. A group returns as many links as join its components, not all of them.
     """
     least, kind = least_matches(p), members.schema["node"].dataType
-    m = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    m = m.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig")
 
     def run(t: pa.Table) -> pa.Table:
-        sig = _sig_rows(t["sig"], p.size)
-        comp = t["component"].combine_chunks().dictionary_encode().indices.to_numpy()
-        own, (i, j) = t["own"].to_numpy(), (t["i"][0].as_py(), t["j"][0].as_py())
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for x in left.tolist():
-            y = right[comp[right] != comp[x]]
-            y = y[y > x] if i == j else y
-            ok = survivors(np.broadcast_to(sig[x], (len(y), p.size)), sig[y], p, least)
-            xs.append(np.full(len(ok), x))
-            ys.append(y[ok])
-        node = t["node"].combine_chunks()
-        return pa.table({"a": node.take(pa.array(np.concatenate(xs))), "b": node.take(pa.array(np.concatenate(ys)))})
+        g = _Group(t, p)
+        h, off = shingle_sets(text_column(t.combine_chunks().to_batches()[0], "text"), p.shingle)
+        size = np.diff(off)
+        _, code = np.unique(h, return_inverse=True)
+        mark = np.zeros(int(code.max(initial=0)) + 1, np.int64)
+        up = list(range(t.num_rows + int(g.component.max()) + 1))
+        base = t.num_rows
+
+        def root(x: int) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for row, c in enumerate(g.component.tolist()):
+            up[row] = base + c
+        xs, ys = [], []
+        for x, y in g.pairs(least):
+            y = y[(100 * np.minimum(size[y], size[x]) >= p.percent * np.maximum(size[y], size[x])) & (size[y] > 0)]
+            if not len(y) or not size[x]:
+                continue
+            mark[code[off[x]:off[x + 1]]] = 1
+            at = np.cumsum(size[y]) - size[y]
+            inter = np.add.reduceat(mark[code[ranges(off[y], size[y])]], at)
+            mark[code[off[x]:off[x + 1]]] = 0
+            for z in y[100 * inter >= p.percent * (size[x] + size[y] - inter)].tolist():
+                a, b = root(x), root(z)
+                if a != b:
+                    up[a] = b
+                    xs.append(x)
+                    ys.append(z)
+        return pa.table({"a": g.node.take(pa.array(xs, pa.int64())), "b": g.node.take(pa.array(ys, pa.int64()))})
 
     out = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    return (m.groupBy("bucket", "i", "j").applyInArrow(run, out)
+    return (_blocked(members).groupBy("bucket", "i", "j").applyInArrow(run, out)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -259,7 +334,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     sigs = classes.select("node", "sig")
     width = 4 * p.rows
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", k * width + 1, width)) for k in range(p.bands)])
-    buckets = classes.select("node", F.explode(bands).alias("bucket"))
+    buckets = classes.select("node", F.posexplode(bands).alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("members")).where("members > 1")
     buckets.join(shared, "bucket").write.parquet(f"{path}/buckets")
     placed = spark.read.parquet(f"{path}/buckets")
@@ -272,9 +347,14 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), id_col: str = "doc_id
     named = components(links)
     joined = placed.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = joined.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    members = (joined.join(mixed, "bucket").join(sigs, "node")
-               .select("bucket", "node", "component", "sig", F.expr(f"(members - 1) div {BLOCK} + 1").alias("blocks")))
-    _verified(_across(members, p), docs, p, id_col, text_col, f"{path}/second").write.parquet(f"{path}/links2")
+    columns = ["bucket", "band", "node", "component", "sig"]
+    members = joined.join(mixed, "bucket").join(sigs, "node")
+    _suspects(members.select(*columns, F.expr(f"(members - 1) div {BLOCK} + 1").alias("blocks")), p).write.parquet(f"{path}/suspects")
+    suspects = spark.read.parquet(f"{path}/suspects")
+    texts = _texts(docs, suspects.select("node").distinct(), id_col, text_col, f"{path}/second")
+    some = suspects.groupBy("bucket").agg(F.expr(f"(count(*) - 1) div {BLOCK} + 1").alias("blocks"))
+    kept = joined.join(suspects, ["bucket", "node"]).join(some, "bucket").join(sigs, "node").join(texts, "node")
+    _across(kept.select(*columns, "blocks", "text"), p).write.parquet(f"{path}/links2")
     every = components(links.unionAll(spark.read.parquet(f"{path}/links2")).unionAll(same))
     return (rows.select("doc_id", "n_shingles")
             .join(every.select(F.col("node").alias("doc_id"), F.col("component").alias("linked")), "doc_id", "left")

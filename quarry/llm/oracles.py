@@ -1,6 +1,69 @@
-"""DuckDB SQL for the queries that SQL can express on whole tables."""
+"""DuckDB SQL for the queries that SQL can express on whole tables.
+
+The others (op2, op3, op5, op8, op9, pipeline) are tested against brute force,
+round trips, a tokenizer library and held-out accuracy in ``tests/llm``.
+"""
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# smallest node reachable over link(a, b), both directions
+_REACH = """
+reach(a, b) AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)"""
 
 SQL: dict[str, str] = {
+    "op1_chat": r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<turn ' || role || '>') + 1 + length(text) + 9
+                + (length(text) - length(replace(text, '<turn ', ''))) // 6
+                + (length(text) - length(replace(text, '</turn>', ''))) // 7) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id""",
+    "op4_minhash": rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i+1] || ' ' || w[i+2])
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM both_ JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 85 * (p.n + q.n - i)),
+{_REACH},
+c AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.c, d.doc_id) AS component_id, coalesce(c.c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.a = d.doc_id""",
+    "op6_decontaminate": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format('text')}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+t AS (SELECT item_id, regexp_extract_all({_LOWER.format('text')}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS s
+  FROM t WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+place AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, sizes WHERE len(w) >= n),
+hit AS (
+  SELECT DISTINCT doc_id, i, p.n, item_id FROM place p JOIN win ON win.n = p.n AND win.s = array_to_string(w[i:i + p.n - 1], ' ')),
+word AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY 1),
+item AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(word.n, 0) AS n_hit, coalesce(item.n, 0) AS n_items, sha256(coalesce(item.s, '')) AS items_sha256,
+       coalesce(word.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN word ON word.doc_id = d.doc_id LEFT JOIN item ON item.doc_id = d.doc_id""",
+    "op7_embeddings": rf"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.9),
+{_REACH},
+c AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a),
+k AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(k.n, 0) AS n_links, coalesce(c.c, vec_id) AS component_id, coalesce(c.c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN k ON k.a = vec_id""",
     "op10_warc": """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
