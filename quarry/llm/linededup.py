@@ -233,7 +233,7 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", t
     cuts = find_cuts(docs, min_words, id_col, text_col)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc"),
                          F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    joined = packed.join(cuts, ["doc", "key"], "left")
+    joined = packed.join(cuts.hint("merge"), ["doc", "key"], "left")  # the same plan at every size: texts are shuffled once
     told = T.StructType([T.StructField("text", T.StringType()), T.StructField("lines", T.LongType()), T.StructField("words", T.LongType())])
 
     @F.pandas_udf(told)
