@@ -41,14 +41,15 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from quarry.llm.blocks import SPACED, buffers_of, coded, ranges, scratch, slices, text_column, words_of
+from quarry.llm.blocks import SPACED, buffers_of, coded, scratch, slices, text_column, words_of
 from quarry.llm.langid import held_out
 
 DEPTH = 5               # bytes of context
 END = 0xFF
 CHUNK_GRAMS = 200_000   # grams per chunk of the model, and up to the end of a range of contexts
 RESIDENT = 6_000_000    # nodes (16 bytes each) that a worker keeps
-TRAIN_BYTES = 4 << 20
+TRAIN_BYTES = 4 << 20   # text counted at once
+SCORE_BYTES = 6 << 20   # text of a block
 _8 = np.uint64(8)
 _FF = np.uint64(255)
 
@@ -63,19 +64,22 @@ def lgamma(x: np.ndarray) -> np.ndarray:
 
 
 def symbols(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes with ``depth`` end symbols before each text and one behind it, places of the symbols to code, symbols of each text)."""
+    """(bytes with ``depth`` end symbols before each text and one behind it, which of them are coded, symbols of each text)."""
     data, off = buffers_of(texts)
     size = np.diff(off) + 1
+    edge = np.zeros(int(size.sum()) + depth * len(size) + 1, np.int8)
     ends = np.cumsum(size + depth)
-    padded = np.full(int(ends[-1]) if len(ends) else 0, END, np.uint8)
-    place = ranges(ends - size, size)
-    coded_ = np.ones(len(place), bool)
-    coded_[np.cumsum(size) - 1] = False
-    padded[place[coded_]] = data
-    return padded, place, size
+    edge[ends - size - depth] += 1
+    edge[ends - size] -= 1  # the symbols in front of a text aren't coded
+    coded_ = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    padded = np.full(len(coded_), END, np.uint8)
+    text = coded_.copy()
+    text[ends - 1] = False
+    padded[text] = data
+    return padded, coded_, size
 
 
-def keys_of(padded: np.ndarray, place: np.ndarray, depth: int, bits: int = 8) -> np.ndarray:
+def keys_of(padded: np.ndarray, coded_: np.ndarray, depth: int, bits: int = 8) -> np.ndarray:
     """One key per symbol: the ``depth`` symbols before it, the nearest first, and the symbol itself, ``bits`` each."""
     n, b = len(padded) - depth, np.uint64(bits)
     if n <= 0:
@@ -86,7 +90,7 @@ def keys_of(padded: np.ndarray, place: np.ndarray, depth: int, bits: int = 8) ->
         key |= padded[depth - i:depth - i + n]
     key <<= b
     key |= padded[depth:]
-    return key[place - depth]
+    return key[coded_[depth:]]
 
 
 def runs(key: np.ndarray) -> np.ndarray:
@@ -174,8 +178,8 @@ def count_grams(training: DataFrame, text_col: str, depth: int) -> DataFrame:
             return summed(np.concatenate(keys), np.concatenate(counts))
 
         for b in slices(batches, text_col, TRAIN_BYTES):
-            padded, place, _ = symbols(text_column(b, text_col), depth)
-            key = keys_of(padded, place, depth)
+            padded, coded_, _ = symbols(text_column(b, text_col), depth)
+            key = keys_of(padded, coded_, depth)
             key.sort()
             at = runs(key)
             keys.append(key[at])
@@ -229,7 +233,7 @@ def fit(training: DataFrame, text_col: str = "text", depth: int = DEPTH) -> Simp
     schema = "lo long, hi long, size long, keys binary, ids array<binary>, own array<binary>, one array<binary>, two array<binary>"
     near = F.shiftright("key", 8 * (depth - 1)).alias("near")
     (spark.read.parquet(f"{path}/grams").select("key", "n", near).repartitionByRange("near").sortWithinPartitions("key").select("key", "n")
-     .mapInArrow(run, schema).write.parquet(f"{path}/nodes"))
+     .mapInArrow(run, schema).write.option("compression", "zstd").parquet(f"{path}/nodes"))
     chunks = spark.read.parquet(f"{path}/nodes")
     parts, size = [], 0
     for r in chunks.select("size", "two").toLocalIterator():
@@ -324,15 +328,16 @@ class Scorer:
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(log10 probability of each text, its symbols)."""
         depth = self.model.depth
-        padded, place, size = symbols(texts, depth)
+        padded, coded_, size = symbols(texts, depth)
         # few different bytes: fewer bits a symbol, so that a gram and its place fit one number and one sort brings equal grams together
         alphabet = np.flatnonzero(np.bincount(padded, minlength=256))
         bits = max(1, int(len(alphabet) - 1).bit_length())
         code = np.zeros(256, np.uint8)
         code[alphabet] = np.arange(len(alphabet))
-        key = keys_of(code[padded], place, depth, bits)
+        key = keys_of(code[padded], coded_, depth, bits)
+        del padded, coded_
         room = min(64 - bits * (depth + 1), 22)
-        value = np.empty(len(key))
+        value = np.empty(len(key), np.float32)
         if room >= 20:
             for at in range(0, len(key), 1 << room):
                 part = key[at:at + (1 << room)]
@@ -347,7 +352,7 @@ class Scorer:
             each = np.empty(len(distinct))
             each[order] = self.log10(_widened(distinct[order], alphabet, bits, depth))
             value = each[at_]
-        return np.add.reduceat(value, np.cumsum(size) - size) if len(size) else np.empty(0), size
+        return np.add.reduceat(value, np.cumsum(size) - size, dtype=float) if len(size) else np.empty(0), size
 
 
 def score(docs: DataFrame, model: SimpleNamespace, train_of, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,7 +366,7 @@ def score(docs: DataFrame, model: SimpleNamespace, train_of, id_col: str = "doc_
         if not made:
             made.append(Scorer(model))
         at = TaskContext.get().partitionId() << 32
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SCORE_BYTES):
             texts = text_column(b, "text")
             value, size = made[0].texts(texts)
             flat, off = words_of(texts, SPACED)
