@@ -214,5 +214,5 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, passes: int = 8, wind
     degree = _degrees(members.join(blocks, "component").select("component", "blocks", "key", "dims", "raw", "copies"), threshold, 512)
     per_key = classes.select("key", "copies").join(degree, "key", "left").select("key", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     return (rows.select("node", "key").join(per_key, "key", "left").join(named, "node", "left")
-            .select(F.col("node").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id"),
+            .select(F.col("node").alias(id_col), F.when(F.col("node").isNotNull(), F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id"),
                     F.coalesce(F.coalesce("component", "node") == F.col("node"), F.lit(True)).alias("kept")))

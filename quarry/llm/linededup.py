@@ -11,7 +11,8 @@
    over equal neighbours. Shared runs that the chain leaves out (moved or
    repeated passages) are aligned one by one.
 3. Aligned blocks of at least ``min_words`` words are deleted from the later
-   document. What repeats inside one document stays.
+   document. What repeats inside one document stays, and so does a short line
+   beside a run that the run's earliest holder doesn't have there.
 
 "Earlier" is the smaller doc_id. The line hashes of a document are sent once
 for some hundred of its partners, not once a pair; only the text itself is
