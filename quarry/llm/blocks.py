@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -30,6 +31,14 @@ def from_buffers(data: np.ndarray, offsets: np.ndarray, kind=None) -> pa.Array:
                                  [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers of several stages live side by side in an executor."""
+    pa.default_memory_pool().release_unused()
+    free = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if free is not None:
+        free(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], name: str, max_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each piece holds at most ``max_bytes`` of ``name`` (one row at least)."""
     for b in batches:
@@ -41,6 +50,7 @@ def slices(batches: Iterator[pa.RecordBatch], name: str, max_bytes: int = BLOCK_
             base = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield b.slice(at, to - at)
+            trim()
             at = to
 
 

@@ -25,11 +25,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quarry.llm.blocks import from_buffers, ranges, slices, text_column
+from quarry.llm.blocks import from_buffers, ranges, slices, text_column, trim
 
 NONE = np.int32(2**31 - 1)
 MAX_RANK_FILE = 64 << 20  # bytes; the vocabulary is sent to every executor
-ENCODE_BYTES = 6 << 20  # text whose pieces are replayed at once
+ENCODE_BYTES = 3 << 20  # text whose pieces are replayed at once
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -185,8 +185,8 @@ def decode(encoded: DataFrame, rank_path: str, keep: list[str]) -> DataFrame:
         start[list(tokens.value)] = np.concatenate([[0], np.cumsum([len(t) for t in tokens.value.values()])])[:-1]
         flat = np.frombuffer(b"".join(tokens.value.values()), np.uint8)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
                 lists = b.column("ids")
                 ids = lists.flatten().to_numpy().astype(np.int64)
                 n = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -197,6 +197,7 @@ def decode(encoded: DataFrame, rank_path: str, keep: list[str]) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(n)])
                 text = from_buffers(flat[ranges(start[ids], size_of)], upto[ends], pa.large_binary())
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), text.cast(pa.binary())], names=[*keep, "decoded"])
+            trim()
 
     schema = T.StructType([*(encoded.schema[k] for k in keep), T.StructField("decoded", T.BinaryType())])
     return encoded.select(*dict.fromkeys([*keep, "ids"])).mapInArrow(run, schema)
