@@ -18,14 +18,6 @@ def parse_ts(c) -> Column:
     return F.try_to_timestamp(c, F.lit(TS_PATTERN))
 
 
-def parse_ts_strict(c, what: str = "time stamp") -> Column:
-    """Like :func:`parse_ts` but a non-NULL text that does not parse raises."""
-    c = F.col(c) if isinstance(c, str) else c
-    p = parse_ts(c)
-    return F.when(c.isNotNull() & p.isNull(),
-                  F.raise_error(F.concat(F.lit(f"bad {what}: "), c))).otherwise(p)
-
-
 def format_ts(c) -> Column:
     """Timestamp → text in the stored format (session time zone UTC)."""
     c = F.col(c) if isinstance(c, str) else c

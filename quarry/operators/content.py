@@ -1,4 +1,4 @@
-"""Content identity: hashing, dedupe, path index, fan-out."""
+"""Content identity: hashing, dedupe, path index."""
 
 from __future__ import annotations
 
@@ -42,14 +42,10 @@ def latest_path_index(path_log: DataFrame, order_col: str = "upload_id") -> Data
 
 
 def resolve_path_keys(files: DataFrame, index: DataFrame) -> DataFrame:
-    """Use the known hash of a path, else compute it from the content."""
-    j = files.join(index, "path", "left")
-    return j.withColumn("sha1", F.coalesce(F.col("known_sha1"), content_key(F.col("content")))) \
+    """The known hash of a path, else the one computed from the content
+    (computed where the file is read, so that no content is shuffled)."""
+    keyed = files.withColumn("computed_sha1", content_key(F.col("content"))).drop("content")
+    j = keyed.join(index, "path", "left")
+    return j.withColumn("sha1", F.coalesce(F.col("known_sha1"), F.col("computed_sha1"))) \
             .withColumn("sha1_source", F.when(F.col("known_sha1").isNotNull(), "index").otherwise("computed")) \
-            .drop("known_sha1")
-
-
-def fan_out(files: DataFrame, results: DataFrame, on="sha1") -> DataFrame:
-    """One result serves every file with the same content. A hot hash is
-    a skewed join key; AQE's skew-join splits that partition."""
-    return files.join(results, on, "left")
+            .drop("known_sha1", "computed_sha1")

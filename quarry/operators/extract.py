@@ -1,7 +1,7 @@
 """Extractors (D1 D3) and the outcome rows they produce.
 
-An extractor turns request rows ``(sha1, request_kind, content, ocr,
-ocr_languages)`` into outcome rows ``(sha1, request_kind, outcome,
+An extractor turns request rows ``(sha1, request_kind, content, mime, ocr,
+ocr_languages, ts)`` into outcome rows ``(sha1, request_kind, outcome,
 properties, text, message, ts)`` where ``outcome`` is success /
 parser_failure / service_failure.
 
@@ -23,20 +23,25 @@ from quarry.operators.outcomes import DEFAULT_RETRIES, classify_attempt, is_term
 from quarry.operators.responses import parse_responses
 
 OUTCOME_COLS = ["sha1", "request_kind", "outcome", "properties", "text", "message", "ts"]
+REQUEST_COLS = ["sha1", "request_kind", "content", "mime", "ocr", "ocr_languages"]
 ATTEMPT_SCHEMA = ("sha1 string, request_kind string, http_status int, transport_errno int, "
                   "response_json string, attempt bigint, ts timestamp")
 
 
+def _now(requests: DataFrame) -> Column:
+    return F.col("ts") if "ts" in requests.columns else F.current_timestamp()
+
+
 def _prop(pos: int, name: str, *values: Column, is_list: bool = False) -> Column:
     return F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("name"),
                     F.array(*[v.cast("string") for v in values]).alias("values"),
                     F.lit(is_list).alias("is_list"))
 
 
-def text_extractor(requests: DataFrame, now: Column | None = None) -> DataFrame:
+def text_extractor(requests: DataFrame) -> DataFrame:
     """Built-in extractor for plain-text files: the text itself plus a few
     content-derived properties. Always succeeds (HTTP 200)."""
-    now = now if now is not None else F.current_timestamp()
+    now = _now(requests)
     c = F.col("content").cast("string")
     props = F.array(
         _prop(0, "Content-Type", F.lit("text/plain; charset=UTF-8")),
@@ -65,9 +70,9 @@ def html_properties(html: Column) -> Column:
     ), lambda p: p.isNotNull())
 
 
-def html_extractor(requests: DataFrame, now: Column | None = None) -> DataFrame:
+def html_extractor(requests: DataFrame) -> DataFrame:
     """D3: built-in HTML extractor, Catalyst-native. Same outcome shape."""
-    now = now if now is not None else F.current_timestamp()
+    now = _now(requests)
     h = F.col("content").cast("string")
     full = F.col("request_kind") == "full"
     return requests.select(
@@ -80,19 +85,41 @@ def html_extractor(requests: DataFrame, now: Column | None = None) -> DataFrame:
 html_extractor.never_fails = True
 
 
-def plugin_extractor(fn: Callable[[Iterator], Iterator], retries: int = DEFAULT_RETRIES) -> Callable:
+def by_mime(extractors: dict[str, Callable], default: Callable = text_extractor) -> Callable:
+    """One extractor per MIME type; ``default`` takes all other requests."""
+    def run(requests: DataFrame) -> DataFrame:
+        known = F.col("mime").isin(list(extractors))
+        out = default(requests.where(~F.coalesce(known, F.lit(False)))).select(*OUTCOME_COLS)
+        for mime, fn in extractors.items():
+            out = out.unionByName(fn(requests.where(F.col("mime") == mime)).select(*OUTCOME_COLS))
+        return out
+
+    run.never_fails = all(getattr(f, "never_fails", False) for f in (default, *extractors.values()))
+    return run
+
+
+def plugin_extractor(fn: Callable[[Iterator], Iterator], retries: int = DEFAULT_RETRIES,
+                     partitions: int | None = None) -> Callable:
     """Wrap a batch function ``Iterator[pd.DataFrame] -> Iterator[pd.DataFrame]``.
 
-    ``fn`` gets frames with ``sha1, request_kind, content, ocr,
-    ocr_languages`` and yields frames in :data:`ATTEMPT_SCHEMA` (one row per
-    attempt; it may stop after a terminal attempt). Attempts are resolved
-    with E5/A3 semantics and successful bodies parsed with S2.
+    ``fn`` gets frames with :data:`REQUEST_COLS` (F13: the OCR switch, the OCR
+    languages and the MIME type of the file that stands for the content) and
+    yields frames in :data:`ATTEMPT_SCHEMA` (one row per attempt; it may stop
+    after a terminal attempt). Attempts are resolved with E5/A3 semantics and
+    successful bodies parsed with S2. A request without any row counts as a
+    service failure. ``partitions``: tasks that extract at once; requests are
+    small, so Spark would otherwise merge them into a few tasks by size.
     """
     limit = 1 + retries
 
     def run(requests: DataFrame) -> DataFrame:
-        cols = [c for c in ("sha1", "request_kind", "content", "ocr", "ocr_languages") if c in requests.columns]
-        att = requests.select(*cols).mapInPandas(fn, ATTEMPT_SCHEMA)
+        absent = [c for c in REQUEST_COLS if c not in requests.columns]
+        if absent:
+            raise ValueError(f"extraction requests lack {', '.join(absent)}")
+        asked = requests.select(*REQUEST_COLS)
+        if partitions:
+            asked = asked.repartition(partitions, "sha1")
+        att = asked.mapInPandas(fn, ATTEMPT_SCHEMA)
         att = att.withColumn("class", classify_attempt(F.col("http_status"), F.col("transport_errno")))
         within = F.col("attempt") <= limit
         first = F.min(F.when(within & is_terminal(F.col("class")),

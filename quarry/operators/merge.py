@@ -6,11 +6,13 @@ no regroup (an explode would cost a shuffle to put rows back together).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from quarry.functions import meta
 from quarry.functions.text import ascii_lower, display_value, join_values
 from quarry.operators.properties import DEFAULT_VISIBLE_FIELDS
+from quarry.operators.responses import parse_responses
+from quarry.operators.state import properties_json
 
 
 def merge_content(strategy: Column, native: Column, extracted: Column) -> Column:
@@ -33,6 +35,26 @@ def strip_stash(formatted: Column) -> Column:
         F.filter(formatted["collapsed"], keep).alias("collapsed")))
 
 
+def stash(properties: Column) -> Column:
+    """M4: extracted properties as the opaque value kept beside native metadata (object form)."""
+    return F.struct(properties.alias("metadata"))
+
+
+def stash_json(properties: Column) -> Column:
+    """M4: the same after a JSON round trip (array form)."""
+    return F.concat(F.lit('{"metadata":'), properties_json(properties), F.lit("}"))
+
+
+def unstash(df: DataFrame, stashed: str, out: str) -> DataFrame:
+    """M4 importer: properties from a stash of either form (a struct, or its JSON);
+    NULL when there is none, or when the JSON has no ``metadata``."""
+    if isinstance(df.schema[stashed].dataType, T.StructType):
+        return df.withColumn(out, F.col(stashed)["metadata"])
+    keep = [c for c in df.columns if c != out]
+    p = parse_responses(df.select(F.struct(*keep).alias("_row"), F.get_json_object(stashed, "$.metadata").alias("_json")), "_json")
+    return p.select("_row.*", F.when(F.col("parsed_ok"), F.col("properties")).alias(out))
+
+
 def _lines_native(formatted: Column) -> Column:
     entries = F.concat(F.coalesce(formatted["visible"], meta.empty_entries()),
                        F.coalesce(formatted["collapsed"], meta.empty_entries()))

@@ -45,7 +45,9 @@ STRATEGY_WORDS = {"no_tika": "no_extracted", "prefer_other": "prefer_native",
 STRATEGIES = list(STRATEGY_WORDS.values())
 BOOL_PARAMS = ["allow_ocr", "ignore_content_service_errors", "ignore_content_parsing_errors",
                "ignore_metadata_service_errors", "ignore_metadata_parsing_errors"]
-MAX_CONFIG_LABELS = 10_000  # profiles are configuration; refuse anything larger
+# Setting: profiles are configuration, and their table is broadcast. A larger configuration is refused with an error
+# (nothing is dropped). The walk through aliases is bound by spark.sql.cteRecursionLevelLimit and ...RowLimit.
+MAX_CONFIG_LABELS = 10_000
 
 
 @dataclass
@@ -158,6 +160,9 @@ def resolve_profiles(spark: SparkSession, config: ProfileConfig) -> DataFrame:
         rows = df.limit(MAX_CONFIG_LABELS + 1).collect()
         if len(rows) > MAX_CONFIG_LABELS:
             raise ValueError("profile configuration too large to broadcast")
+        bad = [f"{r.label}: {r.invalid}" for r in rows if r.invalid]
+        if bad:  # X8, X9: an unknown word or a bad stamp is an error, a missing parameter only makes the label no profile
+            raise ValueError("profile values that can't be read: " + "; ".join(sorted(bad)))
         hit = (rows, df.schema)
         _RESOLVED_CACHE[key] = hit
     return spark.createDataFrame(hit[0], hit[1])
@@ -212,11 +217,6 @@ def _resolve_profiles(spark: SparkSession, config: ProfileConfig) -> DataFrame:
     )
 
 
-def check_profiles(resolved: DataFrame) -> DataFrame:
-    """Rows of the resolved table that are not complete (strict loaders raise)."""
-    return resolved.where(F.col("status") != "complete").select("label", "status", "missing", "invalid")
-
-
 def choose_label(mime: Column, config: ProfileConfig) -> Column:
     """J1 with P3: the exact MIME label if configured (even as ``off``),
     else ``*`` if configured, else NULL. The label set is configuration."""

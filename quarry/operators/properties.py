@@ -210,11 +210,11 @@ class RuleSet:
         return self._cached_maps
 
     def display_name(self, tag: Column) -> Column:
-        """Localised label for ``exif-<tag>`` if known, else the tag."""
+        """Localised label for ``exif-<tag>`` if known, else the escaped tag."""
         if not self.labels:
-            return tag
+            return escape_html(tag)
         m = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(v)) for k, v in self.labels.items()))
-        return F.coalesce(F.try_element_at(m, F.concat(F.lit(meta.ID_PREFIX), ascii_lower(tag))), tag)
+        return F.coalesce(F.try_element_at(m, F.concat(F.lit(meta.ID_PREFIX), ascii_lower(tag))), escape_html(tag))
 
 
 def _mapped(p: Column, r: Column, rules: RuleSet) -> Column:

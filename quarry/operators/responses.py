@@ -19,17 +19,20 @@ def parse_responses(df: DataFrame, body: str = "body") -> DataFrame:
     without the text key, X10), ``text`` (trimmed, '' when absent, X2) and
     ``parsed_ok`` (false for malformed or non-object bodies).
 
-    The JSON is parsed once into a column; the in-row canonicalisation then
-    works on that column only.
+    The JSON is parsed once into a column; duplicate keys are then resolved
+    in-row by two sorts, not by comparing all keys with each other.
     """
     df = df.withColumn("_m", F.from_json(F.col(body), "map<string,variant>"))
     df = df.withColumn("_e", F.transform(F.map_entries("_m"), lambda x, i: F.struct(
         i.alias("idx"), x["key"].alias("key"), x["value"].alias("value"))))
-    e = F.col("_e")
-    firsts = F.filter(e, lambda x: ~F.exists(e, lambda y: (y["key"] == x["key"]) & (y["idx"] < x["idx"])))
-    df = df.withColumn("_c", F.transform(firsts, lambda x: F.struct(
-        x["key"].alias("key"),
-        F.element_at(F.filter(e, lambda y: y["key"] == x["key"]), -1)["value"].alias("value"))))
+    # Sorted by key and position, the first and the last of equal keys stand at the ends of a run.
+    df = df.withColumn("_s", F.array_sort("_e", lambda x, y: F.when(x["key"] < y["key"], -1).when(x["key"] > y["key"], 1)
+                                          .otherwise(F.signum(x["idx"] - y["idx"]).cast("int"))))
+    s, n = F.col("_s"), F.size("_s")
+    firsts = F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["key"] != x["key"]))
+    lasts = F.filter(s, lambda x, i: (i == n - 1) | (F.get(s, i + 1)["key"] != x["key"]))
+    canon = F.zip_with(firsts, lasts, lambda a, b: F.struct(a["idx"].alias("idx"), a["key"].alias("key"), b["value"].alias("value")))
+    df = df.withColumn("_c", F.array_sort(canon, lambda x, y: F.signum(x["idx"] - y["idx"]).cast("int")))
     c = F.col("_c")
 
     def prop(x, i):
@@ -41,9 +44,5 @@ def parse_responses(df: DataFrame, body: str = "body") -> DataFrame:
     return (df.withColumn("properties", props)
               .withColumn("text", trim_text(F.try_variant_get(txt, "$", "string")))
               .withColumn("parsed_ok", F.col("_m").isNotNull())
-              .drop("_m", "_e", "_c"))
+              .drop("_m", "_e", "_s", "_c"))
 
-
-def empty_response():
-    """HTTP 204: metadata known and empty, text ''."""
-    return meta.empty_properties(), F.lit("")

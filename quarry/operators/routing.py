@@ -19,11 +19,14 @@ def route(profile_ok: Column, handler_strategy: Column, has_native: Column) -> C
 
 
 def apply_route(df: DataFrame, native_cols=("native_text", "native_meta")) -> DataFrame:
-    """Add ``route``; under ``solo`` the native inputs are forced to NULL."""
+    """Add ``route``; under ``solo`` the native inputs are forced to NULL, under
+    ``wrapping`` empty ones are NULL (S7: an empty text or a formatted metadata
+    without entries is none). The native route keeps its handler's values."""
     df = df.withColumn("route", route(F.col("profile_ok"), F.col("handler_strategy"), F.col("has_native")))
     for c in native_cols:
         if c in df.columns:
-            df = df.withColumn(c, F.when(F.col("route") != "solo", F.col(c)))
+            empty = F.col(c) == "" if c == "native_text" else F.size(F.col(c)["visible"]) + F.size(F.col(c)["collapsed"]) <= 0
+            df = df.withColumn(c, F.when((F.col("route") != "solo") & ~((F.col("route") == "wrapping") & F.coalesce(empty, F.lit(False))), F.col(c)))
     return df
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quarry.functions.timefmt import format_ts, parse_ts
+from quarry.operators.responses import parse_responses
 
 STATE_COLS = ["m_state", "c_state", "success_ts", "m_fail_ts", "c_fail_ts"]
 SCHEMA_VERSION = 1
@@ -16,6 +17,9 @@ SCHEMA_VERSION = 1
 # Keys of a serialized base record.
 RECORD_KEYS = ["schema", "sha1", "successTimestamp", "metadata", "metadataFailure",
                "contents", "contentsFailure"]
+# Keys of a serialized failure and of a contents record.
+FAILURE_KEYS = ["previousMessage", "timestamp", "onlyMetadata"]
+CONTENTS_KEYS = ["schema", "sha1", "contents"]
 # ---- end of fixed values ----
 
 
@@ -68,12 +72,6 @@ def violations(df: DataFrame) -> DataFrame:
     return df.select("sha1", F.explode(v).alias("violation"))
 
 
-def unknown_entry(sha1: Column) -> list:
-    return [sha1.alias("sha1"), F.lit("unknown").alias("m_state"), F.lit("unknown").alias("c_state"),
-            F.lit(None).cast("timestamp").alias("success_ts"), F.lit(None).cast("timestamp").alias("m_fail_ts"),
-            F.lit(None).cast("timestamp").alias("c_fail_ts")]
-
-
 def resolve_layers(near: DataFrame, deep: DataFrame, m_payload=(), c_payload=()) -> DataFrame:
     """Fill unknown parts of the nearer entry from the deeper layer.
 
@@ -104,24 +102,70 @@ def resolve_layers(near: DataFrame, deep: DataFrame, m_payload=(), c_payload=())
     return j.select(*cols)
 
 
+def properties_json(props: Column) -> Column:
+    """Ordered properties as a JSON object: one value as itself, a list as an array."""
+    inner = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    item = lambda p: F.concat(inner(p["name"]), F.lit(":"), F.when(
+        p["is_list"], F.to_json(p["values"], {"ignoreNullFields": "false"})).otherwise(F.coalesce(inner(p["values"][0]), F.lit("null"))))
+    return F.concat(F.lit("{"), F.array_join(F.transform(props, item), ","), F.lit("}"))
+
+
 def encode_record(df: DataFrame) -> DataFrame:
-    """X11 (encode): entry → JSON base record; NULL fields are omitted."""
-    fail = lambda st, t: F.when(F.col(st) == "fail", F.struct(format_ts(F.col(t)).alias("timestamp")))
-    rec = F.struct(
-        F.lit(SCHEMA_VERSION).alias("schema"), F.col("sha1").alias("sha1"),
-        format_ts(F.col("success_ts")).alias("successTimestamp"),
-        F.when(F.col("m_state") == "good", F.lit(True)).alias("metadata"),
-        fail("m_state", "m_fail_ts").alias("metadataFailure"),
-        F.when(F.col("c_state") == "good", F.lit(True)).alias("contents"),
-        fail("c_state", "c_fail_ts").alias("contentsFailure"))
-    return df.select("sha1", F.to_json(rec).alias("body"))
-
-
-def decode_record(body: Column):
-    """X11 (decode) + U2 + X8: ``(missing keys, version_ok, success stamp)``."""
-    m = F.from_json(body, "map<string,variant>")
-    keys = F.map_keys(m)
-    missing = F.array_except(F.array(*[F.lit(k) for k in RECORD_KEYS]), F.coalesce(keys, F.array().cast("array<string>")))
-    version = F.try_variant_get(F.try_element_at(m, F.lit("schema")), "$", "int")
-    ts = parse_ts(F.try_variant_get(F.try_element_at(m, F.lit("successTimestamp")), "$", "string"))
-    return missing, F.coalesce(version == SCHEMA_VERSION, F.lit(False)), ts
+    """X11 (encode): entry → ``(sha1, body, contents_body)``.
+
+    ``body`` has all keys of :data:`RECORD_KEYS`, NULL values included; failures
+    carry message, stamp and whether the request was for metadata only. Contents
+    are a record of their own (``false`` for a failure, NULL when unknown).
+    """
+    string = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    orn = lambda c: F.coalesce(c, F.lit("null"))
+
+    def failure(st, t, message, only):
+        return F.when(F.col(st) == "fail", F.concat(
+            F.lit('{"previousMessage":'), orn(string(F.col(message))), F.lit(',"timestamp":'), orn(string(format_ts(F.col(t)))),
+            F.lit(f',"onlyMetadata":{only}}}')))
+    m, c = F.col("m_state"), F.col("c_state")
+    head = F.concat(F.lit(f'{{"schema":{SCHEMA_VERSION},"sha1":'), string(F.col("sha1")))
+    body = F.concat(
+        head, F.lit(',"successTimestamp":'), orn(string(format_ts(F.col("success_ts")))),
+        F.lit(',"metadata":'), F.when(m == "good", properties_json(F.col("properties"))).when(m == "fail", "false").otherwise("null"),
+        F.lit(',"metadataFailure":'), orn(failure("m_state", "m_fail_ts", "m_message", "true")),
+        F.lit(',"contents":'), F.when(c == "good", "true").when(c == "fail", "false").otherwise("null"),
+        F.lit(',"contentsFailure":'), orn(failure("c_state", "c_fail_ts", "c_message", "false")), F.lit("}"))
+    contents = F.when(c == "good", F.concat(head, F.lit(',"contents":['), string(F.coalesce("text", F.lit(""))), F.lit("]}"))).when(c == "fail", "false")
+    return df.select("sha1", body.alias("body"), contents.alias("contents_body"))
+
+
+def missing_keys(body: Column, keys: list) -> Column:
+    """The keys that a JSON record lacks (a key with a NULL value is there)."""
+    found = F.map_keys(F.from_json(body, "map<string,variant>"))
+    return F.array_except(F.array(*[F.lit(k) for k in keys]), F.coalesce(found, F.array().cast("array<string>")))
+
+
+def decode_record(df: DataFrame) -> DataFrame:
+    """X11 (decode) + U2 + X8: ``(body, contents_body)`` → entry columns, and
+    ``missing`` keys (of the record, its failures and its contents record) and
+    ``version_ok``. An entry with missing keys or another version is unknown."""
+    get = lambda c, path: F.get_json_object(c, path)
+    b, cb = F.col("body"), F.col("contents_body")
+    prefixed = lambda name, keys: F.transform(keys, lambda k: F.concat(F.lit(name + "."), k))
+    none = F.array().cast("array<string>")
+    fails = [F.when(get(b, f"$.{k}").isNotNull(), prefixed(k, missing_keys(get(b, f"$.{k}"), FAILURE_KEYS))).otherwise(none)
+             for k in ("metadataFailure", "contentsFailure")]
+    record = F.when(cb.isNotNull() & (cb != "false"), prefixed("contents", missing_keys(cb, CONTENTS_KEYS))).otherwise(none)
+    df = df.withColumns({"missing": F.concat(missing_keys(b, RECORD_KEYS), *fails, record),
+                         "version_ok": F.coalesce(get(b, "$.schema") == str(SCHEMA_VERSION), F.lit(False))})
+    good = (F.size("missing") == 0) & F.col("version_ok")
+    meta_json, contents = get(b, "$.metadata"), get(b, "$.contents")
+    m_state = F.when(good & (meta_json == "false"), "fail").when(good & meta_json.isNotNull(), "good").otherwise("unknown")
+    c_state = F.when(good & (contents == "false"), "fail").when(good & contents.isNotNull(), "good").otherwise("unknown")
+    df = df.withColumns({"m_state": m_state, "c_state": c_state, "_meta": F.when(m_state == "good", meta_json)})
+    df = parse_responses(df, "_meta").drop("text", "parsed_ok", "_meta")
+    fail = lambda st, k, f: F.when(F.col(st) == "fail", get(b, f"$.{k}.{f}"))
+    return df.select(
+        get(b, "$.sha1").alias("sha1"), "m_state", "c_state", F.when(good, parse_ts(get(b, "$.successTimestamp"))).alias("success_ts"),
+        parse_ts(fail("m_state", "metadataFailure", "timestamp")).alias("m_fail_ts"), parse_ts(fail("c_state", "contentsFailure", "timestamp")).alias("c_fail_ts"),
+        F.when(F.col("m_state") == "good", F.col("properties")).alias("properties"),
+        F.when(F.col("c_state") == "good", get(cb, "$.contents[0]")).alias("text"),
+        fail("m_state", "metadataFailure", "previousMessage").alias("m_message"), fail("c_state", "contentsFailure", "previousMessage").alias("c_message"),
+        "missing", "version_ok")

@@ -9,18 +9,22 @@ relations derived from them); there are no row caps or id subsets.
 from __future__ import annotations
 
 import datetime as dt
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.functions import html as H
+from quarry.functions import meta
 from quarry.functions.text import append_metadata, trim_text
 from quarry.operators import content, merge, outcomes, routing, state
-from quarry.operators.profiles import match_profile, resolve_long, resolve_profiles, choose_label
+from quarry.operators.extract import by_mime, html_extractor, text_extractor
+from quarry.operators.profiles import DEFAULTS, ProfileConfig, default_config, match_profile, resolve_long, resolve_profiles, choose_label
 from quarry.operators.properties import RuleSet, map_properties
 from quarry.operators.responses import parse_responses
 from quarry.plans import fixture_profiles, pipeline
+from quarry.session import work_dir
 from quarry.sources import fixtures
+from quarry.sources.store import ResultStore
 from quarry.sources.tables import table
 
 # Parameters of the catalogue (fixed, shared with the oracle SQL).
@@ -46,6 +50,17 @@ def _profiled(spark, sf):
     return match_profile(f, resolve_profiles(spark, cfg), cfg)
 
 
+def _labelled(spark, sf, cfg):
+    """Files whose MIME types go round all configured labels (loop, dangling, partial, off) and an unknown one."""
+    mimes = [x[0] for x in fixture_profiles.LABELS if x[0] != "*"] + ["x/unknown"]
+    mime = F.element_at(F.array(*[F.lit(m) for m in mimes]), (F.pmod("doc_id", F.lit(len(mimes))) + 1).cast("int"))
+    return table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), choose_label(mime, cfg).alias("label"))
+
+
+def _new_store(spark, name):
+    return ResultStore(spark, work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}"))
+
+
 # ---- content identity -------------------------------------------------------
 
 def q_content_key(spark, sf):
@@ -63,8 +78,8 @@ def q_path_conflicts(spark, sf):
 
 
 def q_path_index(spark, sf):
-    """Files resolved through the latest path index."""
-    log = fixtures.path_log(spark, sf)
+    """Files resolved through the latest path index, which doesn't know the German paths yet."""
+    log = fixtures.path_log(spark, sf).where(~F.col("path").endswith("/de.txt"))
     idx = content.latest_path_index(log)
     f = fixtures.files(spark, sf).select("file_id", "content",
                                          F.concat(F.lit("/files/"), F.col("source"), F.lit("/"), F.col("lang"),
@@ -86,7 +101,8 @@ def q_resolve_profiles(spark, sf):
     cfg = _cfg()
     labels, params = cfg.frames(spark)
     long = resolve_long(spark, labels, params)
-    f = fixtures.files(spark, sf).select("file_id", choose_label(F.col("mime"), cfg).alias("label"))
+    f = _labelled(spark, sf, cfg)
+    # one row per label and parameter of the configuration
     return f.join(F.broadcast(long), "label").select(F.col("file_id").alias("doc_id"), "label", "param", "value")
 
 
@@ -94,7 +110,7 @@ def q_profile_report(spark, sf):
     """A6 + F14 per file: status of the chosen label and what it misses."""
     cfg = _cfg()
     res = resolve_profiles(spark, cfg).select("label", "status", "missing")
-    f = fixtures.files(spark, sf).select("file_id", choose_label(F.col("mime"), cfg).alias("label"))
+    f = _labelled(spark, sf, cfg)
     j = f.join(F.broadcast(res), "label", "left")
     return j.select(F.col("file_id").alias("doc_id"), F.coalesce("label", F.lit("(none)")).alias("label"),
                     F.coalesce("status", F.lit("no_label")).alias("status"),
@@ -156,9 +172,18 @@ def q_action(spark, sf):
 
 
 def q_probe_store(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.sha1("text").alias("sha1"))
-    keys = fixtures.store_keys(spark, sf).withColumn("hit", F.lit(True))
-    return d.join(keys, "sha1", "left").select("doc_id", "sha1", F.coalesce("hit", F.lit(False)).alias("hit"))
+    """J4 against a filled store: English contents in ``main``, French ones in ``other``, in two deltas."""
+    store = _new_store(spark, "probe")
+    d = table(spark, sf, "documents").select("doc_id", "lang", F.sha1("text").alias("sha1"), "text")
+    for lang, name in (("en", "main"), ("fr", "other")):
+        known = d.where(F.col("lang") == lang).groupBy("sha1").agg(F.min("text").alias("text"))
+        store.commit(known.select(
+            F.lit(name).alias("store"), "sha1", F.lit(1).alias("schema_version"), F.lit("good").alias("m_state"), F.lit("good").alias("c_state"),
+            F.lit(FIXED_NOW).cast("timestamp").alias("success_ts"), *[F.lit(None).cast("timestamp").alias(c) for c in ("m_fail_ts", "c_fail_ts")],
+            meta.empty_properties().alias("properties"), "text", *[F.lit(None).cast("string").alias(c) for c in ("m_message", "c_message")]))
+    states = store.states().groupBy("sha1").agg(F.max(F.col("store") == "main").alias("hit"), F.max(F.col("store") == "other").alias("hit_other"))
+    no = F.lit(False)
+    return d.join(states, "sha1", "left").select("doc_id", "sha1", F.coalesce("hit", no).alias("hit"), F.coalesce("hit_other", no).alias("hit_other"))
 
 
 def q_resolve_layers(spark, sf):
@@ -170,17 +195,73 @@ def q_resolve_layers(spark, sf):
 
 
 def q_upsert_store(spark, sf):
-    cut = F.lit(CUT).cast("timestamp")
-    old = _fold(spark, sf, F.col("ts") < cut).withColumn("version", F.lit("old"))
-    new = _fold(spark, sf, F.col("ts") >= cut).withColumn("version", F.lit("new"))
-    merged = old.join(new.select("sha1"), "sha1", "left_anti").unionByName(new)
-    return merged.select("sha1", "version", "m_state", "c_state",
-                         (F.col("c_state") == "good").alias("keeps_contents"))
+    """An early and a late state of the outcome log committed one after the other, then compacted and read."""
+    store, cut = _new_store(spark, "upsert"), F.lit(CUT).cast("timestamp")
+    for version, when in (("old", F.col("ts") < cut), ("new", F.col("ts") >= cut)):
+        store.commit(_fold(spark, sf, when).select(
+            F.lit("main").alias("store"), "sha1", F.lit(1).alias("schema_version"), "m_state", "c_state", "success_ts", "m_fail_ts", "c_fail_ts",
+            meta.empty_properties().alias("properties"), F.lit("contents").alias("text"), F.lit(version).alias("m_message"),
+            F.lit(None).cast("string").alias("c_message")))
+    store.compact()
+    return store.state().select("sha1", F.col("m_message").alias("version"), "m_state", "c_state", F.col("text").isNotNull().alias("keeps_contents"))
+
+
+def failing_extractor(requests):
+    """Column-built extractor that fails by the first digit of the hash: 0-3 can't be parsed in full (0 not for metadata
+    either), 4-5 find no service, 6 is never answered in full; 1 finds no service for metadata."""
+    digit, full = F.substring("sha1", 1, 1), F.col("request_kind") == "full"
+    out = text_extractor(requests).where(~(full & (digit == "6")))
+    outcome = (F.when(full & digit.isin("0", "1", "2", "3"), "parser_failure").when(full & digit.isin("4", "5"), "service_failure")
+               .when(~full & (digit == "0"), "parser_failure").when(~full & (digit == "1"), "service_failure").otherwise("success"))
+    good = outcome == "success"
+    return out.select("sha1", "request_kind", outcome.alias("outcome"), F.when(good, F.col("properties")).alias("properties"),
+                      F.when(good, F.col("text")).alias("text"), F.when(~good, F.lit("failed")).alias("message"), "ts")
+
+
+def _failures(spark, sf):
+    return pipeline.Settings(config=fixture_profiles.failure_config(), now=FIXED_NOW, extractor=failing_extractor)
 
 
 def q_fallback_metadata(spark, sf):
-    f = _fold(spark, sf)
-    return f.select("sha1", ((F.col("c_state") == "fail") & (F.col("m_state") == "unknown")).alias("second_pass"))
+    """E3 as the engine runs it: which contents got a second, metadata-only request, and what became of them."""
+    s, f = _failures(spark, sf), fixtures.files(spark, sf)
+    e = pipeline.store_or_extract(spark, pipeline.prepare_files(spark, f, s).drop("content"), s, contents=f.select("file_id", "content"))
+    return e.select(F.coalesce("store", F.lit("-")).alias("store"), "sha1", (F.col("action") == "extract_metadata_fallback").alias("second_pass"), "m_state", "c_state")
+
+
+def q_errors(spark, sf):
+    """Every failed request of every file, judged by the file's own profile."""
+    g = pipeline.errors(pipeline.generate(spark, fixtures.files(spark, sf), _failures(spark, sf)))
+    return g.select(F.col("file_id").alias("doc_id"), "kind", "error_class", "error_part", "ignored")
+
+
+def q_search_content_failures(spark, sf):
+    """M2 when extraction fails: what is left of the search text, and whether metadata are stashed."""
+    g = pipeline.generate(spark, fixtures.files(spark, sf), _failures(spark, sf))
+    return g.where("route <> 'wrapping'").select(F.col("file_id").alias("doc_id"), "route", F.sha1("content").alias("content_sha1"),
+                                                 F.size("extracted_properties").alias("n_properties"))
+
+
+def q_refresh(spark, sf):
+    """English contents extracted early, the others later; a refresh extracts again what is older than the bound."""
+    from quarry.streaming.ingest import refresh
+    cfg = ProfileConfig.from_dict({"*": {**DEFAULTS, "cache_file_backend": "main"}})
+    store, f = _new_store(spark, "refresh"), fixtures.files(spark, sf)
+    for files, now in ((f.where("lang = 'en'"), dt.datetime(2024, 1, 10)), (f, dt.datetime(2024, 2, 1))):
+        pipeline.generate(spark, files, pipeline.Settings(config=cfg, store=store, now=now))
+    refresh(spark, f, cfg, store, success_before=dt.datetime(2024, 1, 20), now=FIXED_NOW)
+    return store.state().select("store", "sha1", _ts_text(F.col("success_ts")).alias("success_ts"))
+
+
+def q_extract_pages(spark, sf):
+    """Pages as files without a native handler; the extractor is chosen by MIME type."""
+    files = table(spark, sf, "pages").select(
+        F.col("page_id").alias("file_id"), F.lit("text/html").alias("mime"), F.lit(False).alias("has_native"), F.lit(None).cast("string").alias("native_text"),
+        F.lit(None).cast(meta.FORMATTED).alias("native_meta"), F.col("html").alias("content"))
+    s = pipeline.Settings(config=default_config(), now=FIXED_NOW, extractor=by_mime({"text/html": html_extractor}))
+    g = pipeline.generate(spark, files, s)
+    title = F.try_element_at(F.filter("extracted_properties", lambda p: p["name"] == "dc:title"), F.lit(1))["values"][0]
+    return g.select(F.col("file_id").alias("page_id"), F.sha1("content").alias("text_sha1"), title.alias("title"))
 
 
 def q_error_policy(spark, sf):
@@ -200,11 +281,48 @@ def q_error_policy(spark, sf):
                     result.alias("result"))
 
 
+def _records(spark, sf):
+    """Folded entries with payload, as the store keeps them (stamps in milliseconds)."""
+    e, ms = _fold(spark, sf), lambda c: F.date_trunc("millisecond", F.col(c)).alias(c)
+    prop = lambda pos, name, many, *v: F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("name"), F.array(*v).alias("values"), F.lit(many).alias("is_list"))
+    quoted = F.concat(F.lit('a "b" \\ '), F.col("sha1"))
+    return e.select(
+        "sha1", "m_state", "c_state", ms("success_ts"), ms("m_fail_ts"), ms("c_fail_ts"),
+        F.when(F.col("m_state") == "good", F.array(prop(0, "z:last", False, quoted), prop(1, "a:list", True, F.col("sha1"), F.lit("x")))).alias("properties"),
+        F.when(F.col("c_state") == "good", F.concat(F.lit("line\n"), quoted)).alias("text"),
+        F.when(F.col("m_state") == "fail", F.lit("bad \"m\"")).alias("m_message"), F.when(F.col("c_state") == "fail", F.lit("bad c")).alias("c_message"))
+
+
+def q_record_roundtrip(spark, sf):
+    """X11: both records written and read back."""
+    r = state.decode_record(state.encode_record(_records(spark, sf)))
+    lines = F.transform("properties", lambda p: F.concat(p["pos"].cast("string"), F.lit(" "), p["name"], F.lit(" "), p["is_list"].cast("string"), F.lit(" "),
+                                                         F.array_join(p["values"], ",")))
+    return r.select("sha1", "m_state", "c_state", *[_ts_text(F.col(c)).alias(c) for c in ("success_ts", "m_fail_ts", "c_fail_ts")],
+                    F.array_join(lines, ";").alias("properties"), "text", "m_message", "c_message", F.array_join("missing", ",").alias("missing"), "version_ok")
+
+
 def q_missing_keys(spark, sf):
-    enc = state.encode_record(_fold(spark, sf))
-    missing, vok, ts = state.decode_record(F.col("body"))
-    return enc.select("sha1", F.array_join(missing, ",").alias("missing"), vok.alias("version_ok"),
-                      _ts_text(ts).alias("ts"))
+    """Records that lost a key, and failures that lost one."""
+    enc = state.encode_record(_records(spark, sf))
+    first = F.substring("sha1", 1, 1)
+    body = F.when(first < "4", F.replace("body", F.lit('"contents":'), F.lit('"other":'))) \
+        .when(first > "b", F.replace("body", F.lit('"onlyMetadata"'), F.lit('"only"'))).otherwise(F.col("body"))
+    r = state.decode_record(enc.withColumn("body", body))
+    return r.select("sha1", F.array_join("missing", ",").alias("missing"), "m_state", "c_state")
+
+
+def q_unstash(spark, sf):
+    """M4: extracted properties stashed with native metadata and recovered, in both forms."""
+    p = _props(spark, sf).select("file_id", "properties")
+    out = None
+    for form, c in (("object", merge.stash(F.col("properties"))), ("array", merge.stash_json(F.col("properties")))):
+        one = merge.unstash(p.withColumn("kept", c), "kept", "found").select("file_id", F.lit(form).alias("form"), "found")
+        out = one if out is None else out.unionByName(one)
+    # the text key is no property, so parsing a stash drops it
+    e = out.select("file_id", "form", F.explode("found").alias("p")).where(F.col("p.name") != meta.CONTENT_KEY)
+    return e.select(F.col("file_id").alias("doc_id"), "form", F.col("p.name").alias("name"), F.col("p.is_list").alias("is_list"),
+                    F.posexplode("p.values").alias("vpos", "value"))
 
 
 # ---- properties and merging -------------------------------------------------
@@ -321,24 +439,15 @@ def q_ingest_stream(spark, sf):
     return ingest_documents_stream(spark, sf, _cfg(), now=FIXED_NOW)
 
 
-QUERIES = {name: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}
-
-
 def q_outcome_stream(spark, sf):
     """The events table read as a file stream, folded batch by batch
     into bounded state; the final state equals q_fold_outcomes."""
-    import uuid
-    from quarry.session import work_dir
-    from quarry.streaming.ingest import fold_outcome_stream
+    from quarry.streaming.ingest import fold_outcome_stream, latest_state
     base = work_dir(spark, f"outcomes-{uuid.uuid4().hex[:12]}")
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events*.parquet").parquet(sf))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/events.parque[t]")
     fold_outcome_stream(spark, fixtures.outcomes_from(stream), base + "/state", base + "/checkpoint")
-    jfs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base + "/state")
-    fs = jfs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    last = max(int(st.getPath().getName()[2:]) for st in fs.listStatus(jfs) if st.getPath().getName().startswith("b="))
-    return _state_out(outcomes.fold_outcomes(spark.read.parquet(f"{base}/state/b={last}")))
+    return _state_out(outcomes.fold_outcomes(spark.read.parquet(latest_state(spark, base + "/state"))))
 
 
 QUERIES = {name: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}

@@ -10,7 +10,7 @@ from quarry.operators.profiles import PARAMS, STRATEGY_WORDS
 from quarry.operators.properties import BUILTIN_RULES
 from quarry.functions.meta import STASH_TAG
 from quarry.plans import catalogue as C
-from quarry.plans.fixture_profiles import LABELS, PARAMS as PROFILE_PARAMS, values_sql
+from quarry.plans.fixture_profiles import FAILURE_LABELS, FAILURE_PARAMS, LABELS, PARAMS as PROFILE_PARAMS, values_sql
 
 UP = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOW = "abcdefghijklmnopqrstuvwxyz"
@@ -50,8 +50,9 @@ def _bool(p):
     return f"max(value) FILTER (WHERE param = '{p}') = 'true' AS {p}"
 
 
-PROFILES = f"""labels AS (SELECT * FROM {values_sql(LABELS, ['label', 'kind', 'ref'])}),
-params AS (SELECT * FROM {values_sql(PROFILE_PARAMS, ['label', 'param', 'value'])}),
+def profiles_cte(labels, params):
+    return f"""labels AS (SELECT * FROM {values_sql(labels, ['label', 'kind', 'ref'])}),
+params AS (SELECT * FROM {values_sql(params, ['label', 'param', 'value'])}),
 walk(root, label, depth, visited) AS (
   SELECT label, label, 0, [label] FROM labels
   UNION ALL
@@ -83,10 +84,11 @@ fp AS (
 fprof AS (
   SELECT fp.*, p.label IS NOT NULL AS profile_ok, p.handler_strategy, p.allow_ocr, p.ocr_languages,
     p.content_strategy, p.content_composition, p.metadata_strategy,
-    p.ignore_content_service_errors, p.ignore_content_parsing_errors
+    p.ignore_content_service_errors, p.ignore_content_parsing_errors,
+    p.ignore_metadata_service_errors, p.ignore_metadata_parsing_errors
   FROM fp LEFT JOIN (SELECT * FROM prof WHERE n_params = {len(PARAMS)}) p ON p.label = fp.label),
 routed AS (
-  SELECT *, CASE WHEN route <> 'solo' THEN native_text END AS nt,
+  SELECT *, CASE route WHEN 'solo' THEN NULL WHEN 'wrapping' THEN nullif(native_text, '') ELSE native_text END AS nt,
     CASE WHEN route <> 'solo' THEN native_text IS NOT NULL ELSE false END AS has_nm
   FROM (SELECT *,
     CASE WHEN NOT profile_ok THEN CASE WHEN has_native THEN 'native' ELSE 'none' END
@@ -105,10 +107,13 @@ req AS (
          THEN 'metadata' ELSE 'none' END AS metadata_request
   FROM routed)"""
 
+
+PROFILES = profiles_cte(LABELS, PROFILE_PARAMS)
+FAILURES = profiles_cte(FAILURE_LABELS, FAILURE_PARAMS)
+
 ATTEMPTS = """attempts AS (
   SELECT l_orderkey AS request_id,
-    CAST(row_number() OVER (PARTITION BY l_orderkey
-         ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS attempt,
+    CAST(l_linenumber AS BIGINT) AS attempt,
     CASE l_partkey % 9 WHEN 0 THEN 200 WHEN 1 THEN 204 WHEN 2 THEN 422 WHEN 3 THEN 500 WHEN 4 THEN 503 END AS http_status,
     CASE l_partkey % 9 WHEN 5 THEN 28 WHEN 6 THEN 52 WHEN 7 THEN 7 WHEN 8 THEN 56 END AS transport_errno
   FROM lineitem),
@@ -290,17 +295,19 @@ def sql() -> dict:
     path = "'/files/' || source || '/' || lang || '.txt'"
     q["q_path_conflicts"] = (f"SELECT {path} AS path, count(DISTINCT sha1(text)) AS n_hashes FROM documents "
                              "GROUP BY 1 HAVING count(DISTINCT sha1(text)) > 1")
-    q["q_path_index"] = (f"WITH idx AS (SELECT {path} AS path, arg_max(sha1(text), doc_id) AS known FROM documents GROUP BY 1) "
+    q["q_path_index"] = (f"WITH idx AS (SELECT {path} AS path, arg_max(sha1(text), doc_id) AS known FROM documents WHERE lang <> 'de' GROUP BY 1) "
                          f"SELECT d.doc_id, coalesce(i.known, sha1(d.text)) AS sha1, "
                          f"CASE WHEN i.known IS NOT NULL THEN 'index' ELSE 'computed' END AS sha1_source "
                          f"FROM documents d LEFT JOIN idx i ON i.path = {path.replace('source', 'd.source').replace('lang', 'd.lang')}")
     q["q_match_profile"] = W(FILES, PROFILES) + (
         "SELECT file_id AS doc_id, label, profile_ok, handler_strategy, content_strategy, content_composition, "
         "metadata_strategy FROM fprof")
-    q["q_resolve_profiles"] = W(FILES, PROFILES) + (
+    mimes = [x[0] for x in LABELS if x[0] != "*"] + ["x/unknown"]
+    round_ = f"files AS (SELECT doc_id AS file_id, list_extract({mimes!r}, CAST(doc_id % {len(mimes)} + 1 AS BIGINT)) AS mime, false AS has_native, NULL AS native_text FROM documents)"
+    q["q_resolve_profiles"] = W(round_, PROFILES) + (
         "SELECT fp.file_id AS doc_id, fp.label, r.param, r.value FROM fp JOIN rlong r ON r.label = fp.label")
     missing = "concat_ws(', ', " + ", ".join(f"CASE WHEN NOT coalesce(p.has_{x}, false) THEN '{x}' END" for x in PARAMS) + ")"
-    q["q_profile_report"] = W(FILES, PROFILES) + (
+    q["q_profile_report"] = W(round_, PROFILES) + (
         f"SELECT fp.file_id AS doc_id, coalesce(fp.label, '(none)') AS label, "
         f"CASE WHEN fp.label IS NULL THEN 'no_label' WHEN coalesce(p.n_params, 0) = {len(PARAMS)} THEN 'complete' ELSE 'incomplete' END AS status, "
         f"CASE WHEN fp.label IS NULL THEN '' ELSE {missing} END AS missing "
@@ -313,7 +320,7 @@ def sql() -> dict:
     q["q_classify_attempts"] = W(ATTEMPTS) + "SELECT request_id, attempt, class FROM classified"
     term = "class IN ('success', 'empty', 'parser_failure')"
     q["q_resolve_attempts"] = W(ATTEMPTS) + (
-        f"SELECT request_id, coalesce(arg_min(class, attempt) FILTER (WHERE attempt <= 3 AND {term}), "
+        f"SELECT request_id, coalesce(arg_min(class, (attempt, class)) FILTER (WHERE attempt <= 3 AND {term}), "
         f"CASE WHEN count(*) FILTER (WHERE attempt <= 3) >= 3 THEN 'exhausted' ELSE 'pending' END) AS outcome, "
         f"CAST(coalesce(min(attempt) FILTER (WHERE attempt <= 3 AND {term}), count(*) FILTER (WHERE attempt <= 3)) AS BIGINT) AS attempts_used "
         "FROM classified GROUP BY request_id")
@@ -331,9 +338,8 @@ def sql() -> dict:
        ELSE 'extract_full' END AS action
 FROM (SELECT e.*, r.request, e.m_state <> 'unknown' AND (r.request = 'metadata' OR e.c_state <> 'unknown') AS res
       FROM expd e CROSS JOIN (VALUES ('metadata'), ('full')) AS r(request))"""
-    q["q_probe_store"] = ("WITH k AS (SELECT DISTINCT sha1(text) AS sha1 FROM documents WHERE lang = 'en') "
-                          "SELECT d.doc_id, sha1(d.text) AS sha1, k.sha1 IS NOT NULL AS hit "
-                          "FROM documents d LEFT JOIN k ON k.sha1 = sha1(d.text)")
+    q["q_probe_store"] = ("WITH k AS (SELECT sha1(text) AS sha1, bool_or(lang = 'en') AS en, bool_or(lang = 'fr') AS fr FROM documents GROUP BY 1) "
+                          "SELECT d.doc_id, k.sha1, k.en AS hit, k.fr AS hit_other FROM documents d JOIN k ON k.sha1 = sha1(d.text)")
     cut = f"TIMESTAMP '{C.CUT}'"
     q["q_resolve_layers"] = W(OUTCOMES, fold_cte("h", f"ts >= {cut}"), fold_cte("c", f"ts < {cut}")) + """,
 j AS (
@@ -356,8 +362,50 @@ r AS (
         "SELECT sha1, 'old' AS version, m_state, c_state, c_state = 'good' AS keeps_contents FROM o "
         "WHERE sha1 NOT IN (SELECT sha1 FROM n) "
         "UNION ALL SELECT sha1, 'new', m_state, c_state, c_state = 'good' FROM n")
-    q["q_fallback_metadata"] = W(OUTCOMES, fold_cte("st")) + (
-        "SELECT sha1, c_state = 'fail' AND m_state = 'unknown' AS second_pass FROM st")
+    # what becomes of a content: asked by the strongest request of its files (per store), then for metadata alone
+    failed = """asked AS (
+  SELECT CASE WHEN label = 'application/pdf' THEN 'pdf-store' ELSE '-' END AS store, sha1(content) AS sha1, substr(sha1(content), 1, 1) AS d,
+    content_request, metadata_request FROM req WHERE content_request <> 'none' OR metadata_request <> 'none'),
+need AS (
+  SELECT store, sha1, d, bool_or(content_request = 'full') AS is_full, bool_or(content_request = 'metadata' OR metadata_request = 'metadata') AS wants
+  FROM asked GROUP BY ALL),
+one AS (SELECT sha1, bool_or(is_full) AS is_full FROM need GROUP BY sha1),
+first AS (
+  SELECT n.*, n.is_full AND d IN ('0', '1', '2', '3') AS unparsed, n.is_full AND d IN ('4', '5', '6') AS unanswered,
+    o.is_full AND d IN ('0', '1', '2', '3', '4', '5', '6') AS lost FROM need n JOIN one o USING (sha1)),
+entry AS (
+  SELECT store, sha1, is_full, unparsed OR (lost AND wants) AS second_pass,
+    CASE WHEN is_full AND NOT unparsed AND NOT unanswered THEN 'good'
+         WHEN is_full AND unanswered AND NOT wants THEN 'unknown'
+         ELSE CASE d WHEN '0' THEN 'fail' WHEN '1' THEN 'unknown' ELSE 'good' END END AS m_state,
+    CASE WHEN NOT is_full THEN 'unknown' WHEN unparsed THEN 'fail' WHEN unanswered THEN 'unknown' ELSE 'good' END AS c_state
+  FROM first),
+judged AS (
+  SELECT r.*, sha1(r.content) AS sha1, e.m_state, e.c_state FROM req r LEFT JOIN entry e
+    ON e.sha1 = sha1(r.content) AND e.store = CASE WHEN r.label = 'application/pdf' THEN 'pdf-store' ELSE '-' END),
+err AS (
+  SELECT *,
+    CASE WHEN content_request = 'none' THEN NULL WHEN m_state = 'unknown' OR (content_request = 'full' AND c_state = 'unknown') THEN 'service_failure'
+         WHEN m_state = 'fail' OR (content_request = 'full' AND c_state = 'fail') THEN 'parser_failure' END AS ce,
+    CASE WHEN metadata_request = 'none' THEN NULL WHEN m_state = 'unknown' THEN 'service_failure' WHEN m_state = 'fail' THEN 'parser_failure' END AS me
+  FROM judged),
+told AS (
+  SELECT *,
+    CASE ce WHEN 'parser_failure' THEN ignore_content_parsing_errors WHEN 'service_failure' THEN ignore_content_service_errors END AS ci,
+    CASE me WHEN 'parser_failure' THEN ignore_metadata_parsing_errors WHEN 'service_failure' THEN ignore_metadata_service_errors END AS mi
+  FROM err)"""
+    q["q_fallback_metadata"] = W(FILES, FAILURES, failed) + "SELECT store, sha1, second_pass, m_state, c_state FROM entry"
+    q["q_errors"] = W(FILES, FAILURES, failed) + (
+        "SELECT file_id AS doc_id, 'content' AS kind, ce AS error_class, CASE WHEN ce = 'parser_failure' THEN "
+        "CASE WHEN m_state = 'fail' THEN 'metadata' ELSE 'contents' END END AS error_part, ci AS ignored FROM told WHERE ce IS NOT NULL "
+        "UNION ALL SELECT file_id, 'metadata', me, CASE WHEN me = 'parser_failure' THEN 'metadata' END, mi FROM told WHERE me IS NOT NULL")
+    q["q_search_content_failures"] = W(FILES, FAILURES, failed) + f"""SELECT file_id AS doc_id, route,
+  sha1(CASE route WHEN 'native' THEN native_text WHEN 'none' THEN NULL
+       ELSE CASE WHEN ce IS NOT NULL AND NOT ci THEN NULL WHEN ce IS NOT NULL THEN '' ELSE trim(content, {TRIM}) END END) AS content_sha1,
+  CASE WHEN metadata_request = 'none' OR (me IS NOT NULL AND NOT mi) THEN NULL WHEN me IS NOT NULL THEN 0 ELSE 4 END AS n_properties
+FROM told WHERE route <> 'wrapping'"""
+    q["q_refresh"] = ("SELECT 'main' AS store, sha1(text) AS sha1, CASE WHEN bool_or(lang = 'en') THEN '2025-01-01 00:00:00.000000' "
+                      "ELSE '2024-02-01 00:00:00.000000' END AS success_ts FROM documents WHERE doc_id % 6 NOT IN (1, 2) GROUP BY 2")
     q["q_error_policy"] = W(OUTCOMES, fold_cte("st"), "files AS (SELECT 1 AS x WHERE false)", PROFILES) + """SELECT sha1, label,
   CASE WHEN res THEN err END AS error_class, CASE WHEN res THEN part END AS error_part,
   CASE WHEN NOT res THEN 'extract' WHEN err IS NULL THEN 'data'
@@ -369,20 +417,31 @@ FROM (
     CASE WHEN s.m_state = 'fail' THEN 'metadata' WHEN s.c_state = 'fail' THEN 'contents' END AS part
   FROM (SELECT *, CASE WHEN substr(sha1, 1, 1) < '8' THEN 'image/jpeg' ELSE '*' END AS label FROM st) s
   JOIN prof p ON p.label = s.label)"""
-    keys = ["schema", "sha1", "successTimestamp", "metadata", "metadataFailure", "contents", "contentsFailure"]
-    present = {"schema": "true", "sha1": "true", "successTimestamp": "success_ts IS NOT NULL",
-               "metadata": "m_state = 'good'", "metadataFailure": "m_state = 'fail'",
-               "contents": "c_state = 'good'", "contentsFailure": "c_state = 'fail'"}
-    miss = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT ({present[k]}) THEN '{k}' END" for k in keys) + ")"
-    q["q_missing_keys"] = W(OUTCOMES, fold_cte("st")) + (
-        f"SELECT sha1, {miss} AS missing, true AS version_ok, "
-        + ts_text("date_trunc('millisecond', success_ts)") + " AS ts FROM st")
+    ms = lambda x: ts_text(f"date_trunc('millisecond', {x})")
+    quoted = "'a \"b\" \\ ' || sha1"
+    q["q_record_roundtrip"] = W(OUTCOMES, fold_cte("st")) + (
+        f"SELECT sha1, m_state, c_state, {ms('success_ts')} AS success_ts, {ms('m_fail_ts')} AS m_fail_ts, {ms('c_fail_ts')} AS c_fail_ts, "
+        f"CASE WHEN m_state = 'good' THEN '0 z:last false ' || {quoted} || ';1 a:list true ' || sha1 || ',x' END AS properties, "
+        f"CASE WHEN c_state = 'good' THEN 'line' || chr(10) || {quoted} END AS text, "
+        "CASE WHEN m_state = 'fail' THEN 'bad \"m\"' END AS m_message, CASE WHEN c_state = 'fail' THEN 'bad c' END AS c_message, "
+        "'' AS missing, true AS version_ok FROM st")
+    q["q_missing_keys"] = W(OUTCOMES, fold_cte("st")) + """, lost AS (
+  SELECT *, CASE WHEN substr(sha1, 1, 1) < '4' THEN 'contents'
+                 WHEN substr(sha1, 1, 1) > 'b' THEN concat_ws(',', CASE WHEN m_state = 'fail' THEN 'metadataFailure.onlyMetadata' END,
+                                                              CASE WHEN c_state = 'fail' THEN 'contentsFailure.onlyMetadata' END)
+                 ELSE '' END AS missing FROM st)
+SELECT sha1, missing, CASE WHEN missing = '' THEN m_state ELSE 'unknown' END AS m_state, CASE WHEN missing = '' THEN c_state ELSE 'unknown' END AS c_state
+FROM lost""".replace(", lost AS", ",\nlost AS", 1).lstrip("\n")
+    q["q_unstash"] = W(FILES, PROPS) + (
+        "SELECT p.file_id AS doc_id, f.form, p.name, p.pos = 6 AS is_list, CAST(p.vpos AS BIGINT) AS vpos, p.value "
+        "FROM props p CROSS JOIN (VALUES ('object'), ('array')) AS f(form) WHERE p.pos <> 3")
     resp = f"""responses AS (
-  SELECT doc_id AS response_id,
-    CASE WHEN n_chars < 100 THEN '{{bad' ELSE
+  SELECT -doc_id - 1 AS response_id, '{{bad' AS body FROM documents WHERE n_chars < 100
+  UNION ALL
+  SELECT doc_id,
       '{{"X-TIKA:content":' || to_json(text) || ',"dc:language":"' || lang || '","dc:creator":["' || source
       || '","' || lang || '"],"meta:character-count":' || CAST(n_chars AS VARCHAR) || ',"dc:source":"' || source
-      || '","pdf:encrypted":false,"dc:source":"' || lang || '","Custom:Empty":null}}' END AS body
+      || '","pdf:encrypted":false,"dc:source":"' || lang || '","Custom:Empty":null}}'
   FROM documents),
 ok AS (SELECT *, CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' ELSE false END AS parsed_ok FROM responses),
 each AS (
@@ -491,6 +550,7 @@ WHERE r.has_nm AND n.name <> '""" + STASH_TAG + "'"
   CASE WHEN {cs} <> '' THEN lower({cs}) END AS charset,
   length({body}) AS text_chars, sha1({body}) AS text_sha1
 FROM pages"""
+    q["q_extract_pages"] = f"SELECT page_id, sha1({body}) AS text_sha1, CASE WHEN {title} <> '' THEN {ws(dec(title))} END AS title FROM pages"
     return q
 
 

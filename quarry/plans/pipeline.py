@@ -6,11 +6,12 @@ Stages and their Spark boundaries:
 2. sha1(content)                                                (narrow)
 3. requests per (store, sha1): strongest request, representative (shuffle by sha1,
    partial aggregation; ``content`` is not carried)
-4. probe the store on (store, sha1) → expiry → action            (shuffle by sha1)
+4. probe the store's states in the shards of the batch → expiry → action
 5. distinct hashes to extract → fetch bytes of the representative only → extractor
-6. apply outcomes; E3 metadata-only second pass where needed
-7. upsert store (write barrier) or checkpoint
-8. join entries back to files on (store, sha1) → M2 / M3          (shuffle; AQE skew join)
+6. apply outcomes; metadata-only second pass where needed (E3)
+7. checkpoint; commit the changed entries as a delta
+8. fetch stored payload for hits, join entries back to files on (store, sha1)
+   → M2 / M3, each file judged by its own requests               (shuffle; AQE skew join)
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.functions import meta
@@ -29,8 +29,9 @@ from quarry.operators.content import with_content_key
 from quarry.operators.extract import text_extractor
 from quarry.operators.outcomes import error_policy, read_result
 from quarry.operators.profiles import ProfileConfig, match_profile, resolve_profiles
-from quarry.operators.properties import RuleSet, map_properties
-from quarry.sources.store import ENTRY_COLS, STORE_SCHEMA, ResultStore
+from quarry.operators.properties import DEFAULT_VISIBLE_FIELDS, RuleSet, map_properties
+from quarry.functions.keys import shard
+from quarry.sources.store import KEY, STATE, STORE_SCHEMA, ResultStore
 
 
 @dataclass
@@ -41,13 +42,19 @@ class Settings:
     store: ResultStore | None = None
     store_for_all: str | None = None      # use this store name for every profile
     now: _dt.datetime | None = None
-    materialize: bool = False             # checkpoint extractor output (costly plug-ins)
+    success_before: _dt.datetime | None = None  # T2: bounds that override earlier ones of the profiles
+    failure_before: _dt.datetime | None = None
+    visible_fields: tuple = tuple(DEFAULT_VISIBLE_FIELDS)  # J7
+    strict: bool = False                  # an error that isn't ignored ends the job
 
 
 def prepare_files(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
     """Stages 1-2: profile, route, request kinds, store name, content key."""
     resolved = resolve_profiles(spark, s.config)
     f = match_profile(files, resolved, s.config)
+    for c, at in (("expire_success_before", s.success_before), ("expire_failure_before", s.failure_before)):
+        if at is not None:
+            f = f.withColumn(c, F.greatest(F.col(c), F.lit(at).cast("timestamp")))
     f = routing.apply_route(f)
     f = routing.add_requests(f)
     if s.store_for_all is not None:
@@ -56,31 +63,49 @@ def prepare_files(spark: SparkSession, files: DataFrame, s: Settings) -> DataFra
     return with_content_key(f)
 
 
-def _apply(entries: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """A2 update of entries by at most one new outcome per sha1."""
+def _apply(entries: DataFrame, outcomes: DataFrame, asked: Column) -> DataFrame:
+    """A2 update of the asked entries by at most one new outcome per sha1.
+
+    A request without an outcome, like a service failure, changes nothing."""
     o = outcomes.select(F.col("sha1").alias("o_sha1"), F.col("request_kind").alias("o_kind"),
                         F.col("outcome").alias("o_outcome"), F.col("properties").alias("o_props"),
                         F.col("text").alias("o_text"), F.col("message").alias("o_message"),
                         F.col("ts").alias("o_ts"))
-    j = entries.join(o, (entries["sha1"] == o["o_sha1"]) & F.col("action").startswith("extract"), "left")
+    j = entries.join(o, (entries["sha1"] == o["o_sha1"]) & asked, "left")
     ok = F.col("o_outcome") == "success"
     pf = F.col("o_outcome") == "parser_failure"
     full = F.col("o_kind") == "full"
+    own = full & (F.col("action") == "extract_full")  # another store may have asked more of the same content
     upd = {
         "m_state": F.when(ok, "good").when(pf & ~full, "fail").otherwise(F.col("m_state")),
         "properties": F.when(ok, F.col("o_props")).when(pf & ~full, F.lit(None)).otherwise(F.col("properties")),
         "m_fail_ts": F.when(ok, F.lit(None)).when(pf & ~full, F.col("o_ts")).otherwise(F.col("m_fail_ts")),
         "m_message": F.when(ok, F.lit(None)).when(pf & ~full, F.col("o_message")).otherwise(F.col("m_message")),
-        "c_state": F.when(ok & full, "good").when(pf & full, "fail").otherwise(F.col("c_state")),
-        "text": F.when(ok & full, F.col("o_text")).when(pf & full, F.lit(None)).otherwise(F.col("text")),
-        "c_fail_ts": F.when(ok & full, F.lit(None)).when(pf & full, F.col("o_ts")).otherwise(F.col("c_fail_ts")),
-        "c_message": F.when(ok & full, F.lit(None)).when(pf & full, F.col("o_message")).otherwise(F.col("c_message")),
+        "m_new": F.col("m_new") | F.coalesce(ok | (pf & ~full), F.lit(False)),
+        "c_state": F.when(ok & own, "good").when(pf & own, "fail").otherwise(F.col("c_state")),
+        "text": F.when(ok & own, F.col("o_text")).when(pf & own, F.lit(None)).otherwise(F.col("text")),
+        "c_fail_ts": F.when(ok & own, F.lit(None)).when(pf & own, F.col("o_ts")).otherwise(F.col("c_fail_ts")),
+        "c_message": F.when(ok & own, F.lit(None)).when(pf & own, F.col("o_message")).otherwise(F.col("c_message")),
+        "c_new": F.col("c_new") | F.coalesce(own & (ok | pf), F.lit(False)),
         "success_ts": F.when(ok, F.col("o_ts")).otherwise(F.col("success_ts")),
     }
-    upd["service_error"] = F.col("service_error") | F.coalesce(F.col("o_outcome") == "service_failure", F.lit(False))
-    upd["changed"] = F.col("changed") | F.coalesce(F.col("o_outcome").isin("success", "parser_failure"), F.lit(False))
-    j = j.withColumns(upd)
-    return j.drop("o_sha1", "o_kind", "o_outcome", "o_props", "o_text", "o_message", "o_ts")
+    return j.withColumns(upd).drop("o_sha1", "o_kind", "o_outcome", "o_props", "o_text", "o_message", "o_ts")
+
+
+def _with_payload(entries: DataFrame, store: ResultStore, column: str, wanted: Column, shards: list) -> DataFrame:
+    """Fill ``column`` from the store where ``wanted`` (entries have the ``v`` of their stored record)."""
+    old = store.payload([column], shards).select(*[F.col(k).alias(f"p_{k}") for k in KEY], F.col("v").alias("p_v"), F.col(column).alias("p_value"))
+    j = entries.join(old, (F.col("store") == F.col("p_store")) & (F.col("sha1") == F.col("p_sha1")) & (F.col("v") == F.col("p_v")) & wanted, "left")
+    return j.withColumn(column, F.coalesce(F.col(column), F.col("p_value"))).drop("p_store", "p_sha1", "p_v", "p_value")
+
+
+def error_class(m_state: Column, c_state: Column, request: Column):
+    """E4 for one file's own request: ``(error_class, error_part)``. An entry that
+    isn't resolved for the request after extraction is a service failure."""
+    err, part = read_result(m_state, c_state, request)
+    resolved = F.coalesce(state.resolved_enough(m_state, c_state, request), F.lit(False))
+    asked = request != "none"
+    return (F.when(asked & ~resolved, "service_failure").when(asked, err), F.when(asked & resolved, part))
 
 
 def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
@@ -89,65 +114,81 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
     with the request it served and its answer (E4).
 
     ``prepared`` holds the per-file keys; ``contents`` ``(file_id, content)``
-    is read only for the representative file of each hash to extract."""
+    is read only for the representative file of each hash to extract: the
+    smallest id among those with the strongest request, OCR first."""
     now = F.lit(s.now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+    meta_only = (F.col("metadata_request") == "metadata") | (F.col("content_request") == "metadata")
+    best = F.min(F.struct((-F.col("request_rank")).alias("rank"), (~F.coalesce("ocr", F.lit(False))).alias("no_ocr"),
+                          F.col("file_id").alias("rep"), F.col("ocr_languages_sent").alias("langs"), F.col("mime").alias("mime")))
     reqs = (prepared.where(F.col("request_rank") > 0)
             .groupBy("store", "sha1")
-            .agg(F.max("request_rank").alias("rank"), F.min("file_id").alias("rep"),
+            .agg(best.alias("best"), F.max(meta_only).alias("wants_metadata"),
                  F.max("expire_success_before").alias("success_before"),
                  F.max("expire_failure_before").alias("failure_before"))
-            .withColumn("request", routing.rank_to_request(F.col("rank"))))
+            .select("store", "sha1", "best", "wants_metadata", "success_before", "failure_before",
+                    routing.rank_to_request(-F.col("best.rank")).alias("request")))
+    shards: list = []
     if s.store is not None:
-        old = s.store.state().drop("schema_version")
-        e = reqs.join(old, ["store", "sha1"], "left")
+        # at most 256 values; a small batch reads the store's partitions of its own keys only
+        shards = [r[0] for r in reqs.where("store is not null").select(shard(F.col("sha1"))).distinct().collect()]
+        e = reqs.join(s.store.states(shards).drop("schema_version"), KEY, "left")
     else:
-        e = reqs
-        for c in ENTRY_COLS:
-            if c not in ("store", "sha1", "schema_version"):
+        e = reqs.withColumn("v", F.lit(None).cast("int"))
+        for c in STATE:
+            if c != "schema_version":
                 e = e.withColumn(c, F.lit(None).cast(STORE_SCHEMA[c].dataType))
+    for c in ("properties", "text", "m_message", "c_message"):
+        e = e.withColumn(c, F.lit(None).cast(STORE_SCHEMA[c].dataType))
     e = e.withColumn("m_state", F.coalesce("m_state", F.lit("unknown"))) \
          .withColumn("c_state", F.coalesce("c_state", F.lit("unknown")))
     e = state.expire(e, F.col("success_before"), F.col("failure_before"))
     e = e.withColumn("action", state.action(F.col("m_state"), F.col("c_state"), F.col("request"))) \
-         .withColumn("service_error", F.lit(False)).withColumn("changed", F.col("expired"))
+         .withColumn("m_new", F.lit(False)).withColumn("c_new", F.lit(False))
     content = (contents if contents is not None else prepared).select(F.col("file_id").alias("rep"), "content")
 
-    def extract(todo: DataFrame) -> DataFrame:
-        t = (todo.groupBy("sha1").agg(F.max("kind_rank").alias("kind_rank"), F.min("rep").alias("rep"))
-             .join(content, "rep")
-             .withColumn("request_kind", F.when(F.col("kind_rank") == 2, "full").otherwise("metadata")))
-        return s.extractor(t.withColumn("ts", now)) if s.extractor is not text_extractor \
-            else text_extractor(t, now)
+    def extract(todo: DataFrame, full: Column) -> DataFrame:
+        """Ask once per hash; ``todo`` has (sha1, best, action)."""
+        kind = F.when(full, F.lit(2)).otherwise(F.lit(1))
+        t = (todo.groupBy("sha1").agg(F.min(F.struct((-kind).alias("kind"), "best")).alias("b"))
+             .select("sha1", F.when(F.col("b.kind") == -2, "full").otherwise("metadata").alias("request_kind"),
+                     F.col("b.best.rep").alias("rep"), F.col("b.best.mime").alias("mime"),
+                     ((F.col("b.kind") == -2) & ~F.col("b.best.no_ocr")).alias("ocr"), F.col("b.best.langs").alias("ocr_languages"))
+             .join(content, "rep"))
+        return s.extractor(t.withColumn("ts", now))
 
-    kind_rank = F.when(F.col("action") == "extract_full", 2).otherwise(1)
-    out1 = extract(e.where(F.col("action").startswith("extract")).select("sha1", "rep", kind_rank.alias("kind_rank")))
-    e = _apply(e, out1)
+    asked = F.col("action").startswith("extract")
+    e = _apply(e, extract(e.where(asked), F.col("action") == "extract_full"), asked)
     if not getattr(s.extractor, "never_fails", False):
-        # A full request failed to parse and M is still unknown → a
-        # metadata-only pass. Entries are persisted first so the first
-        # extraction is not recomputed by the second branch.
-        e = e.persist(StorageLevel.MEMORY_AND_DISK)
-        fb_cond = (F.col("action") == "extract_full") & (F.col("c_state") == "fail") & (F.col("m_state") == "unknown")
-        e = e.withColumn("action", F.when(fb_cond, "extract_metadata_fallback").otherwise(F.col("action")))
-        out2 = extract(e.where(F.col("action") == "extract_metadata_fallback")
-                       .select("sha1", "rep", F.lit(1).alias("kind_rank")))
-        e = _apply(e, out2)
-    err, part = read_result(F.col("m_state"), F.col("c_state"), F.col("request"))
-    e = e.withColumn("error_class", F.when(F.col("service_error") & ~state.resolved_enough(
-        F.col("m_state"), F.col("c_state"), F.col("request")), F.lit("service_failure")).otherwise(err)) \
-         .withColumn("error_part", part)
-    if s.store is not None or s.materialize:
-        # Reliable checkpoint in the shared folder: the extractor runs once,
-        # its output survives lost executors, and lineage is cut here.
+        # Contents failed to parse and M is still unknown: ask for metadata only. The same after any full request
+        # for the content, if a file needs metadata alone (it would have asked on its own).
+        # The first answers are written, so that no lost executor asks again for them.
+        e = e.checkpoint(eager=True)
+        hashes = e.where(F.col("action") == "extract_full").select("sha1").distinct().withColumn("in_full", F.lit(True))
+        again = asked & F.col("in_full") & (F.col("m_state") == "unknown") & ((F.col("c_state") == "fail") | F.col("wants_metadata"))
+        e = e.join(hashes, "sha1", "left").withColumn(
+            "action", F.when(F.coalesce(again, F.lit(False)), "extract_metadata_fallback").otherwise(F.col("action"))).drop("in_full")
+        second = F.col("action") == "extract_metadata_fallback"
+        e = _apply(e, extract(e.where(second), F.lit(False)), second)
+    if s.store is not None or not getattr(s.extractor, "never_fails", False):
+        # Reliable checkpoint in the shared folder: new answers survive lost executors, and lineage is cut here.
         e = e.checkpoint(eager=True)
     if s.store is not None:
-        changes = e.where(F.col("changed") & F.col("store").isNotNull())
-        if changes.limit(1).count() > 0:
-            s.store.commit(changes.withColumn("schema_version", F.lit(state.SCHEMA_VERSION)))
-        # Contents are kept only while C is good (as stored).
-        e = e.withColumn("text", F.when(F.col("c_state") == "good", F.col("text")))
-    return e.select("store", "sha1", "request", "m_state", "c_state", "properties", "text",
-                    "error_class", "error_part")
+        stored = F.col("v").isNotNull()
+        old_m = stored & ~F.col("m_new") & (F.col("m_state") == "good")
+        old_c = stored & ~F.col("c_new") & (F.col("c_state") == "good")
+        # An entry whose metadata stay unknown isn't stored (the contents failure before it neither).
+        changed = (F.col("m_new") | F.col("c_new")) & (F.col("m_state") != "unknown") & F.col("store").isNotNull()
+        if e.where(changed).limit(1).count() > 0:
+            ch = _with_payload(e.where(changed), s.store, "properties", old_m, shards)
+            ch = _with_payload(ch, s.store, "text", old_c, shards)
+            s.store.commit(ch.withColumn("schema_version", F.lit(state.SCHEMA_VERSION)))
+        e = _with_payload(e, s.store, "properties", old_m, shards)
+        if e.where((F.col("request") == "full") & old_c).limit(1).count() > 0:  # texts are read only if a file needs one
+            e = _with_payload(e, s.store, "text", old_c & (F.col("request") == "full"), shards)
+    err, part = error_class(F.col("m_state"), F.col("c_state"), F.col("request"))
+    return e.select("store", "sha1", "request", "action", "m_state", "c_state", "properties",
+                    F.when(F.col("c_state") == "good", F.col("text")).alias("text"),
+                    err.alias("error_class"), part.alias("error_part"))
 
 
 def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
@@ -155,48 +196,70 @@ def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
 
     Output: file_id, sha1, route, content_request, metadata_request,
     content (search text), extracted_properties (M3 stash, typed),
-    display (M6 struct), error_class, error_ignored.
+    native_meta, display (M6 struct), and for the content and the metadata
+    request of the file each: error class, part and whether it is ignored.
     """
-    # Keys once: hashing reads every content byte, so the per-file keys
-    # (without content) are checkpointed and reused by both the request
-    # aggregation and the final join; bytes are read again only for the
+    # Keys once: hashing reads every content byte, so the per-file keys with the
+    # native inputs (without content) are checkpointed and reused by both the
+    # request aggregation and the final join; bytes are read again only for the
     # representative file of each hash that must be extracted.
     p = prepare_files(spark, files, s).drop("content").checkpoint(eager=True)
     entries = store_or_extract(spark, p, s, contents=files.select("file_id", "content"))
     j = p.join(entries.withColumnRenamed("store", "e_store").withColumnRenamed("sha1", "e_sha1"),
                F.col("store").eqNullSafe(F.col("e_store")) & (F.col("sha1") == F.col("e_sha1")), "left") \
          .drop("e_store", "e_sha1", "content")
-    has_err = F.col("error_class").isNotNull()
-    m_err = F.col("m_state") == "fail"
+    # The entry answers the strongest request of its hash; every file is judged by its own.
+    c_err, c_part = error_class(F.col("m_state"), F.col("c_state"), F.col("content_request"))
+    m_err, m_part = error_class(F.col("m_state"), F.col("c_state"), F.col("metadata_request"))
+    j = j.drop("error_class", "error_part").withColumns({"content_error": c_err, "content_error_part": c_part,
+                                                         "metadata_error": m_err, "metadata_error_part": m_part})
+    j = j.withColumns({
+        "content_error_ignored": error_policy(F.col("content_error"), F.col("ignore_content_parsing_errors"),
+                                              F.col("ignore_content_service_errors")),
+        "metadata_error_ignored": error_policy(F.col("metadata_error"), F.col("ignore_metadata_parsing_errors"),
+                                               F.col("ignore_metadata_service_errors"))})
+    has_err, reported = F.col("content_error").isNotNull(), ~F.coalesce("metadata_error_ignored", F.lit(True))
     # P5: an ignored failure leaves both text and metadata empty.
     j = j.withColumns({
-        "error_ignored": error_policy(F.col("error_class"), F.col("ignore_content_parsing_errors"),
-                                      F.col("ignore_content_service_errors")),
         "ext_props": F.when(has_err, meta.empty_properties())
                       .otherwise(F.coalesce(F.col("properties"), meta.empty_properties())),
         "ext_text": F.when(has_err | (F.col("content_request") != "full"), F.lit(""))
                      .otherwise(F.coalesce(F.col("text"), F.lit(""))),
         "extracted_properties": F.when(
-            F.col("metadata_request") != "none",
-            F.when(m_err, meta.empty_properties()).otherwise(F.coalesce(F.col("properties"), meta.empty_properties()))),
+            (F.col("metadata_request") != "none") & ~reported,
+            F.when(F.col("metadata_error").isNotNull(), meta.empty_properties())
+             .otherwise(F.coalesce(F.col("properties"), meta.empty_properties()))),
     })
     j = j.withColumns({"ext_mapped": map_properties(F.col("ext_props"), s.rules),
                        "stash_mapped": map_properties(F.col("extracted_properties"), s.rules)})
     j = merge.metadata_text_lines(j, "metadata_strategy", "ext_mapped", "native_meta", "md_text")
-    j = merge.metadata_display(j, "metadata_strategy", "extracted_properties", "stash_mapped", "native_meta", "_disp")
+    j = merge.metadata_display(j, "metadata_strategy", "extracted_properties", "stash_mapped", "native_meta", "_disp", s.visible_fields)
     ext = F.when(F.col("content_composition").isin("metadata", "text_and_metadata"),
                  append_metadata(F.col("ext_text"), F.col("md_text"))).otherwise(F.col("ext_text"))
     merged = merge.merge_content(F.col("content_strategy"), F.col("native_text"), F.col("ext"))
     content = (F.when(F.col("route") == "native", F.col("native_text"))
                .when(F.col("route") == "none", F.lit(None))
                .when(F.col("content_request") == "none", F.col("native_text"))
-               .when(has_err & ~F.coalesce(F.col("error_ignored"), F.lit(False)), F.lit(None))
+               .when(~F.coalesce("content_error_ignored", F.lit(True)), F.lit(None))
                .otherwise(merged))
     j = j.withColumn("ext", ext)
     j = j.withColumns({
         "search_text": content.cast("string"),
         "display": F.when(F.col("route").isin("solo", "wrapping"), F.col("_disp"))
                     .otherwise(merge.strip_stash(F.col("native_meta")))})
+    if s.strict:
+        for kind in ("content", "metadata"):
+            bad = ~F.coalesce(f"{kind}_error_ignored", F.lit(True))
+            j = j.withColumn(f"{kind}_error", F.when(bad, F.raise_error(F.concat(
+                F.lit(f"{kind} of file "), F.col("file_id").cast("string"), F.lit(": "), F.col(f"{kind}_error")))).otherwise(F.col(f"{kind}_error")))
     return j.select("file_id", "sha1", "route", "content_request", "metadata_request",
-                    F.col("search_text").alias("content"), "extracted_properties",
-                    "native_meta", "display", "error_class", "error_ignored")
+                    F.col("search_text").alias("content"), "extracted_properties", "native_meta", "display",
+                    *[f"{kind}_error{x}" for kind in ("content", "metadata") for x in ("", "_part", "_ignored")])
+
+
+def errors(generated: DataFrame) -> DataFrame:
+    """``(file_id, sha1, kind, error_class, error_part, ignored)``, a row per failed request of a file."""
+    each = [F.struct(F.lit(k).alias("kind"), F.col(f"{k}_error").alias("error_class"), F.col(f"{k}_error_part").alias("error_part"),
+                     F.col(f"{k}_error_ignored").alias("ignored")) for k in ("content", "metadata")]
+    return (generated.select("file_id", "sha1", F.explode(F.array(*each)).alias("e")).select("file_id", "sha1", "e.*")
+            .where("error_class is not null"))

@@ -38,11 +38,14 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; a scratch folder is
-    set only when it is unset (local runs and tests).
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    local session (tests) gets a scratch folder; on a cluster that is an error,
+    as executors don't share the driver's folders.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir isn't set: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -52,8 +55,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint location for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return base.rstrip("/") + "/" + name
+    """A folder under the shared checkpoint location for written tables (same scheme)."""
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/" + name

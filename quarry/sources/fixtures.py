@@ -6,7 +6,7 @@ over one), so its size grows with the table it reads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.functions import meta
 from quarry.sources.tables import table
@@ -80,14 +80,13 @@ def file_properties(files_df: DataFrame) -> DataFrame:
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request attempt log from ``lineitem``: HTTP status or transport errno."""
     li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     r9 = F.col("l_partkey") % 9
     status = (F.when(r9 == 0, 200).when(r9 == 1, 204).when(r9 == 2, 422)
               .when(r9 == 3, 500).when(r9 == 4, 503))
     errno = F.when(r9 == 5, 28).when(r9 == 6, 52).when(r9 == 7, 7).when(r9 == 8, 56)
     return li.select(
         F.col("l_orderkey").alias("request_id"),
-        F.row_number().over(w).cast("bigint").alias("attempt"),
+        F.col("l_linenumber").cast("bigint").alias("attempt"),
         status.cast("int").alias("http_status"),
         errno.cast("int").alias("transport_errno"))
 
@@ -118,7 +117,8 @@ def store_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw extractor answers built from documents: list, duplicate key, number,
-    boolean, null, whole text; short documents answer with malformed JSON."""
+    boolean, null, whole text. Every document has its answer; each one under
+    100 characters has a second, malformed answer (negative id)."""
     d = table(spark, sf_dir, "documents")
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))  # noqa: E731 (values have no quotes)
     text_json = F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
@@ -131,5 +131,6 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"pdf:encrypted":false'),
         F.lit(',"dc:source":'), q(F.col("lang")),
         F.lit(',"Custom:Empty":null}'))
-    body = F.when(F.col("n_chars") < 100, F.lit("{bad")).otherwise(body)
-    return d.select(F.col("doc_id").alias("response_id"), body.alias("body"))
+    answers = F.array(F.struct(F.col("doc_id").alias("response_id"), body.alias("body")),
+                      F.when(F.col("n_chars") < 100, F.struct((-F.col("doc_id") - 1).alias("response_id"), F.lit("{bad").alias("body"))))
+    return d.select(F.explode(F.array_compact(answers)).alias("a")).select("a.*")

@@ -1,14 +1,19 @@
-"""Result store (S3 S4 S5 S9): typed Parquet, one directory per version.
+"""Result store (S3 S4 S5 S9): typed Parquet, written as deltas.
 
-Layout: ``<root>/v=<n>/shard=<xx>/part-*.parquet``. A version is written
-completely before it becomes current (``_COMMITTED`` marker), so a plan
-never overwrites a path it reads, and a lost executor only re-runs tasks of
-the version being written. Reads prune columns (metadata-only reads never
-touch ``text``) and partitions (``shard``).
+Layout: ``<root>/v=<n>/shard=<xx>/part-*.parquet``. A commit writes the changed
+entries only, as the next version; a version counts once its ``_COMMITTED``
+marker is there, so a plan never overwrites what it reads and a lost executor
+only re-runs tasks of the version being written. For a key, the entry of the
+latest version holds. When ``compact_after`` deltas have gathered, they are
+merged into a new base (marked ``_BASE``), and versions before the previous base
+are removed; running readers of that base go on.
 
+:meth:`ResultStore.states` reads keys and state columns alone, and only the
+shards asked for; payload columns are read by :meth:`ResultStore.payload`.
+
+There is one writer at a time: a second one that picks the same version fails.
 On a cluster with a transactional table format the same upsert is a
-``MERGE INTO ... ON (store, sha1)``; plain Parquet keeps the repo
-dependency-free.
+``MERGE INTO ... ON (store, sha1)``.
 """
 
 from __future__ import annotations
@@ -36,54 +41,99 @@ STORE_SCHEMA = T.StructType([
 ENTRY_COLS = [f.name for f in STORE_SCHEMA.fields]
 
 
+KEY = ["store", "sha1"]
+PAYLOAD = ["properties", "text", "m_message", "c_message"]
+STATE = [c for c in ENTRY_COLS if c not in (*KEY, *PAYLOAD)]
+
+
 class ResultStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_after: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.compact_after = compact_after
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _versions(self) -> list[int]:
+    def _folders(self) -> dict[int, set]:
+        """Version to its markers; every version folder, committed or not."""
         p = self._Path(self.root)
         if not self._fs.exists(p):
-            return []
-        out = []
+            return {}
+        out = {}
         for st in self._fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("v=") and self._fs.exists(self._Path(st.getPath(), "_COMMITTED")):
-                out.append(int(name[2:]))
-        return sorted(out)
+            if name.startswith("v="):
+                out[int(name[2:])] = {m for m in ("_COMMITTED", "_BASE") if self._fs.exists(self._Path(st.getPath(), m))}
+        return out
+
+    def _live(self) -> list[int]:
+        """Committed versions from the last base on."""
+        done = sorted((v, m) for v, m in self._folders().items() if "_COMMITTED" in m)
+        base = max((v for v, m in done if "_BASE" in m), default=0)
+        return [v for v, _ in done if v >= base]
 
     def version(self) -> int:
-        v = self._versions()
-        return v[-1] if v else 0
+        return max(self._live(), default=0)
+
+    def _read(self, columns: list, shards: list | None = None) -> DataFrame:
+        """The given columns and ``v`` of all live versions; with ``shards``, those partitions only."""
+        fields = [f for f in STORE_SCHEMA.fields if f.name in columns]
+        extra = [T.StructField("v", T.IntegerType()), T.StructField("shard", T.StringType())]
+        live = self._live()
+        if not live:
+            return self.spark.createDataFrame([], T.StructType(fields + extra[:1]))
+        df = (self.spark.read.schema(T.StructType(fields + extra)).option("basePath", self.root)
+              .parquet(*[f"{self.root}/v={v}" for v in live]))
+        if shards is not None:
+            df = df.where(F.col("shard").isin(shards))
+        return df.select(*[f.name for f in fields], "v")
+
+    def _latest(self, df: DataFrame, columns: list) -> DataFrame:
+        if len(self._live()) < 2:
+            return df
+        return (df.groupBy(*KEY).agg(F.max_by(F.struct(*columns, "v"), "v").alias("e")).select(*KEY, "e.*"))
+
+    def states(self, shards: list | None = None) -> DataFrame:
+        """S3, keys and states: ``(store, sha1, <state columns>, v)`` of the current entries."""
+        return self._latest(self._read(KEY + STATE, shards), STATE)
+
+    def payload(self, columns: list, shards: list | None = None) -> DataFrame:
+        """``(store, sha1, v, <columns>)`` of every live version: join it with the ``v`` of :meth:`states`."""
+        return self._read(KEY + list(columns), shards)
 
     def state(self) -> DataFrame:
-        """S3: current entries (empty frame for a new store)."""
-        v = self.version()
-        if v == 0:
-            return self.spark.createDataFrame([], STORE_SCHEMA)
-        schema = T.StructType(STORE_SCHEMA.fields + [T.StructField("shard", T.StringType())])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/v={v}").drop("shard")
+        """S3: current entries with their payload (empty frame for a new store)."""
+        rest = [c for c in ENTRY_COLS if c not in KEY]
+        return self._latest(self._read(ENTRY_COLS), rest).select(*ENTRY_COLS)
+
+    def _write(self, df: DataFrame, markers: list) -> int:
+        v = max(self._folders(), default=0) + 1
+        path = f"{self.root}/v={v}"
+        if self._fs.exists(self._Path(path)):
+            raise FileExistsError(f"{path}: another writer is at work")
+        # a shard is written by one task: few and large files
+        (df.withColumn("shard", shard(F.col("sha1"))).repartition("shard")
+         .write.mode("errorifexists").partitionBy("shard").parquet(path))
+        for m in markers:
+            self._fs.create(self._Path(path, m)).close()
+        return v
 
     def commit(self, changes: DataFrame) -> int:
-        """Upsert changed entries by (store, sha1) into a new version.
+        """Upsert changed entries by (store, sha1).
 
         The new record replaces the old one; contents are kept only while
         C is good (P11: expiry and failures delete stored text).
         """
-        old = self.state()
-        ch = changes.select(*ENTRY_COLS)
-        keep_old = old.join(ch.select("store", "sha1"), ["store", "sha1"], "left_anti")
-        merged = keep_old.unionByName(ch)
-        merged = merged.withColumn("text", F.when(F.col("c_state") == "good", F.col("text")))
-        v = self.version() + 1
-        path = f"{self.root}/v={v}"
-        # Range partitioning on sha1: each task holds one contiguous key
-        # range, hence one or two shards, so files stay few and large.
-        (merged.withColumn("shard", shard(F.col("sha1")))
-         .repartitionByRange("sha1")
-         .write.mode("overwrite").partitionBy("shard").parquet(path))
-        self._fs.create(self._Path(path, "_COMMITTED")).close()
+        ch = changes.select(*ENTRY_COLS).withColumn("text", F.when(F.col("c_state") == "good", F.col("text")))
+        v = self._write(ch, ["_COMMITTED"])
+        return self.compact() if len(self._live()) > self.compact_after else v
+
+    def compact(self) -> int:
+        """Merge the live versions into a new base; remove what lies before the previous base."""
+        before = min(self._live(), default=0)
+        v = self._write(self.state(), ["_BASE", "_COMMITTED"])
+        for old in self._folders():
+            if old < before:
+                self._fs.delete(self._Path(f"{self.root}/v={old}"), True)
         return v

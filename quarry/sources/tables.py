@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quarry.functions import meta
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -15,31 +17,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for n in names:
-        p = os.path.join(sf_dir, f"{n}.parquet")
-        if os.path.exists(p):
-            spark.read.parquet(p).createOrReplaceTempView(n)
-
+# ---- fixed values ----
+# MIME types by file name ending, for files that come without one.
+MIME_BY_ENDING = {"txt": "text/plain", "html": "text/html", "htm": "text/html", "pdf": "application/pdf",
+                  "doc": "application/msword", "jpg": "image/jpeg", "jpeg": "image/jpeg", "mp3": "audio/mpeg"}
+# ---- end of fixed values ----
 
-def read_binary_files(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Raw files from a shared folder as ``(path, content binary, length)``.
 
-    ``binaryFile`` lists and reads files in parallel on the executors; the
-    content column is only read when it is selected.
-    """
-    return (spark.read.format("binaryFile").load(path_glob)
-            .select("path", "length", "modificationTime", "content"))
+def files_of(raw: DataFrame, mime_by_ending: dict | None = None) -> DataFrame:
+    """Rows of a ``binaryFile`` scan as files: ``file_id`` (hash of the path),
+    path, MIME (by the name's ending, else ``application/octet-stream``), content;
+    there is no native handler."""
+    known = mime_by_ending or MIME_BY_ENDING
+    table_ = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+    ending = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    return raw.select(
+        F.xxhash64("path").alias("file_id"), "path", F.coalesce(F.try_element_at(table_, ending), F.lit("application/octet-stream")).alias("mime"),
+        F.lit(False).alias("has_native"), F.lit(None).cast("string").alias("native_text"), F.lit(None).cast(meta.FORMATTED).alias("native_meta"), "content")
 
 
-def stream_binary_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
-    """Streaming variant of :func:`read_binary_files` (T1 input)."""
-    return (spark.readStream.format("binaryFile")
-            .option("maxFilesPerTrigger", max_files).load(folder))
+def read_files(spark: SparkSession, path_glob: str) -> DataFrame:
+    """Raw files of a shared folder. ``binaryFile`` lists and reads them in
+    parallel on the executors; content is only read when it is selected."""
+    return files_of(spark.read.format("binaryFile").load(path_glob))
 
 
-def documents_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``documents`` table seen as files: one text file per document."""
-    d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("file_id"), F.col("text").alias("content"),
-                    "lang", "source", "n_chars")
+def stream_files(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """Streaming variant of :func:`read_files` (T1 input)."""
+    return files_of(spark.readStream.format("binaryFile").option("maxFilesPerTrigger", max_files).load(folder))

@@ -1,17 +1,17 @@
 """Streaming.
 
 T1: new files are processed as they arrive. ``foreachBatch`` runs the batch
-pipeline with the result store as idempotent state, so a replayed
-micro-batch (after a lost executor or a restart from the checkpoint)
-extracts nothing new and rewrites the same output rows.
-T2: refresh is a batch run with expiry bounds set (see
-:func:`refresh`). T3: an outcome log stream folded into the latest state.
+pipeline with the profiles' result stores as idempotent state and overwrites
+the folder of its batch, so a replayed micro-batch (after a lost executor or a
+restart from the checkpoint) extracts nothing new and leaves one copy of its
+rows. T2: refresh is a batch run with expiry bounds set (see :func:`refresh`);
+it works on the same stores. T3: an outcome log stream folded into the latest
+state.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,16 +27,14 @@ DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bi
 
 
 def ingest(spark: SparkSession, stream: DataFrame, to_files, config: ProfileConfig, out_path: str,
-           checkpoint: str, store: ResultStore | None = None, now: dt.datetime | None = None,
-           max_batches: int | None = None) -> None:
-    """Run the pipeline on every micro-batch; append ``search_content``
-    rows ``(doc_id, sha1, route, content, batch_id)`` to ``out_path``."""
+           checkpoint: str, store: ResultStore | None = None, now: dt.datetime | None = None) -> None:
+    """Run the pipeline on every micro-batch; ``out_path/batch_id=<n>`` gets
+    the ``search_content`` rows ``(doc_id, sha1, route, content)`` of batch n."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        s = pipeline.Settings(config=config, store=store, store_for_all="stream" if store else None, now=now)
+        s = pipeline.Settings(config=config, store=store, now=now)
         g = pipeline.generate(spark, to_files(df), s)
         (g.select(F.col("file_id").alias("doc_id"), "sha1", "route", "content")
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").partitionBy("batch_id").parquet(out_path))
+         .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
 
     q = (stream.writeStream.foreachBatch(batch)
          .option("checkpointLocation", checkpoint)
@@ -44,39 +42,30 @@ def ingest(spark: SparkSession, stream: DataFrame, to_files, config: ProfileConf
     q.awaitTermination()
 
 
-def latest_output(spark: SparkSession, out_path: str) -> DataFrame:
-    """Output rows, keeping each file's row from its latest batch (a replay
-    of a batch after failure writes the same rows again)."""
-    o = spark.read.parquet(out_path)
-    return (o.groupBy("doc_id")
-            .agg(F.max_by(F.struct("sha1", "route", "content"), "batch_id").alias("r"))
-            .select("doc_id", "r.sha1", "r.route", "r.content"))
+def output(spark: SparkSession, out_path: str) -> DataFrame:
+    """All rows written by :func:`ingest`; a row per file and batch it came in."""
+    return spark.read.parquet(out_path).drop("batch_id")
 
 
 def ingest_documents_stream(spark: SparkSession, sf_dir: str, config: ProfileConfig,
                             now: dt.datetime | None = None, source: str | None = None) -> DataFrame:
-    """T1 over the ``documents`` table read as a file stream."""
+    """T1 over the ``documents`` table, a file or a folder of part files, read as a file stream."""
     base = work_dir(spark, f"ingest-{uuid.uuid4().hex[:12]}")
-    # A file stream watches a folder; only the documents file(s) are taken.
-    src = source or sf_dir
     stream = (spark.readStream.schema(DOC_SCHEMA).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "documents*.parquet").parquet(src))
+              .parquet(source or f"{sf_dir}/documents.parque[t]"))  # a pattern: the table may be one file or a folder of them
     store = ResultStore(spark, base + "/store")
     ingest(spark, stream, fixtures.files_from, config, base + "/out", base + "/checkpoint", store=store, now=now)
-    return latest_output(spark, base + "/out")
+    return output(spark, base + "/out")
 
 
 def refresh(spark: SparkSession, files: DataFrame, config: ProfileConfig, store: ResultStore,
-            success_before: dt.datetime | None = None, failure_before: dt.datetime | None = None) -> DataFrame:
-    """Re-run the pipeline over a selection of files with expiry
-    bounds that override the profiles' own (later bound wins)."""
-    def bound(c, v):
-        return F.greatest(F.col(c), F.lit(v).cast("timestamp")) if v else F.col(c)
-    s = pipeline.Settings(config=config, store=store, store_for_all="refresh")
-    p = pipeline.prepare_files(spark, files, s)
-    p = p.withColumn("expire_success_before", bound("expire_success_before", success_before)) \
-         .withColumn("expire_failure_before", bound("expire_failure_before", failure_before))
-    return pipeline.store_or_extract(spark, p, s)
+            success_before: dt.datetime | None = None, failure_before: dt.datetime | None = None,
+            **settings) -> DataFrame:
+    """Re-run the pipeline over a selection of files with expiry bounds that
+    override the profiles' own (the later bound wins). What expired is extracted
+    again and stored under the profiles' stores; returns the new outputs."""
+    return pipeline.generate(spark, files, pipeline.Settings(
+        config=config, store=store, success_before=success_before, failure_before=failure_before, **settings))
 
 
 def decisive_events(log: DataFrame) -> DataFrame:
@@ -101,18 +90,33 @@ def fold_outcome_stream(spark: SparkSession, log_stream: DataFrame, state_root:
 
     Each micro-batch is unioned with the decisive events kept so far and
     reduced again to decisive events (bounded: three per hash), written as
-    a new version; out-of-order records resolve by event time. Read the
-    state with ``fold_outcomes(spark.read.parquet(<latest version>))``."""
+    a new version; out-of-order records resolve by event time. The version
+    before the last is kept for readers, older ones are removed. Read the
+    state with ``fold_outcomes(spark.read.parquet(latest_state(...)))``."""
     cols = ["sha1", "ts", "event_id", "request_kind", "outcome"]
+    fs, path = _file_system(spark, state_root)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         log = df.select(*cols)
-        if batch_id > 0:
-            try:
-                log = log.unionByName(spark.read.parquet(f"{state_root}/b={batch_id - 1}").select(*cols))
-            except Exception:  # noqa: BLE001 - no state written yet
-                pass
+        before = f"{state_root}/b={batch_id - 1}"
+        if fs.exists(path(before)):  # no state is written before the first batch; any read error ends the stream
+            log = log.unionByName(spark.read.parquet(before).select(*cols))
+        elif batch_id > 0:
+            raise FileNotFoundError(f"{before}: the state of the batch before is lost")
         decisive_events(log).write.mode("overwrite").parquet(f"{state_root}/b={batch_id}")
+        fs.delete(path(f"{state_root}/b={batch_id - 2}"), True)
 
     (log_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
+
+
+def _file_system(spark: SparkSession, root: str):
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def latest_state(spark: SparkSession, state_root: str) -> str:
+    """Folder of the state after the last batch."""
+    fs, path = _file_system(spark, state_root)
+    names = [st.getPath().getName() for st in fs.listStatus(path(state_root))]
+    return f"{state_root}/b={max(int(n[2:]) for n in names if n.startswith('b='))}"
