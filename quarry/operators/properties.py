@@ -146,6 +146,22 @@ FORMATTERS: dict[str, Callable[[Column, Column], Column]] = {
 }
 
 
+# Property processors by name: (name, values, *args) Columns and literals -> struct<name, values,
+# visibility_tag, id>, or NULL to discard the property.
+PROCESSORS: dict[str, Callable[..., Column]] = {}
+
+
+def register_processor(name: str, fn: Callable[..., Column]) -> None:
+    """Register a processor that rules name with ``{"formatter": name, "args": [...]}``."""
+    PROCESSORS[name] = fn
+
+
+def processed(name: Column, values: Column, tag: Column) -> Column:
+    """The struct that a processor returns: shown name, values, and the tag that tells visibility and element id."""
+    return F.struct(name.alias("name"), values.alias("values"), ascii_lower(tag).alias("visibility_tag"),
+                    F.concat(F.lit(meta.ID_PREFIX), ascii_lower(tag)).alias("id"))
+
+
 def register_formatter(name: str, fn: Callable[[Column, Column], Column]) -> None:
     """Register a value formatter built from Column expressions."""
     FORMATTERS[name] = fn
@@ -153,11 +169,13 @@ def register_formatter(name: str, fn: Callable[[Column, Column], Column]) -> Non
 
 class RuleSet:
     """Effective rule lookup (J3): user exact → user ``!`` → built-in exact →
-    user ``*`` → plain. User rules: name → False | True | (tag[, format_tag])."""
+    user ``*`` → plain. User rules: name → False (drop) | True (plain) | tag |
+    (tag[, format_tag]) | {"formatter": processor, "args": [...]}."""
 
     def __init__(self, user: dict | None = None, builtin=BUILTIN_RULES,
                  labels: dict | None = None, formatter: str = "identity"):
         user = dict(user or {})
+        self.named: list = []  # (processor, args) of the rules that name one
         self.labels = dict(labels or {})
         self.formatter = formatter
         self.bang = self._norm(user.pop("!")) if "!" in user else None
@@ -169,8 +187,12 @@ class RuleSet:
             table[n] = self._norm(v)
         self.table = table
 
-    @staticmethod
-    def _norm(v):
+    def _norm(self, v):
+        if isinstance(v, dict):
+            if v.get("formatter") not in PROCESSORS:
+                raise ValueError(f"property rule names an unknown formatter: {v!r}")
+            self.named.append((PROCESSORS[v["formatter"]], list(v.get("args", ()))))
+            return (f"named:{len(self.named) - 1}", None, None)
         if v is False:
             return ("drop", None, None)
         if v is True:
@@ -223,13 +245,18 @@ def _mapped(p: Column, r: Column, rules: RuleSet) -> Column:
     tag = r["tag"]
     fmt_tag = F.coalesce(r["fmt"], tag)
     display = r["action"] == "display"
-    return F.struct(
+    own = F.struct(
         p["pos"].alias("pos"),
         F.when(display, rules.display_name(tag)).otherwise(escape_html(p["name"])).alias("name"),
         F.when(display, F.transform(p["values"], lambda v: fmt(fmt_tag, v)))
          .otherwise(F.transform(p["values"], lambda v: escape_html(v))).alias("values"),
         ascii_lower(F.when(display, tag).otherwise(p["name"])).alias("visibility_tag"),
         F.concat(F.lit(meta.ID_PREFIX), F.when(display, ascii_lower(tag)).otherwise(p["name"])).alias("id"))
+    for i, (fn, args) in enumerate(rules.named):
+        done = fn(p["name"], p["values"], *args)
+        done = F.when(done.isNotNull(), F.struct(p["pos"].alias("pos"), *[done[c].alias(c) for c in ("name", "values", "visibility_tag", "id")]))
+        own = F.when(r["action"] == f"named:{i}", done).otherwise(own)
+    return own
 
 
 def map_properties(props: Column, rules: RuleSet) -> Column:
@@ -238,4 +265,5 @@ def map_properties(props: Column, rules: RuleSet) -> Column:
     ``(pos, name, values, visibility_tag, id)``."""
     with_rule = F.transform(props, lambda p: F.struct(p.alias("p"), rules.lookup(p["name"]).alias("r")))
     kept = F.filter(with_rule, lambda x: x["r"]["action"] != "drop")
-    return F.transform(kept, lambda x: _mapped(x["p"], x["r"], rules))
+    mapped = F.transform(kept, lambda x: _mapped(x["p"], x["r"], rules))
+    return F.array_compact(mapped) if rules.named else mapped

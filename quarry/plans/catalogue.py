@@ -19,7 +19,7 @@ from quarry.functions.text import append_metadata, trim_text
 from quarry.operators import content, merge, outcomes, routing, state
 from quarry.operators.extract import by_mime, html_extractor, text_extractor
 from quarry.operators.profiles import DEFAULTS, ProfileConfig, default_config, match_profile, resolve_long, resolve_profiles, choose_label
-from quarry.operators.properties import RuleSet, map_properties
+from quarry.operators.properties import RuleSet, map_properties, processed, register_formatter, register_processor
 from quarry.operators.responses import parse_responses
 from quarry.plans import fixture_profiles, pipeline
 from quarry.session import work_dir
@@ -354,6 +354,28 @@ def q_map_properties(spark, sf):
                     F.posexplode("m.values").alias("vpos", "value"))
 
 
+def user_rules():
+    """Two rule sets over all levels of precedence: exact, ``!``, built-in, ``*``; with formatters, arguments and discard."""
+    register_formatter("stars", lambda tag, v: F.concat(F.lit("*"), tag, F.lit("* "), v))
+    register_processor("wrap", lambda name, values, a, b: processed(
+        F.upper(name), F.transform(values, lambda v: F.concat(F.lit(a), v, F.lit(b))), F.lit("Note")))
+    register_processor("long_only", lambda name, values, n: F.when(F.length(values[0]) > n, processed(name, values, name)))
+    return {"star": RuleSet({"dc:language": ("Lang<uage>", "Tongue"), "dc:source": False, "meta:keyword": True, "Custom:Note": {"formatter": "wrap", "args": ["[", "]"]},
+                             "meta:character-count": {"formatter": "long_only", "args": [3]}, "*": False}, formatter="stars", labels={"exif-artist": "Künstler"}),
+            "bang": RuleSet({"dc:language": True, "!": "Bang"})}
+
+
+def q_user_rules(spark, sf):
+    """Properties mapped by user rules."""
+    p, out = _props(spark, sf), None
+    for name, rules in user_rules().items():
+        m = p.select("file_id", F.explode(map_properties(F.col("properties"), rules)).alias("m"))
+        one = m.select(F.col("file_id").alias("doc_id"), F.lit(name).alias("rules"), F.col("m.pos").alias("pos"), F.col("m.name").alias("name"),
+                       F.col("m.visibility_tag").alias("visibility_tag"), F.col("m.id").alias("id"), F.posexplode("m.values").alias("vpos", "value"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_metadata_text(spark, sf):
     p = _props(spark, sf).withColumn("strategy", F.explode(F.array(*[F.lit(s) for s in STRATEGIES])))
     p = p.withColumn("mapped", map_properties(F.col("properties"), RuleSet()))

@@ -467,6 +467,19 @@ FROM ok o LEFT JOIN txt t ON t.response_id = o.response_id""".replace("\n, txt A
     q["q_map_properties"] = W(FILES, PROPS, RULES, mapped_cte()) + (
         "SELECT file_id AS doc_id, CAST(pos AS BIGINT) AS pos, name, visibility_tag, id, "
         "CAST(vpos AS BIGINT) AS vpos, value FROM mapped")
+    q["q_user_rules"] = W(FILES, PROPS, RULES) + f"""SELECT file_id AS doc_id, 'bang' AS rules, pos,
+  CASE WHEN pos = 0 THEN 'dc:language' ELSE 'Bang' END AS name, CASE WHEN pos = 0 THEN 'dc:language' ELSE 'bang' END AS visibility_tag,
+  CASE WHEN pos = 0 THEN 'exif-dc:language' ELSE 'exif-bang' END AS id, CAST(vpos AS BIGINT) AS vpos, CASE WHEN pos = 0 THEN {esc('value')} ELSE value END AS value
+FROM props
+UNION ALL SELECT file_id, 'star', pos, 'Lang&lt;uage&gt;', 'lang<uage>', 'exif-lang<uage>', vpos, '*Tongue* ' || value FROM props WHERE pos = 0
+UNION ALL SELECT file_id, 'star', pos, 'meta:character-count', 'meta:character-count', 'exif-meta:character-count', vpos, value FROM props WHERE pos = 2 AND length(value) > 3
+UNION ALL SELECT file_id, 'star', pos, 'meta:keyword', 'meta:keyword', 'exif-meta:keyword', vpos, value FROM props WHERE pos = 4
+UNION ALL SELECT file_id, 'star', pos, 'CUSTOM:NOTE', 'note', 'exif-note', vpos, '[' || value || ']' FROM props WHERE pos = 5
+UNION ALL SELECT p.file_id, 'star', p.pos, CASE WHEN lower(r.tag) = 'artist' THEN 'Künstler' ELSE r.tag END, lower(r.tag), 'exif-' || lower(r.tag), p.vpos,
+  '*' || r.tag || '* ' || p.value
+FROM props p JOIN rules r ON r.rname = p.name WHERE p.pos IN (3, 6, 7) AND r.action = 'display'
+UNION ALL SELECT p.file_id, 'star', p.pos, p.name, lower(p.name), 'exif-' || p.name, p.vpos, {esc('p.value')}
+FROM props p JOIN rules r ON r.rname = p.name WHERE p.pos IN (3, 6, 7) AND r.action = 'plain'"""
     q["q_metadata_text"] = W(FILES, PROPS, RULES, NATIVE, mapped_cte(), STRATS,
                              "fs AS (SELECT f.file_id, s.strategy FROM files f CROSS JOIN strats s)",
                              md_text_cte("fs")) + "SELECT file_id AS doc_id, strategy, text FROM md"
