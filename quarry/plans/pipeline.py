@@ -185,10 +185,11 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
         e = _with_payload(e, s.store, "properties", old_m, shards)
         if e.where((F.col("request") == "full") & old_c).limit(1).count() > 0:  # texts are read only if a file needs one
             e = _with_payload(e, s.store, "text", old_c & (F.col("request") == "full"), shards)
-    err, part = error_class(F.col("m_state"), F.col("c_state"), F.col("request"))
+    # The answer to the strongest request, and to either kind: files are judged by their own (not worked out again per file).
+    told = [c.alias(name + kind) for kind, request in (("", F.col("request")), ("_full", F.lit("full")), ("_metadata", F.lit("metadata")))
+            for name, c in zip(("error_class", "error_part"), error_class(F.col("m_state"), F.col("c_state"), request))]
     return e.select("store", "sha1", "request", "action", "m_state", "c_state", "properties",
-                    F.when(F.col("c_state") == "good", F.col("text")).alias("text"),
-                    err.alias("error_class"), part.alias("error_part"))
+                    F.when(F.col("c_state") == "good", F.col("text")).alias("text"), *told)
 
 
 def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
@@ -209,10 +210,10 @@ def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
                F.col("store").eqNullSafe(F.col("e_store")) & (F.col("sha1") == F.col("e_sha1")), "left") \
          .drop("e_store", "e_sha1", "content")
     # The entry answers the strongest request of its hash; every file is judged by its own.
-    c_err, c_part = error_class(F.col("m_state"), F.col("c_state"), F.col("content_request"))
-    m_err, m_part = error_class(F.col("m_state"), F.col("c_state"), F.col("metadata_request"))
-    j = j.drop("error_class", "error_part").withColumns({"content_error": c_err, "content_error_part": c_part,
-                                                         "metadata_error": m_err, "metadata_error_part": m_part})
+    for kind in ("content", "metadata"):
+        asked = F.col(f"{kind}_request")
+        j = j.withColumns({f"{kind}_error{x}": F.when(asked == "full", F.col(f"error_{y}_full")).when(asked == "metadata", F.col(f"error_{y}_metadata"))
+                           for x, y in (("", "class"), ("_part", "part"))})
     j = j.withColumns({
         "content_error_ignored": error_policy(F.col("content_error"), F.col("ignore_content_parsing_errors"),
                                               F.col("ignore_content_service_errors")),
