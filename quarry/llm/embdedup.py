@@ -105,7 +105,7 @@ def _ranked(rows: DataFrame, path: str) -> DataFrame:
 
     rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema).write.parquet(path)
     placed = spark.read.parquet(path)
-    sizes = sorted((r.slot, r.n) for r in placed.groupBy("slot").agg(F.count("*").alias("n")).toLocalIterator())
+    sizes = sorted((r.slot, r.n) for r in placed.groupBy("slot").agg(F.count("*").alias("n")).collect())
     before, total = [], 0
     for slot, n in sizes:
         before.append((slot, total))

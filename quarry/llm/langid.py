@@ -123,15 +123,17 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
             total += (counts(text_column(b, "text")) > 0).sum(0)
             for x in b.column("lang").to_pylist():
                 seen[x] = seen.get(x, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([list(seen)], pa.list_(pa.string())),
-                                          pa.array([list(seen.values())], pa.list_(pa.int64()))], names=["df", "langs", "n"])
+        have = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([*have.tolist(), *[None] * len(seen)], pa.int32()), pa.array([*[None] * len(have), *seen], pa.string()),
+                                          pa.array([*total[have].tolist(), *seen.values()], pa.int64())], names=["i", "lang", "n"])
 
     df, seen = np.zeros(DIMS, np.int64), {}
-    # one row a task: DIMS numbers and its languages; taken one by one
-    for r in rows.mapInArrow(frequency, "df binary, langs array<string>, n array<bigint>").toLocalIterator():
-        df += np.frombuffer(r.df, np.int64)
-        for x, n in zip(r.langs, r.n):
-            seen[x] = seen.get(x, 0) + n
+    # a task gives DIMS counts and its languages; the driver gets their sums
+    for r in rows.mapInArrow(frequency, "i int, lang string, n long").groupBy("i", "lang").agg(F.sum("n").alias("n")).collect():
+        if r.i is None:
+            seen[r.lang] = r.n
+        else:
+            df[r.i] = r.n
     total = sum(seen.values())
     idf = (np.log((1 + total) / (1 + df)) + 0.1).astype(np.float32)
     if not seen:
@@ -147,7 +149,7 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
             yield pa.RecordBatch.from_arrays([b.column("lang"), pa.array([x.tobytes() for x in v], pa.binary())], names=["lang", "v"])
 
     got: dict[str, list[np.ndarray]] = {}
-    for r in chosen.mapInArrow(features, "lang string, v binary").toLocalIterator():
+    for r in chosen.mapInArrow(features, "lang string, v binary").collect():
         got.setdefault(r.lang, []).append(np.frombuffer(r.v, np.float16))
     names, cent, limit = [], [], []
     for lang in sorted(got):

@@ -170,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary()),
                                               pa.array([s.tobytes() for s in stats], pa.binary())], names=["y", "i", "v", "s"])
 
-    got = sorted(rows.mapInArrow(run, "y int, i binary, v binary, s binary").toLocalIterator(), key=lambda r: (bytes(r.s), bytes(r.i), r.y))
+    got = sorted(rows.mapInArrow(run, "y int, i binary, v binary, s binary").collect(), key=lambda r: (bytes(r.s), bytes(r.i), r.y))
     if not got:
         return None
     idx = [np.frombuffer(r.i, np.int32) for r in got]
