@@ -10,7 +10,7 @@ farthest of its sample texts.
 
 Document frequencies and the number of texts of a language cover all training
 rows. The centroids are fitted on a sample of about ``sample`` rows in all,
-shared evenly by the languages and chosen by a hash of the text.
+shared evenly by the languages and chosen by a hash of the row.
 
 Defined results: a text that is null, empty or has no letter is ``und`` with
 score 0, and rejected; training rows with a null language are not used; with
@@ -115,7 +115,9 @@ def _spherical(v: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
 
 def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
     spark = training.sparkSession
-    rows = training.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
+    # copies of a text differ in their other columns, so a large group of copies isn't chosen or left out as a whole
+    dice = F.pmod(F.xxhash64(F.lit(7), *[F.col(f"`{c}`") for c in training.columns]), F.lit(1 << 40))
+    rows = training.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), dice.alias("dice")).where("lang is not null and text is not null")
 
     def frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(DIMS, np.int64), {}
@@ -129,7 +131,7 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
 
     df, seen = np.zeros(DIMS, np.int64), {}
     # a task gives DIMS counts and its languages; the driver gets their sums
-    for r in rows.mapInArrow(frequency, "i int, lang string, n long").groupBy("i", "lang").agg(F.sum("n").alias("n")).collect():
+    for r in rows.select("text", "lang").mapInArrow(frequency, "i int, lang string, n long").groupBy("i", "lang").agg(F.sum("n").alias("n")).collect():
         if r.i is None:
             seen[r.lang] = r.n
         else:
@@ -140,8 +142,7 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
         return Model([], np.zeros((0, DIMS), np.float32), idf, np.zeros(0))
     each = max(1, sample // len(seen))
     share = spark.createDataFrame([(x, min(1.0, each / n)) for x, n in seen.items()], "lang string, share double")
-    chosen = rows.join(F.broadcast(share), "lang").where(  # one row a language
-        F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 40)) < F.col("share") * (1 << 40)).select("lang", "text")
+    chosen = rows.join(F.broadcast(share), "lang").where(F.col("dice") < F.col("share") * (1 << 40)).select("lang", "text")  # one row a language
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _pieces(batches, "text"):
