@@ -5,8 +5,8 @@ lower-cased; runs of anything but letters and non-ASCII bytes are one space).
 Counts are damped (log), weighted by inverse document frequency and normalised.
 Each language has several centroids (spherical k-means); a text takes the
 language of the centroid with the largest cosine and is rejected when that
-cosine is below the centroid's own limit, which lies ``slack`` below the
-farthest of its sample texts.
+cosine is below the centroid's own limit: ``SLACK`` times that of the farthest
+of its sample texts, less for texts of few n-grams.
 
 Document frequencies and the number of texts of a language cover all training
 rows. The centroids are fitted on a sample of about ``sample`` rows in all,
@@ -34,6 +34,7 @@ SAMPLE = 3000      # rows, over all languages, on which centroids are fitted
 DIMS = 4096        # hashed n-grams
 CENTROIDS = 4      # per language
 SLACK = 0.3        # a text is rejected below this share of the least cosine in its centroid's sample
+SURE = 400         # n-grams from which on the whole limit holds; it is in proportion for shorter texts, whose cosine says less
 STEP = 2 << 20     # bytes of text turned into counts at once
 LETTER = regex.compile(r"\p{L}")
 
@@ -187,12 +188,14 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
                 score += [0.0] * b.num_rows
                 out += [True] * b.num_rows
                 continue
-            cos = vectors(counts(text_column(b, "t")), idf) @ centroids
+            n = counts(text_column(b, "t"))
+            sure = np.minimum(n.sum(1) / SURE, 1)
+            cos = vectors(n, idf) @ centroids
             near = cos.argmax(1)
             top = np.clip(cos[np.arange(len(near)), near], 0, 1).astype(float)
             lang += [languages[i] if o else "und" for i, o in zip(near, ok)]
             score += np.where(ok, top, 0.0).tolist()
-            out += (~ok | (top < limit[near])).tolist()
+            out += (~ok | (top < limit[near] * sure)).tolist()
         return pd.DataFrame({"lang": lang, "score": score, "rejected": out})
 
     return docs.withColumn("langid", predict(F.col(f"`{text_col}`")))
