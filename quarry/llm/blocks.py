@@ -13,6 +13,14 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 8 << 20  # text handled at once by a Python worker; a longer single text is a block of its own
 
 
+BATCH_BYTES = 3 << 20  # of an Arrow batch between the JVM and a Python worker
+
+
+def bound_batches(spark) -> None:
+    """Smaller Arrow batches than Spark's default: several workers and the JVM hold one or two of them each at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """The column as large strings (64-bit offsets); null texts become empty."""
     return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
@@ -62,6 +70,7 @@ def gathered(batches: Iterator[pa.RecordBatch], name: str, max_bytes: int = BLOC
         if held and size + n > max_bytes:
             yield pa.concat_batches(held)
             held, size = [], 0
+            trim()
         held.append(b)
         size += n
     if held:

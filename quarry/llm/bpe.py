@@ -29,7 +29,7 @@ from quarry.llm.blocks import from_buffers, ranges, slices, text_column, trim
 
 NONE = np.int32(2**31 - 1)
 MAX_RANK_FILE = 64 << 20  # bytes; the vocabulary is sent to every executor
-ENCODE_BYTES = 3 << 20  # text whose pieces are replayed at once
+ENCODE_BYTES = 4 << 20  # text whose pieces are replayed at once
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

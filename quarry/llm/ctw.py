@@ -41,7 +41,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from quarry.llm.blocks import SPACED, buffers_of, coded, scratch, slices, text_column, words_of
+from quarry.llm.blocks import SPACED, buffers_of, coded, gathered, scratch, slices, text_column, words_of
 from quarry.llm.langid import held_out
 
 DEPTH = 5               # bytes of context
@@ -49,7 +49,7 @@ END = 0xFF
 CHUNK_GRAMS = 200_000   # grams per chunk of the model, and up to the end of a range of contexts
 RESIDENT = 6_000_000    # nodes (16 bytes each) that a worker keeps
 TRAIN_BYTES = 4 << 20   # text counted at once
-SCORE_BYTES = 6 << 20   # text of a block
+SCORE_BYTES = 7 << 20   # text of a block
 _8 = np.uint64(8)
 _FF = np.uint64(255)
 
@@ -366,7 +366,7 @@ def score(docs: DataFrame, model: SimpleNamespace, train_of, id_col: str = "doc_
         if not made:
             made.append(Scorer(model))
         at = TaskContext.get().partitionId() << 32
-        for b in slices(batches, "text", SCORE_BYTES):
+        for b in gathered(batches, "text", SCORE_BYTES):
             texts = text_column(b, "text")
             value, size = made[0].texts(texts)
             flat, off = words_of(texts, SPACED)

@@ -11,16 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.llm import bpe, decontam, langid, linededup, minhash
+from quarry.llm.blocks import bound_batches
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the language classifier rejects: no letters, or far from all centroids."""
+    bound_batches(spark)
     model = langid.fit(langid.training_rows(docs))
     return langid.classify(docs, model).where(~F.col("langid.rejected")).select(*_own(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete aligned blocks from later documents; a document of which nothing is left goes. n_chars follows the text."""
+    bound_batches(spark)
     done = linededup.dedup(docs)
     emptied = (F.col("line_dedup.removed_lines") > 0) & ~F.col("text").rlike(r"[^\s]")
     kept = done.where(~F.coalesce(emptied, F.lit(False)))
@@ -32,18 +35,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the smallest doc_id of each group of near-duplicates (five words, similarity of 0.8 or more)."""
+    bound_batches(spark)
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*_own(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window of a benchmark item."""
+    bound_batches(spark)
     found = decontam.search(decontam.written_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(found.where("n_hit > 0").select("doc_id").distinct(), "doc_id", "left_anti").select(*_own(docs))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage: number and digest of the ids of every kept text, and the digest of the bytes they decode to."""
+    bound_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
 
