@@ -1,13 +1,20 @@
 """Embedding near-duplicates by sorted projection passes.
 
 1. Vectors with equal numbers form one class (its node is the smallest vec_id).
-2. In each of ``passes`` passes the classes are ordered by the bits of 62 random
-   projections (seeded by the pass), one after another, and by node. The order
-   is cut into blocks of ``block`` classes that also get the last ``window`` ones
-   of the block before. A class is compared with its ``window`` neighbours on
-   either side, in double precision; a block returns a spanning forest of the
-   pairs it verified, so a dense group gives as many pairs as it has members.
-3. The pairs of all passes give components. A link never leaves its component,
+2. In a pass the classes are ordered by the bits of 62 random projections (seeded
+   by the pass), one after another, and by node. The order is cut into blocks of
+   ``block`` classes that also get the last ``window`` ones of the block before.
+   A class is compared with its ``window`` neighbours on either side, in double
+   precision; a block returns a spanning forest of the pairs it verified, so a
+   dense group gives as many pairs as it has members.
+3. A class has met all that share its first ``depth`` bits, where depth is one more
+   than it shares with the last neighbour on either side. Vectors at the threshold
+   agree in a bit with p = 1 - arccos(threshold) / pi, so a link of the class is
+   missed by all its passes with a probability of at most prod(1 - p ** depth). Passes go on,
+   ``passes`` at first, with the classes for which that is above ``miss``; a link is
+   covered if one of its ends is. Once it costs less than the passes still needed
+   (many vectors in one direction), the classes left are compared with each other.
+4. The pairs found give components. A link never leaves its component,
    so links are counted there: all classes of a component are compared, in
    pairs of blocks, and only counts leave a task.
 
@@ -68,7 +75,7 @@ def keyed(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("node"), F.col(vec_col).alias("v")).mapInArrow(run, schema)
 
 
-def _projected(classes: DataFrame, passes: int) -> DataFrame:
+def _projected(classes: DataFrame, passes: range) -> DataFrame:
     """One row per pass and class: (pass, dims, bits, node, raw)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +87,7 @@ def _projected(classes: DataFrame, passes: int) -> DataFrame:
                     rows = np.flatnonzero(dims == d)
                     x = unit([raw[i] for i in rows])
                     own = b.take(pa.array(rows))
-                    for p in range(passes):
+                    for p in passes:
                         bits = ((x @ planes(p, d)) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), p, np.int32)), own.column("dims"), pa.array(bits, pa.int64()),
                                                           own.column("node"), own.column("raw")], names=["pass", "dims", "bits", "node", "raw"])
@@ -133,20 +140,27 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> list[int]:
     return out
 
 
-def verified_pairs(classes: DataFrame, path: str, threshold: float, passes: int, window: int, block: int) -> DataFrame:
-    """Distinct (a, b) of a spanning forest of the verified pairs of every block."""
+def _depth(x: np.ndarray) -> np.ndarray:
+    """One more than the leading bits, of ``BITS``, in which two orders agree; x: their exclusive or."""
+    high, low = x >> 31, x & ((1 << 31) - 1)
+    return BITS + 1 - np.where(high > 0, 31 + np.frexp(high.astype(float))[1], np.frexp(low.astype(float))[1])
+
+
+def _windowed(classes: DataFrame, path: str, threshold: float, passes: range, window: int, block: int) -> DataFrame:
+    """Rows (a, b) of a spanning forest of the verified pairs of every block, and rows (a, pass, depth) of what bounds a class's window."""
     kind = classes.schema["node"].dataType
     ranked = _ranked(_projected(classes, passes), path)
     own = (F.col("rank") / block).cast("long")
     homes = F.when(F.col("rank") % block >= block - window, F.array(own, own + 1)).otherwise(F.array(own))
-    placed = ranked.select("pass", "dims", "node", "raw", "rank", F.explode(homes).alias("block"))
+    placed = ranked.select("pass", "dims", "bits", "node", "raw", "rank", F.explode(homes).alias("block"))
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by("rank")
-        rank, block_no = t["rank"].to_numpy(), t["block"][0].as_py()
+        rank, block_no, bits = t["rank"].to_numpy(), t["block"][0].as_py(), t["bits"].to_numpy()
         sort = t["pass"].to_numpy().astype(np.int64) * (1 << 32) + t["dims"].to_numpy()
         raw, node = t["raw"].to_pylist(), t["node"].combine_chunks()
         xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        ends, depths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for s in np.unique(sort):  # only vectors of one pass and length are compared
             rows = np.flatnonzero(sort == s)
             x = unit([raw[i] for i in rows])
@@ -156,12 +170,82 @@ def verified_pairs(classes: DataFrame, path: str, threshold: float, passes: int,
                 keep = (j > i) & (j - i <= window) & (rank[rows[at + j]] >= block_no * block)  # pairs of the block before are its own
                 xs.append(rows[at + i[keep]])
                 ys.append(rows[at + j[keep]])
+            first, last = rows[:-window], rows[window:]  # the last neighbours that are compared
+            here = rank[last] >= block_no * block
+            depth = _depth(bits[first[here]] ^ bits[last[here]])
+            ends += [first[here], last[here]]
+            depths += [depth, depth]
         a, b = np.concatenate(xs), np.concatenate(ys)
         ok = _forest(a, b, len(rank))
+        end, depth = np.concatenate(ends), np.concatenate(depths)
+        found = pa.table({"a": node.take(pa.array(a[ok], pa.int64())), "b": node.take(pa.array(b[ok], pa.int64())),
+                          "pass": pa.nulls(len(ok), pa.int32()), "depth": pa.nulls(len(ok), pa.int32())})
+        bound = pa.table({"a": node.take(pa.array(end)), "b": pa.nulls(len(end), node.type),
+                          "pass": pa.array(t["pass"].to_numpy()[end], pa.int32()), "depth": pa.array(depth, pa.int32())})
+        return pa.concat_tables([found, bound])
+
+    return placed.groupBy("block").applyInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind),
+                                                                   T.StructField("pass", T.IntegerType()), T.StructField("depth", T.IntegerType())]))
+
+
+def _compared(classes: DataFrame, count: int, threshold: float, size: int, step: int) -> DataFrame:
+    """(a, b) of a spanning forest of the verified pairs of every two blocks of about ``size`` classes: all are compared."""
+    kind = classes.schema["node"].dataType
+    blocks = (count - 1) // size + 1
+    m = classes.select("node", "dims", "raw", F.pmod(F.xxhash64("raw"), F.lit(blocks)).alias("own"))
+    m = m.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    m = m.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+
+    def run(t: pa.Table) -> pa.Table:
+        own, i, j = t["own"].to_numpy(), t["i"][0].as_py(), t["j"][0].as_py()
+        raw, dims, node = t["raw"].to_pylist(), t["dims"].to_numpy(), t["node"].combine_chunks()
+        up, xs, ys = len(own), [], []
+        for d in np.unique(dims):
+            left, right = np.flatnonzero((own == i) & (dims == d)), np.flatnonzero((own == j) & (dims == d))
+            if not len(left) or not len(right):
+                continue
+            x, y = unit([raw[k] for k in left]), unit([raw[k] for k in right])
+            for at in range(0, len(left), step):
+                k, n = np.nonzero(x[at:at + step] @ y.T >= threshold)
+                a, b = left[at + k], right[n]
+                ok = _forest(a, b, up)  # at most a pair for each class, also where a step has many
+                xs.append(a[ok])
+                ys.append(b[ok])
+        a, b = np.concatenate([np.empty(0, np.int64), *xs]), np.concatenate([np.empty(0, np.int64), *ys])
+        ok = _forest(a, b, up)
         return pa.table({"a": node.take(pa.array(a[ok], pa.int64())), "b": node.take(pa.array(b[ok], pa.int64()))})
 
-    return (placed.groupBy("block").applyInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return m.drop("other").groupBy("i", "j").applyInArrow(run, T.StructType([T.StructField("a", kind), T.StructField("b", kind)]))
+
+
+def verified_pairs(classes: DataFrame, path: str, threshold: float, passes: int, window: int, block: int, miss: float) -> DataFrame:
+    """Distinct (a, b) that join all classes with a cosine of ``threshold``, each link but for a probability of ``miss``."""
+    spark, goal = classes.sparkSession, -float(np.log(miss))
+    agree = 1 - float(np.arccos(min(threshold, 1.0))) / np.pi
+    met = F.when(F.col("depth") > BITS, 0.0).otherwise(F.pow(F.lit(agree), F.col("depth")))
+    left, now, pairs = classes.select("node", "dims", "raw", F.lit(0.0).alias("sure")), range(passes), None
+    while True:
+        at = f"{path}/passes-{now.start}"
+        _windowed(left, f"{at}/ranked", threshold, now, window, block).write.parquet(f"{at}/found")
+        found = spark.read.parquet(f"{at}/found")
+        joined = found.where("depth is null").select("a", "b")
+        pairs = joined if pairs is None else pairs.unionAll(joined)
+        # a class without a bound in some pass has met all others there
+        gain = (found.where("depth is not null").groupBy("a", "pass").agg(F.max("depth").alias("depth"))
+                .groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n"), F.sum(-F.log1p(-F.least(met, F.lit(1 - 1e-12)))).alias("gain"))
+                .where(F.col("n") == len(now)).drop("n"))
+        (left.join(gain, "node").withColumn("sure", F.col("sure") + F.col("gain")).where(F.col("sure") < goal)
+         .write.parquet(f"{at}/left"))
+        left = spark.read.parquet(f"{at}/left")
+        n, need = left.agg(F.count("*"), F.avg((goal - F.col("sure")) / F.greatest(F.col("gain") / len(now), F.lit(1e-9)))).first()
+        if not n:
+            break
+        if n <= (2 * window + 1024) * need:  # comparisons of a class: with all, or of a pass (its row costs like 1,024)
+            pairs = pairs.unionAll(_compared(left, n, threshold, block, window))
+            break
+        now = range(now.stop, now.stop + min(passes, int(np.ceil(need))))
+        left = left.drop("gain")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
 
 
 def _degrees(members: DataFrame, threshold: float, size: int) -> DataFrame:
@@ -196,7 +280,7 @@ def _degrees(members: DataFrame, threshold: float, size: int) -> DataFrame:
             .groupBy("key").agg(F.sum("links").alias("links")))
 
 
-def near_duplicates(df: DataFrame, threshold: float = 0.9, passes: int = 8, window: int = 256, block: int = 4096,
+def near_duplicates(df: DataFrame, threshold: float = 0.9, passes: int = 8, window: int = 256, block: int = 4096, miss: float = 1e-3,
                     id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` per row."""
     spark = df.sparkSession
@@ -206,7 +290,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, passes: int = 8, wind
     full = rows.where("key is not null and node is not null")
     full.groupBy("key", "dims", "raw").agg(F.min("node").alias("node"), F.count("*").alias("copies")).write.parquet(f"{path}/classes")
     classes = spark.read.parquet(f"{path}/classes")
-    pairs = verified_pairs(classes, f"{path}/ranked", threshold, passes, window, block)
+    pairs = verified_pairs(classes, path, threshold, passes, window, block, miss)
     same = full.select("key", F.col("node").alias("a")).distinct().join(classes.select("key", F.col("node").alias("b")), "key").where("a <> b").select("a", "b")
     named = components(pairs.unionAll(same))
     members = classes.join(named, "node")

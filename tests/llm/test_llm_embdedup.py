@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import smallest
 
@@ -46,3 +48,36 @@ def test_odd_rows(spark):
 def test_recall_on_given_vectors(spark, sf):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert got(spark.read.parquet(f"{sf}/embeddings.parquet")) == brute(rows)
+
+
+def test_recall_over_many_vectors(spark, tmp_path):
+    """100,000 vectors, a third of them in a cone of mutual cosine 0.6, with pairs planted at 0.9 and a little above."""
+    rng, n, dims = np.random.default_rng(8), 100_000, 64
+    v = rng.normal(size=(n, dims))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    axis = v[0].copy()
+    v[:n // 3] = 0.6 ** 0.5 * axis + 0.4 ** 0.5 * v[:n // 3]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    at = rng.permutation(n)[:4000]
+    for a, b in at.reshape(-1, 2):
+        w = rng.normal(size=dims)
+        w -= (w @ v[a]) * v[a]
+        c = rng.uniform(0.9005, 0.92)
+        v[b] = c * v[a] + (1 - c * c) ** 0.5 * w / np.linalg.norm(w)
+    v = v.astype(np.float32)
+    pq.write_table(pa.table({"vec_id": pa.array(np.arange(n)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(v.ravel()), dims).cast(pa.list_(pa.float32()))}),
+                   tmp_path / "v.parquet", row_group_size=10_000)
+    x = v.astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = []
+    for k in range(0, n, 2000):
+        i, j = np.nonzero(x[k:k + 2000] @ x[k:].T >= 0.9)
+        links += [(int(a), int(b)) for a, b in zip(k + i, k + j) if a < b]
+    assert len(links) >= 2000
+    component = smallest(range(n), links)
+    found = got(spark.read.parquet(str(tmp_path / "v.parquet")))
+    linked = np.mean([found[a][1] == found[b][1] for a, b in links])
+    print(f"links {len(links)}, found {linked:.4f}")
+    assert linked >= 0.998
+    assert np.mean([found[a][1] == component[a] for pair in links for a in pair]) >= 0.995
+    assert sum(f[0] for f in found.values()) <= 2 * len(links)
