@@ -235,11 +235,20 @@ def q_errors(spark, sf):
     return g.select(F.col("file_id").alias("doc_id"), "kind", "error_class", "error_part", "ignored")
 
 
-def q_search_content_failures(spark, sf):
-    """M2 when extraction fails: what is left of the search text, and whether metadata are stashed."""
+def _search_content_failures(spark, sf, routes):
     g = pipeline.generate(spark, fixtures.files(spark, sf), _failures(spark, sf))
-    return g.where("route <> 'wrapping'").select(F.col("file_id").alias("doc_id"), "route", F.sha1("content").alias("content_sha1"),
-                                                 F.size("extracted_properties").alias("n_properties"))
+    return g.where(routes).select(F.col("file_id").alias("doc_id"), "route", F.sha1("content").alias("content_sha1"),
+                                  F.size("extracted_properties").alias("n_properties"))
+
+
+def q_search_content_failures(spark, sf):
+    """M2 when extraction fails: what is left of the search text, and whether metadata are stashed; all routes but wrapping."""
+    return _search_content_failures(spark, sf, "route <> 'wrapping'")
+
+
+def q_search_content_failures_wrapping(spark, sf):
+    """The same for the files of route wrapping: native text merged with the metadata text."""
+    return _search_content_failures(spark, sf, "route = 'wrapping'")
 
 
 def q_refresh(spark, sf):

@@ -503,6 +503,16 @@ FROM files f CROSS JOIN strats s"""
        WHEN m.text IS NOT NULL AND m.text <> '' THEN (CASE WHEN c.composition = 'metadata' THEN '' ELSE {e} END) || ' ' || m.text
        ELSE (CASE WHEN c.composition = 'metadata' THEN '' ELSE {e} END) END AS content
 FROM files f CROSS JOIN comps c JOIN md m ON m.file_id = f.file_id"""
+    q["q_search_content_failures_wrapping"] = W(
+        FILES, FAILURES, failed, RULES, EXTRACTED, NATIVE,
+        "answered AS (SELECT x.* FROM xprops x JOIN told t ON t.file_id = x.file_id WHERE t.ce IS NULL)", mapped_cte("answered"),
+        "nat_r AS (SELECT n.* FROM native n JOIN req r ON r.file_id = n.file_id WHERE r.has_nm)",
+        "fs AS (SELECT file_id, metadata_strategy AS strategy FROM req WHERE route = 'wrapping')", md_text_cte("fs", "mprop", "nat_r")) + f"""SELECT r.file_id AS doc_id, r.route,
+  sha1(CASE WHEN r.ce IS NOT NULL AND NOT r.ci THEN NULL WHEN r.content_request = 'none' THEN r.nt ELSE (
+    {_merge_sql()}) END) AS content_sha1,
+  CASE WHEN r.metadata_request = 'none' OR (r.me IS NOT NULL AND NOT r.mi) THEN NULL WHEN r.me IS NOT NULL THEN 0 ELSE 4 END AS n_properties
+FROM (SELECT * REPLACE (CASE WHEN ce IS NULL THEN content ELSE '' END AS content) FROM told) r LEFT JOIN md m ON m.file_id = r.file_id
+WHERE r.route = 'wrapping'"""
     # ---- end to end ----
     e2e = [FILES, PROFILES, RULES, EXTRACTED,
            mapped_cte("xprops"),
