@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express on whole tables.
 
-The others (op2, op3, op5, op8, op9, pipeline) are tested against brute force,
+The others (op2, op3, op5, op8, op9, op12, pipeline) are tested against brute force,
 round trips, a tokenizer library and held-out accuracy in ``tests/llm``.
 """
 
@@ -72,4 +72,34 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
        CASE WHEN f.f IS DISTINCT FROM page_id AND f.f IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN f.f IS DISTINCT FROM page_id THEN f.f END AS refers_to
 FROM p LEFT JOIN f ON p.d = f.d""",
+    "op11_filter_audit": r"""
+WITH RECURSIVE g AS (SELECT doc_id, bool_or(coalesce(quality, 0) = 1) AS good, bool_or(coalesce(toxic, 0) = 1) AS toxic FROM labels GROUP BY 1),
+t AS (SELECT d.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents d),
+f AS (
+  SELECT part, coalesce(g.good, false) AS good, coalesce(g.toxic, false) AS toxic,
+    {'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+     'C': 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(text),
+     'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM t LEFT JOIN g ON g.doc_id = t.doc_id),
+bits AS (SELECT part, good, toxic, [f.A, f.B, f.C, f.D, f.E] AS b FROM f),
+cell AS (SELECT part, b, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM bits GROUP BY 1, 2),
+o AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || l FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE length(o) < 5 AND NOT contains(o, l)),
+steps AS (
+  SELECT o AS filter_order, step, ascii(substr(o, step, 1)) - 64 AS pos, list_transform(range(1, step), lambda i: ascii(substr(o, CAST(i AS INT), 1)) - 64) AS before
+  FROM (SELECT o, unnest(range(1, 6)) AS step FROM o WHERE length(o) = 5)),
+r AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, s.pos,
+    CAST(coalesce(sum(n) FILTER (NOT early AND NOT here), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT early AND here), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (early AND here), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (here AND fails = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (NOT early AND here), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (NOT early AND here), 0) AS BIGINT) AS toxic_lost
+  FROM (SELECT cell.*, steps.*, b[pos] AS here, len(list_filter(before, lambda i: b[i])) > 0 AS early, len(list_filter(b, lambda x: x)) AS fails FROM cell, steps) s
+  GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, pos) AS BIGINT) AS shapley
+FROM r""",
 }

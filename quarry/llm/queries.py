@@ -97,4 +97,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op2_ctw, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import filteraudit
+
+    counted = filteraudit.cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), filteraudit.text_filters(), copies="E")
+    return filteraudit.audit(counted, "ABCDE")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op2_ctw, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc, op11_filter_audit)}

@@ -97,5 +97,5 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
 
 
 def test_every_operator_has_its_query():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 14))
     assert [f for _, f in corpus_pipeline.STAGES] == [stages.language, stages.lines, stages.near_duplicates, stages.decontamination, stages.encoding]
