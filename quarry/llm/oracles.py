@@ -102,4 +102,29 @@ r AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, pos) AS BIGINT) AS shapley
 FROM r""",
+    "op13_prefix_trie": r"""
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+crc AS (  -- CRC-32 of the id's decimal digits, bit by bit
+  SELECT conv_id, s, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384)))) % 9 AS h
+  FROM own),
+rebuilt AS (
+  SELECT o.conv_id AS c, list_concat(coalesce(b.s[1:h], []), o.s[h + 1:]) AS s FROM crc o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+place AS (SELECT c, d, s[1:d] AS p, len(s) = d AS ends FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+node AS (
+  SELECT d, p, min(c) AS m, count(*) AS n, octet_length(encode(any_value(p)[d].t)) AS bytes,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS e
+  FROM place GROUP BY d, p),
+path AS (SELECT c, place.d, m FROM place JOIN node ON node.d = place.d AND node.p = place.p),
+up AS (SELECT node.*, path.m AS parent FROM node LEFT JOIN path ON path.c = node.m AND path.d = node.d - 1),
+kids AS (SELECT parent, d - 1 AS d, count(*) AS k FROM up WHERE parent IS NOT NULL GROUP BY 1, 2),
+one AS (SELECT up.*, coalesce(k, 0) AS k FROM up LEFT JOIN kids ON kids.parent = up.m AND kids.d = up.d),
+total AS (
+  SELECT path.m, path.d, sum(CASE WHEN k = 0 THEN 1 ELSE 0 END) AS leaves, sum(coalesce((n - 1) * bytes, 0)) AS saved
+  FROM one JOIN path ON path.c = one.m AND path.d <= one.d GROUP BY 1, 2)
+SELECT one.m AS conv_id, CAST(one.d AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, k AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, e AS ends_sha256
+FROM one JOIN total ON total.m = one.m AND total.d = one.d""",
 }

@@ -113,4 +113,11 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op2_ctw, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc, op11_filter_audit, op12_token_counts)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm import prefixtrie
+
+    return prefixtrie.trie(*prefixtrie.with_shared_heads(prefixtrie.ordered_turns(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_chat, op2_ctw, op3_langid, op4_minhash, op5_quality, op6_decontaminate, op7_embeddings, op8_bpe, op9_line_dedup, op10_warc, op11_filter_audit, op12_token_counts,
+                                                                                                     op13_prefix_trie)}
