@@ -46,8 +46,10 @@ from quarry.llm.blocks import scratch, slices, text_column
 MAX_FILE = 64 << 20       # bytes of a tokenizer file; it is sent to every executor
 BLOCK_BYTES = 16 << 20    # text whose pre-tokens share a list
 BLOCK_TERMS = 1 << 20     # a longer list ends a block early
+BLOCK_CHUNKS = 1 << 10    # and more rows
 CHUNK_BYTES = 1 << 20     # text whose frequencies are one row
 PORTION = 1 << 20         # characters of a long text that are cut at once
+PACKED = 1 << 18          # numbers of pieces that are put in order by block before they go back
 ROW_GROUP = 8 << 20
 
 # Fixed value: the cut of byte-level BPE.
@@ -157,11 +159,29 @@ def shared(spark, path: str) -> Shared:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    return pa.compress(x.astype(np.int32).tobytes(), codec="zstd", asbytes=True)
+    """Compressed 32-bit integers, their lowest bytes first, then the next ones."""
+    return pa.compress(np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
 
 
 def _unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.int32) if n else np.empty(0, np.int32)
+    if not n:
+        return np.empty(0, np.int32)
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n).T).view("<i4").ravel()
+
+
+def _steps(codes: np.ndarray, n_terms: np.ndarray) -> np.ndarray:
+    """Each document's ascending codes as differences to the one before."""
+    d = np.diff(codes, prepend=0)
+    start = (np.cumsum(n_terms) - n_terms)[n_terms > 0]
+    d[start] = codes[start]
+    return d
+
+
+def _codes(steps: np.ndarray, n_terms: np.ndarray) -> np.ndarray:
+    up = np.cumsum(steps, dtype=np.int64)
+    ends = np.cumsum(n_terms)
+    before = np.concatenate([[0], up])[ends - n_terms]
+    return up - np.repeat(before, n_terms)
 
 
 def frequencies(docs: DataFrame, tokenizer: Shared, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,7 +193,7 @@ def frequencies(docs: DataFrame, tokenizer: Shared, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = tokenizer.cutter()
-        block, size, terms, id_type = TaskContext.get().partitionId() << 32, 0, {}, None
+        block, size, terms, held, id_type = TaskContext.get().partitionId() << 32, 0, {}, [], None
 
         def row(ids=None, n_bytes=None, n_terms=None, codes=None, times=None, words=None):
             listed = lambda x, type_: pa.nulls(1, pa.list_(type_)) if x is None else pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
@@ -181,6 +201,18 @@ def frequencies(docs: DataFrame, tokenizer: Shared, id_col: str = "doc_id", text
                 pa.array([block]), listed(ids, id_type), listed(n_bytes, pa.int64()), listed(n_terms, pa.int32()), pa.array([codes], pa.binary()),
                 pa.array([times], pa.binary()), listed(words, pa.string())], names=schema.names)
 
+        def ended() -> Iterator[pa.RecordBatch]:
+            """The block's rows; codes follow the order of its terms, so that steps between them are small."""
+            words = pa.array(terms, pa.string())
+            order = pc.sort_indices(words)
+            place = np.empty(len(words), np.int64)
+            place[order.to_numpy()] = np.arange(len(words))
+            for ids, n_bytes, n_terms, codes, times in held:
+                new = place[codes]
+                by = np.lexsort((new, np.repeat(np.arange(len(n_terms)), n_terms)))
+                yield row(ids, n_bytes, pa.array(n_terms), _packed(_steps(new[by], n_terms)), _packed(times[by]))
+            yield row(words=words.take(order))
+
         for b in slices(batches, text_col, CHUNK_BYTES):
             id_type = b.column(id_col).type
             texts, codes, times = text_column(b, text_col), [], []
@@ -191,31 +223,52 @@ def frequencies(docs: DataFrame, tokenizer: Shared, id_col: str = "doc_id", text
                 codes += [terms.setdefault(t, len(terms)) for t in found]
                 times += found.values()
             n_bytes = pc.binary_length(texts).cast(pa.int64())
-            yield row(b.column(id_col), n_bytes, pa.array(n_terms), _packed(np.array(codes, np.int64)), _packed(np.array(times, np.int64)))
+            held.append((pa.concat_arrays([b.column(id_col)]), n_bytes, n_terms, np.array(codes, np.int32), np.array(times, np.int32)))
             size += pc.sum(n_bytes).as_py()
-            if size >= BLOCK_BYTES or len(terms) >= BLOCK_TERMS:
-                yield row(words=pa.array(terms, pa.string()))
-                block, size, terms = block + 1, 0, {}
-        if terms:
-            yield row(words=pa.array(terms, pa.string()))
+            if size >= BLOCK_BYTES or len(terms) >= BLOCK_TERMS or len(held) >= BLOCK_CHUNKS:
+                yield from ended()
+                block, size, terms, held = block + 1, 0, {}, []
+        if held:
+            yield from ended()
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def pieces(terms: DataFrame, tokenizer: Shared) -> DataFrame:
-    """``(block, code, pieces)`` of ``(block, code, term)``; equal terms meet, and are counted once."""
+    """``(block, steps, pieces)`` of ``(block, code, term)``: numbers of pieces, by the steps between a block's codes.
+
+    Equal terms meet, and are counted once. The codes of a block that are found
+    within ``PACKED`` rows are one row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, last = tokenizer.cutter(), (None, 0)
+        cutter, last, held, size = tokenizer.cutter(), (None, 0), [], 0
+
+        def packed() -> pa.RecordBatch:
+            block, code, n = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((code, block))
+            block, code, n = block[order], code[order], n[order]
+            start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+            ends = pa.array(np.append(start, len(block)), pa.int32())
+            steps = _steps(code, np.diff(np.append(start, len(block)))).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(block[start]), pa.ListArray.from_arrays(ends, pa.array(steps)), pa.ListArray.from_arrays(ends, pa.array(n))],
+                                              names=["block", "steps", "pieces"])
+
         for b in batches:
             listed = b.column("term").dictionary_encode()
             words = listed.dictionary.to_pylist()
             n = [last[1] if w == last[0] else cutter.pieces(w) for w in words]  # sorted: only the first can be of the batch before
             if words:
                 last = words[-1], n[-1]
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("code"), pa.array(n, pa.int32()).take(listed.indices)], names=["block", "code", "pieces"])
+                held.append((b.column("block").to_numpy(), b.column("code").to_numpy(), np.array(n, np.int32)[listed.indices.to_numpy()]))
+                size += b.num_rows
+            if size >= PACKED:
+                yield packed()
+                held, size = [], 0
+        if held:
+            yield packed()
 
-    return terms.repartition("term").sortWithinPartitions("term").mapInArrow(run, "block long, code int, pieces int")
+    return terms.repartition("term").sortWithinPartitions("term").mapInArrow(run, "block long, steps array<int>, pieces array<int>")
 
 
 def counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,15 +285,19 @@ def counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     schema = T.StructType([T.StructField(id_col, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def total(chunks: pa.Table, found: pa.Table) -> pa.Table:
-        code = found.column("code").to_numpy()
-        n = np.zeros(len(code), np.int64)
-        n[code] = found.column("pieces").to_numpy()
+        n = np.empty(0, np.int64)  # a block of empty texts has no terms
+        if found.num_rows:
+            steps, each = (pa.concat_arrays(found.column(c).chunks) for c in ("steps", "pieces"))
+            code = _codes(steps.flatten().to_numpy(), pc.list_value_length(steps).to_numpy())
+            n = np.zeros(len(code), np.int64)
+            n[code] = each.flatten().to_numpy()
         out = []
         for r in range(chunks.num_rows):
             row = {k: chunks.column(k)[r] for k in ("ids", "n_bytes", "n_terms", "codes", "times")}
             n_terms = row["n_terms"].values.to_numpy().astype(np.int64)
             m = int(n_terms.sum())
-            tokens = np.concatenate([[0], np.cumsum(n[_unpacked(row["codes"].as_py(), m)] * _unpacked(row["times"].as_py(), m))])
+            codes = _codes(_unpacked(row["codes"].as_py(), m), n_terms)
+            tokens = np.concatenate([[0], np.cumsum(n[codes] * _unpacked(row["times"].as_py(), m))])
             ends = np.cumsum(n_terms)
             out.append(pa.Table.from_arrays([row["ids"].values, row["n_bytes"].values, pa.array(tokens[ends] - tokens[ends - n_terms], pa.int64())], names=schema.names))
         return pa.concat_tables(out) if out else pa.Table.from_arrays([pa.array([], chunks.schema.field("ids").type.value_type), *[pa.array([], pa.int64())] * 2], names=schema.names)

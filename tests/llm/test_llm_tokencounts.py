@@ -56,13 +56,18 @@ def test_pieces_are_counted_once_per_pre_token_of_the_corpus(spark, tmp_path):
     made = tokencounts.Cutter.pieces
     try:
         tokencounts.Cutter.pieces = lambda self, term: (log.add(1), made(self, term))[1]
-        assert tokencounts.pieces(terms, tokenizer).count() == terms.count()
+        assert tokencounts.pieces(terms, tokenizer).selectExpr("sum(size(pieces))").first()[0] == terms.count()
     finally:
         tokencounts.Cutter.pieces = made
     assert log.value == 12
     assert told(tokencounts.counts(docs, PATH)) == expected(rows)
 
 
+def test_a_block_of_empty_texts(spark):
+    docs = spark.createDataFrame([(1, ""), (2, None), (3, "")], "doc_id long, text string").coalesce(1)
+    assert told(tokencounts.counts(docs, PATH)) == [(1, 0, 0), (2, 0, 0), (3, 0, 0)]
+
+
 def test_blocks_end_early(spark, monkeypatch):
     monkeypatch.setattr(tokencounts, "BLOCK_BYTES", 200)
     monkeypatch.setattr(tokencounts, "CHUNK_BYTES", 60)
