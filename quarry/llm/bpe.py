@@ -15,6 +15,7 @@ other columns are not looked at.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import os
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ from quarry.llm.blocks import from_buffers, ranges, slices, text_column, trim
 NONE = np.int32(2**31 - 1)
 MAX_RANK_FILE = 64 << 20  # bytes; the vocabulary is sent to every executor
 ENCODE_BYTES = 4 << 20  # text whose pieces are replayed at once
+HASHED = 1 << 16        # ids written out at once for their digest
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -173,29 +175,37 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
+class Decoder:
+    """Bytes of ids, gathered from the tokens of a rank file laid end to end."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        ids = np.fromiter(ranks.values(), np.int64, len(ranks))
+        sizes = np.fromiter(map(len, ranks), np.int64, len(ranks))
+        self.flat = np.frombuffer(b"".join(ranks), np.uint8)
+        self.length, self.start = np.full(int(ids.max()) + 1, -1, np.int64), np.zeros(int(ids.max()) + 1, np.int64)
+        self.length[ids], self.start[ids] = sizes, np.cumsum(sizes) - sizes
+
+    def decode(self, ids: np.ndarray, n: np.ndarray) -> pa.Array:
+        """The bytes of each row; ``n``: ids of a row. An unknown id is an error."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or (self.length[ids] < 0).any()):
+            raise ValueError("an id that the rank file doesn't have")
+        size_of = self.length[ids]
+        upto = np.concatenate([[0], np.cumsum(size_of)])
+        return from_buffers(self.flat[ranges(self.start[ids], size_of)], upto[np.concatenate([[0], np.cumsum(n)])], pa.large_binary())
+
+
 def decode(encoded: DataFrame, rank_path: str, keep: list[str]) -> DataFrame:
     """``(*keep, decoded binary)`` of ``ids``; null ids decode to no bytes, an unknown id is an error."""
-    tokens = encoded.sparkSession.sparkContext.broadcast({r: t for t, r in load_ranks(rank_path).items()})
+    ranks = encoded.sparkSession.sparkContext.broadcast(load_ranks(rank_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = max(tokens.value) + 1
-        length = np.full(size, -1, np.int64)
-        length[list(tokens.value)] = [len(t) for t in tokens.value.values()]
-        start = np.zeros(size, np.int64)
-        start[list(tokens.value)] = np.concatenate([[0], np.cumsum([len(t) for t in tokens.value.values()])])[:-1]
-        flat = np.frombuffer(b"".join(tokens.value.values()), np.uint8)
+        decoder = Decoder(ranks.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 lists = b.column("ids")
-                ids = lists.flatten().to_numpy().astype(np.int64)
                 n = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(ids) and (ids.min() < 0 or ids.max() >= size or (length[ids] < 0).any()):
-                    raise ValueError("an id that the rank file doesn't have")
-                size_of = length[ids]
-                upto = np.concatenate([[0], np.cumsum(size_of)])
-                ends = np.concatenate([[0], np.cumsum(n)])
-                text = from_buffers(flat[ranges(start[ids], size_of)], upto[ends], pa.large_binary())
+                text = decoder.decode(lists.flatten().to_numpy().astype(np.int64), n)
                 yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), text.cast(pa.binary())], names=[*keep, "decoded"])
             trim()
 
@@ -209,3 +219,27 @@ def digests(encoded: DataFrame, rank_path: str, id_col: str = "doc_id") -> DataF
                           F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
     return decode(told, rank_path, [id_col, "n_tokens", "ids_sha256"]).select(
         id_col, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What :func:`digests` of :func:`encode` gives, in one worker a task: ids and decoded bytes don't leave it."""
+    ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(rank_path))
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        replay, decoder = Replay(ranks.value, pattern), Decoder(ranks.value)
+        words = pa.array(map(str, range(replay.width)), pa.string())
+        for b in slices(batches, text_col, ENCODE_BYTES):
+            ids, n = replay.encode(text_column(b, text_col).to_pylist())
+            ends, told = np.concatenate([[0], np.cumsum(n)]), []
+            decoded = decoder.decode(ids, n)
+            for i, (a, z) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+                own = hashlib.sha256()
+                for at in range(a, z, HASHED):  # a long text has long digits: portions of them at a time
+                    own.update((" " if at > a else "").encode() + " ".join(words.take(pa.array(ids[at:min(at + HASHED, z)])).to_pylist()).encode())
+                told.append((own.hexdigest(), hashlib.sha256(decoded[i].as_buffer()).hexdigest()))
+            yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in zip(*told))], names=names)
+
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
+                           *(T.StructField(x, T.StringType()) for x in names[2:])])
+    return docs.select(id_col, text_col).mapInArrow(run, schema)

@@ -79,7 +79,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
-    return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last stage: number and digest of the ids of every kept text, and the digest of the bytes they decode to."""
     bound_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.digests(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
 def _own(docs: DataFrame) -> list:

@@ -49,6 +49,15 @@ def test_odd_rows(spark, library):
     assert bpe.digests(bpe.encode(docs.limit(0), PATH, P.PATTERN), PATH).count() == 0
 
 
+def test_one_worker_gives_the_same_digests(spark):
+    docs = odd_documents(spark, [*ODD, (11, "wort 12 " * 40000)])
+    apart = bpe.digests(bpe.encode(docs, PATH, P.PATTERN), PATH)
+    whole = bpe.round_trip(docs, PATH, P.PATTERN)
+    assert whole.columns == apart.columns
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, apart.collect()), key=str)
+    assert bpe.round_trip(docs.limit(0), PATH, P.PATTERN).count() == 0
+
+
 def test_unknown_ids_are_errors(spark):
     with pytest.raises(Exception, match="doesn't have"):
         bpe.decode(spark.createDataFrame([(1, [10**6])], "doc_id long, ids array<int>"), PATH, ["doc_id"]).collect()
