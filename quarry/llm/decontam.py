@@ -36,7 +36,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from quarry.llm.blocks import ALNUM, coded, gathered, ranges, scratch, text_column, words_of
 
 SEGMENT_BYTES = 4 << 20   # text per index segment
-QUERY_BYTES = 16 << 20    # test text per pass over the index
+QUERY_BYTES = 4 << 20     # test text per pass over the index: some 50 MB of windows, sent to every executor
+ROW_GROUP = 8 << 20       # of the index files: their writer holds one
 INDEX = "segment string, docs binary, first binary, words binary, terms array<string>, ends binary, positions binary"
 
 
@@ -69,26 +70,35 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 class Windows:
-    """The distinct windows of a block of test texts and the items that hold each."""
+    """The distinct windows of a block of test texts, as rows of term codes, and the items that hold each."""
 
     def __init__(self, items: list, texts: pa.Array, width: int):
         flat, off = words_of(texts, ALNUM)
         codes, self.terms = coded(flat)
-        self.width, seen = width, {}
-        for item, a, b in zip(items, off[:-1].tolist(), off[1:].tolist()):
-            own = codes[a:b].tolist()
-            for at in range(max(1, len(own) - width + 1) if own else 0):
-                seen.setdefault(tuple(own[at:at + width]), set()).add(item)
-        self.items = [sorted((x for x in s if x is not None), key=str) for s in seen.values()]
-        self.length = np.fromiter(map(len, seen), np.int64, len(seen))
-        self.term = np.full((len(seen), width), -1, np.int64)
-        for i, w in enumerate(seen):
-            self.term[i, :len(w)] = w
+        self.width, count = width, np.diff(off)
+        each = np.where(count > 0, np.maximum(count - width + 1, 1), 0)  # windows of an item
+        item = np.repeat(np.arange(len(count), dtype=np.int32), each)
+        start = ranges(off[:-1], each)
+        length = np.minimum(count, width)[item]
+        term = np.full((len(item), width), -1, np.int32)
+        for k in range(width):
+            has = k < length
+            term[has, k] = codes[start[has] + k]
+        self.term, which = np.unique(term, axis=0, return_inverse=True) if len(item) else (term, np.empty(0, np.int64))
+        self.length = (self.term >= 0).sum(1)
+        named = np.array([x is not None for x in items], bool)[item]
+        held = np.unique(np.stack([which.reshape(-1)[named], item[named]]), axis=1)
+        self.listed = items
+        self.item, self.item_ends = held[1].astype(np.int32), np.cumsum(np.bincount(held[0], minlength=len(self.term)))
 
     def rank(self, frequency: np.ndarray) -> None:
         """Put each window's offsets in the order of their terms' corpus frequency, rarest first."""
-        f = np.where(self.term >= 0, frequency[self.term], np.iinfo(np.int64).max)
-        self.order = np.argsort(f, axis=1, kind="stable")
+        f = np.where(self.term >= 0, np.append(frequency, 0)[self.term], np.iinfo(np.int64).max)
+        self.order = np.argsort(f, axis=1, kind="stable").astype(np.int16)
+
+
+def items_of(w: Windows, window: int) -> list:
+    return [w.listed[i] for i in w.item[w.item_ends[window - 1] if window else 0:w.item_ends[window]]]
 
 
 def _postings(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -170,6 +180,7 @@ def term_frequency(index: DataFrame, terms: list[str]) -> np.ndarray:
     out = np.zeros(len(terms), np.int64)
     for r in index.select("terms", "ends").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
         out[r.i] = r.n
+    wanted.destroy()
     return out
 
 
@@ -217,7 +228,7 @@ def _pass(index: DataFrame, w: Windows, item_type: T.DataType, slop: int | None)
                         own[-1][1] = max(own[-1][1], z)
                     else:
                         own.append([a, z])
-                    items[d].update(w.items[window[k]])
+                    items[d].update(items_of(w, window[k]))
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([row["segment"]] * len(ids)), pa.array(np.arange(len(ids))), pa.array(words), pa.array(spans, pa.list_(pa.list_(pa.int64()))),
                     pa.array([list(x) for x in items], pa.list_(to_arrow_type(item_type)))], names=["doc_id", "segment", "row", "n_words", "spans", "items"])
@@ -267,5 +278,5 @@ def written_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The index, stored as Parquet in the shared folder and read back."""
     spark = docs.sparkSession
     path = scratch(spark, "positional-index")
-    build_index(docs, id_col, text_col).write.parquet(path)
+    build_index(docs, id_col, text_col).write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.parquet(path)
