@@ -34,20 +34,30 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of near-duplicates (five words, similarity of 0.8 or more)."""
+    """Keep one row of each group of near-duplicates (five words, similarity of 0.8 or more): the one with the smallest doc_id.
+
+    Each row is judged by its own text, whatever its doc_id; a null doc_id comes
+    after all others. Of rows with the same doc_id and text one stays.
+    """
     bound_batches(spark)
-    gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*_own(docs))
+    row = _free(docs, "row")
+    named = docs.select("*", F.xxhash64("doc_id", "text").alias(row))
+    found = minhash.near_duplicates(named.select(row, "text"), id_col=row).select(F.col("doc_id").alias(row), "component_id").distinct()
+    ids = named.select(row, "doc_id").distinct()
+    kept = (found.join(ids, row).groupBy("component_id")
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col(row).alias("row"))).alias("least"))
+            .select(F.col("least.row").alias(row)))
+    return named.dropDuplicates([row]).join(kept.hint("merge"), row, "left_semi").select(*_own(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window of a benchmark item. Each row is judged by its own text, whatever its doc_id."""
     bound_batches(spark)
-    digest = F.unhex(F.md5("text"))
+    digest, gone = F.unhex(F.md5("text")), _free(docs, "found")
     index = decontam.written_index(docs.select(digest.alias("digest"), "text"), "digest")
     found = decontam.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where("n_hit > 0").select(F.col("doc_id").alias("found digest")).distinct()
-    return docs.join(gone, digest == F.col("found digest"), "left_anti").select(*_own(docs))
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(hit, digest == F.col(gone), "left_anti").select(*_own(docs))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +67,12 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    return name
+
+
 def _own(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]

@@ -9,3 +9,14 @@ def test_decontamination_judges_each_row_by_its_own_text(spark, sf):
     kept = stages.decontamination(spark, docs, sf)
     assert kept.columns == docs.columns
     assert sorted(r.digest for r in kept.collect()) == ["b", "d", "g", "h", "i"]
+
+
+def test_near_duplicates_judges_each_row_by_its_own_text(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a, "1a"), (5, a, "5a"), (5, b, "5b"), (None, b, "nb"), (7, c, "7c"), (7, c, "7c"), (None, c + " x", "nc"), (None, "only this", "n1"), (None, "only this", "n1"),
+            (8, "", "8"), (9, "", "9"), (9, None, "9n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string").withColumnRenamed("row", "Row")
+    kept = stages.near_duplicates(spark, docs, sf)
+    assert kept.columns == docs.columns
+    assert sorted(r.Row for r in kept.collect()) == sorted(["1a", "5b", "7c", "n1", "8", "9", "9n"])
+    assert stages.near_duplicates(spark, docs.limit(0), sf).count() == 0
