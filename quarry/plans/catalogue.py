@@ -17,7 +17,7 @@ from quarry.functions import html as H
 from quarry.functions import meta
 from quarry.functions.text import append_metadata, trim_text
 from quarry.operators import content, merge, outcomes, routing, state
-from quarry.operators.extract import by_mime, html_extractor, text_extractor
+from quarry.operators.extract import RetryingExtractor, by_mime, html_extractor, text_extractor
 from quarry.operators.profiles import DEFAULTS, ProfileConfig, default_config, match_profile, resolve_long, resolve_profiles, choose_label
 from quarry.operators.properties import RuleSet, map_properties, processed, register_formatter, register_processor
 from quarry.operators.responses import parse_responses
@@ -262,6 +262,20 @@ def q_refresh(spark, sf):
     return store.state().select("store", "sha1", _ts_text(F.col("success_ts")).alias("success_ts"))
 
 
+def q_extract_retries(spark, sf):
+    """A3, D1, E5 in the engine: every distinct content asked for in rounds, until a final answer or the last attempt."""
+    d = table(spark, sf, "documents").where("text is not null")
+    requests = d.groupBy(F.sha1("text").alias("sha1")).agg(F.min("text").alias("content")).select(
+        "sha1", F.lit("full").alias("request_kind"), "content", F.lit("text/plain").alias("mime"), F.lit(False).alias("ocr"), F.lit("").alias("ocr_languages"),
+        F.lit(FIXED_NOW).cast("timestamp").alias("ts"))
+    extractor = RetryingExtractor(fixtures.answers_by_digit(), delay_seconds=0)
+    found = extractor(requests)
+    asked = extractor.log().groupBy("sha1").agg(F.count("*").alias("attempts"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("attempt", "class"))),
+                                                                                                         lambda a: a["class"]), " ").alias("classes"))  # three attempts at most
+    return found.join(asked, "sha1").select("sha1", "outcome", "attempts", "classes", F.size("properties").alias("n_properties"), F.sha1("text").alias("text_sha1"), "message",
+                                            _ts_text(F.col("ts")).alias("ts"))
+
+
 def q_extract_pages(spark, sf):
     """Pages as files without a native handler; the extractor is chosen by MIME type."""
     files = table(spark, sf, "pages").select(

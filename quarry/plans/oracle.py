@@ -573,6 +573,20 @@ WHERE r.has_nm AND n.name <> '""" + STASH_TAG + "'"
   CASE WHEN {cs} <> '' THEN lower({cs}) END AS charset,
   length({body}) AS text_chars, sha1({body}) AS text_sha1
 FROM pages"""
+    # by the first digit of the hash: attempts and their classes
+    plan = {"6": "transient success", "7": "transient success", "8": "transient transient success", "9": "transient empty", "a": "transient parser_failure",
+            "b": "parser_failure", "c": "transient transient parser_failure", "d": "transient transient transient", "e": "transient success"}
+    cases = " ".join(f"WHEN '{d}' THEN '{c}'" for d, c in plan.items())
+    q["q_extract_retries"] = f"""WITH one AS (SELECT DISTINCT sha1(text) AS sha1, substr(sha1(text), 1, 1) AS d, text FROM documents WHERE text IS NOT NULL),
+r AS (SELECT *, CASE d {cases} ELSE 'success' END AS classes FROM one),
+n AS (SELECT *, len(string_split(classes, ' ')) AS attempts, string_split(classes, ' ')[-1] AS last FROM r)
+SELECT sha1, attempts, classes,
+  CASE WHEN last = 'transient' THEN 'service_failure' WHEN last = 'parser_failure' OR d = 'f' THEN 'parser_failure' ELSE 'success' END AS outcome,
+  CASE WHEN last = 'empty' THEN 0 WHEN last = 'success' AND d <> 'f' THEN 2 END AS n_properties,
+  CASE WHEN last = 'empty' THEN sha1('') WHEN last = 'success' THEN sha1(CASE WHEN d = 'f' THEN '' ELSE trim(text, {TRIM}) END) END AS text_sha1,
+  CASE WHEN last = 'transient' THEN 'retries exhausted' WHEN last = 'parser_failure' THEN 'unprocessable' WHEN d = 'f' THEN 'malformed response' END AS message,
+  strftime(TIMESTAMP '2024-06-01' + INTERVAL (attempts) HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ts
+FROM n"""
     q["q_extract_pages"] = f"SELECT page_id, sha1({body}) AS text_sha1, CASE WHEN {title} <> '' THEN {ws(dec(title))} END AS title FROM pages"
     return q
 

@@ -153,8 +153,10 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
              .select("sha1", F.when(F.col("b.kind") == -2, "full").otherwise("metadata").alias("request_kind"),
                      F.col("b.best.rep").alias("rep"), F.col("b.best.mime").alias("mime"),
                      ((F.col("b.kind") == -2) & ~F.col("b.best.no_ocr")).alias("ocr"), F.col("b.best.langs").alias("ocr_languages"))
-             .join(content, "rep"))
-        return s.extractor(t.withColumn("ts", now))
+             .withColumn("ts", now))
+        fetch = lambda some: some.join(content, "rep")
+        in_rounds = getattr(s.extractor, "in_rounds", None)  # contents are fetched by each round for its own requests
+        return in_rounds(t, fetch) if in_rounds else s.extractor(fetch(t))
 
     asked = F.col("action").startswith("extract")
     e = _apply(e, extract(e.where(asked), F.col("action") == "extract_full"), asked)

@@ -134,3 +134,37 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     answers = F.array(F.struct(F.col("doc_id").alias("response_id"), body.alias("body")),
                       F.when(F.col("n_chars") < 100, F.struct((-F.col("doc_id") - 1).alias("response_id"), F.lit("{bad").alias("body"))))
     return d.select(F.explode(F.array_compact(answers)).alias("a")).select("a.*")
+
+
+def answers_by_digit():
+    """A plug-in extractor (one attempt a call) whose answers depend on the first digit of the hash and the attempt.
+
+    0-5 answer at once, 6 and 7 at the second attempt, 8 at the third, 9 is empty at
+    the second, a can't be processed at the second, b runs out of time, c at the third,
+    d is never answered, e is lost once, f answers with a body that isn't JSON.
+    """
+    never = (500, None)
+    plan = {"6": [(503, None), (200, None)], "7": [(500, None), (200, None)], "8": [(None, 7), (500, None), (200, None)], "9": [(503, None), (204, None)],
+            "a": [(500, None), (422, None)], "b": [(None, 28)], "c": [(503, None), (None, 56), (None, 52)], "d": [never] * 99, "e": [None, (200, None)]}
+
+    def ask(frames):
+        import json
+
+        import pandas as pd
+
+        for requests in frames:
+            rows = []
+            for r in requests.itertuples(index=False):
+                digit = r.sha1[0]
+                answer = plan.get(digit, [(200, None)])[r.attempt - 1]  # asking on after a final answer would be an error here
+                if answer is None:
+                    continue
+                told = {"meta:asked": r.attempt, "dc:language": "x"}
+                if r.request_kind == "full":
+                    told["X-TIKA:content"] = r.content
+                body = ("{" if digit == "f" else json.dumps(told)) if answer[0] == 200 else None
+                rows.append((r.sha1, r.request_kind, *answer, body, pd.Timestamp("2024-06-01") + pd.Timedelta(hours=r.attempt)))
+            out = pd.DataFrame(rows, columns=["sha1", "request_kind", "http_status", "transport_errno", "response_json", "ts"])
+            yield out.astype({"http_status": "Int32", "transport_errno": "Int32"})
+
+    return ask
