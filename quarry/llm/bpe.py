@@ -228,16 +228,19 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, decoder = Replay(ranks.value, pattern), Decoder(ranks.value)
-        words = pa.array(map(str, range(replay.width)), pa.string())
+        digits = Decoder({f"{i} ".encode(): i for i in range(replay.width)})
         for b in slices(batches, text_col, ENCODE_BYTES):
             ids, n = replay.encode(text_column(b, text_col).to_pylist())
-            ends, told = np.concatenate([[0], np.cumsum(n)]), []
+            told, at, one = [], 0, np.ones(1, np.int64)
             decoded = decoder.decode(ids, n)
-            for i, (a, z) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+            for text, k in zip(decoded, n.tolist()):
                 own = hashlib.sha256()
-                for at in range(a, z, HASHED):  # a long text has long digits: portions of them at a time
-                    own.update((" " if at > a else "").encode() + " ".join(words.take(pa.array(ids[at:min(at + HASHED, z)])).to_pylist()).encode())
-                told.append((own.hexdigest(), hashlib.sha256(decoded[i].as_buffer()).hexdigest()))
+                for a in range(at, at + k, HASHED):  # a long text has long digits: portions of them at a time
+                    part = ids[a:min(a + HASHED, at + k)]
+                    written = memoryview(digits.decode(part, one * len(part))[0].as_buffer())
+                    own.update(written if a + len(part) < at + k else written[:-1])
+                at += k
+                told.append((own.hexdigest(), hashlib.sha256(text.as_buffer()).hexdigest()))
             yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in zip(*told))], names=names)
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),

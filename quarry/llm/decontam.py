@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from quarry.llm.blocks import ALNUM, coded, gathered, ranges, scratch, text_column, words_of
 
-SEGMENT_BYTES = 4 << 20   # text per index segment
+SEGMENT_BYTES = 2 << 20   # text per index segment
 QUERY_BYTES = 4 << 20     # test text per pass over the index: some 50 MB of windows, sent to every executor
 ROW_GROUP = 8 << 20       # of the index files: their writer holds one
 INDEX = "segment string, docs binary, first binary, words binary, terms array<string>, ends binary, positions binary"

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from quarry.llm.blocks import buffers_of, slices, text_column
 
+MAX_LANGUAGES = 10_000  # their counts pass through the driver
 SAMPLE = 3000      # rows, over all languages, on which centroids are fitted
 DIMS = 4096        # hashed n-grams
 CENTROIDS = 4      # per language
@@ -137,12 +138,14 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
             seen[r.lang] = r.n
         else:
             df[r.i] = r.n
+    if len(seen) > MAX_LANGUAGES:
+        raise ValueError(f"{len(seen)} languages: more than {MAX_LANGUAGES} are taken for a column of something else")
     total = sum(seen.values())
     idf = (np.log((1 + total) / (1 + df)) + 0.1).astype(np.float32)
     if not seen:
         return Model([], np.zeros((0, DIMS), np.float32), idf, np.zeros(0))
     each = max(1, sample // len(seen))
-    share = spark.createDataFrame([(x, min(1.0, each / n)) for x, n in seen.items()], "lang string, share double")
+    share = spark.createDataFrame(pa.table({"lang": pa.array(seen, pa.string()), "share": pa.array([min(1.0, each / n) for n in seen.values()], pa.float64())}))
     chosen = rows.join(F.broadcast(share), "lang").where(F.col("dice") < F.col("share") * (1 << 40)).select("lang", "text")  # one row a language
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -95,8 +95,8 @@ def running(rows: DataFrame, key: str, order: list[Column], ranges: list[Column]
             if r["first"] == r["last"][key]:
                 last = [int(combine(np.int64(a), np.int64(b))) for a, b in zip(held[1], last)]
         held = (r["last"][key], last)
-    names = [f"{v} carried" for v in values]
-    carry = spark.createDataFrame(carried, T.StructType([T.StructField(n, T.LongType()) for n in ("part", key, *names)]))  # one row a task at most
+    names = ["part", key, *(f"{v} carried" for v in values)]
+    carry = spark.createDataFrame(pa.table({n: pa.array([c[i] for c in carried], pa.int64()) for i, n in enumerate(names)}))  # one row a task at most
     joined = table.join(F.broadcast(carry), ["part", key], "left")
     added = {v: (lambda a, b: a.bitwiseXOR(b) if how == "xor" else a + b)(F.col(v), F.coalesce(F.col(f"`{v} carried`"), F.lit(0))) for v in values}
     return joined.select(*(added[c].alias(c) if c in added else F.col(c) for c in own))
