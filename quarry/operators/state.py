@@ -63,13 +63,23 @@ def action(m_state: Column, c_state: Column, request: Column) -> Column:
             .otherwise("extract_full"))
 
 
-def violations(df: DataFrame) -> DataFrame:
-    """F8: rows that break an invariant, one row per broken rule."""
-    v = F.array_compact(F.array(
+def _broken() -> Column:
+    """The invariants that a row breaks."""
+    return F.array_compact(F.array(
         F.when((F.col("c_state") == "good") & (F.col("m_state") != "good"), F.lit("contents_good_metadata_not_good")),
         F.when((F.col("m_state") == "good") & F.col("success_ts").isNull(), F.lit("metadata_good_without_stamp")),
         F.when((F.col("m_state") != "good") & F.col("success_ts").isNotNull(), F.lit("stamp_without_metadata_good"))))
-    return df.select("sha1", F.explode(v).alias("violation"))
+
+
+def violations(df: DataFrame) -> DataFrame:
+    """F8: rows that break an invariant, one row per broken rule."""
+    return df.select("sha1", F.explode(_broken()).alias("violation"))
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """F8, strict: the same rows; the first one that breaks an invariant ends the job."""
+    told = F.concat(F.lit("entry "), F.col("sha1"), F.lit(": "), F.array_join(_broken(), ", "))
+    return df.withColumn("m_state", F.when(F.size(_broken()) > 0, F.raise_error(told)).otherwise(F.col("m_state")))
 
 
 def resolve_layers(near: DataFrame, deep: DataFrame, m_payload=(), c_payload=()) -> DataFrame:

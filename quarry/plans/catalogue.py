@@ -24,6 +24,7 @@ from quarry.operators.responses import parse_responses
 from quarry.plans import fixture_profiles, pipeline
 from quarry.session import work_dir
 from quarry.sources import fixtures
+from quarry.sources.files import PathIndex, fetcher, listing
 from quarry.sources.store import ResultStore
 from quarry.sources.tables import table
 
@@ -88,6 +89,38 @@ def q_path_index(spark, sf):
     return r.select(F.col("file_id").alias("doc_id"), "sha1", "sha1_source")
 
 
+def _named_texts(spark, sf):
+    name = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return table(spark, sf, "documents").select("doc_id", "lang", name.alias("name"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def q_path_index_loads(spark, sf):
+    """Two loads of a folder of files. English and French files come first; then the others come, and the
+    French ones have changed. The second load reads and hashes what is new or changed; the rest it knows."""
+    base = work_dir(spark, f"files-{uuid.uuid4().hex[:12]}")
+    texts, first = _named_texts(spark, sf), F.coalesce(F.col("lang").isin("en", "fr"), F.lit(False))
+    index, folder = PathIndex(spark, base + "/index"), base + "/files"
+    fixtures.as_files(texts.where(first), folder)
+    index.resolve(listing(spark, folder))
+    fixtures.as_files(texts.where(~first), folder)
+    fixtures.as_files(texts.where("lang = 'fr'").withColumn("text", F.concat("text", F.lit(" changed"))), folder)
+    return index.resolve(listing(spark, folder)).select(_doc_of_path().alias("doc_id"), "sha1", "sha1_source")
+
+
+def _doc_of_path():
+    return F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("bigint")
+
+
+def q_files_search_content(spark, sf):
+    """Search text of a folder of files that are hashed in ranges; contents are read once per distinct hash."""
+    base = work_dir(spark, f"files-{uuid.uuid4().hex[:12]}")
+    fixtures.as_files(_named_texts(spark, sf), base + "/files")
+    files = PathIndex(spark, base + "/index").resolve(listing(spark, base + "/files"))
+    s = pipeline.Settings(config=default_config(), now=FIXED_NOW)
+    g = pipeline.generate(spark, files, s, fetch=fetcher(files))
+    return g.join(files.select("file_id", "path"), "file_id").select(_doc_of_path().alias("doc_id"), "sha1", "route", "content")
+
+
 # ---- profiles and routing ---------------------------------------------------
 
 def q_match_profile(spark, sf):
@@ -449,7 +482,10 @@ def q_search_content(spark, sf):
 def q_generate_metadata(spark, sf):
     """M3 + M4: native metadata entries (stash removed) next to the
     extracted properties stashed for each file."""
-    g = _generated(spark, sf)
+    return _metadata_rows(_generated(spark, sf))
+
+
+def _metadata_rows(g):
     ext = g.select("file_id", F.lit("extracted").alias("source"), F.explode("extracted_properties").alias("p")) \
         .select("file_id", "source", F.col("p.pos").alias("pos"), F.col("p.name").alias("name"),
                 F.array_join("p.values", " ").alias("value"))
@@ -480,19 +516,41 @@ def q_html_extract(spark, sf):
 
 
 def q_ingest_stream(spark, sf):
+    """The documents come in three batches; copies of a content come in different ones."""
     from quarry.streaming.ingest import ingest_documents_stream
-    return ingest_documents_stream(spark, sf, _cfg(), now=FIXED_NOW)
+    folder = fixtures.arriving(table(spark, sf, "documents"), "doc_id", work_dir(spark, f"arriving-{uuid.uuid4().hex[:12]}"), 3)
+    return ingest_documents_stream(spark, sf, _cfg(), now=FIXED_NOW, source=folder)
 
 
 def q_outcome_stream(spark, sf):
-    """The events table read as a file stream, folded batch by batch
-    into bounded state; the final state equals q_fold_outcomes."""
-    from quarry.streaming.ingest import fold_outcome_stream, latest_state
+    """The events arrive in six batches, out of order and some of them twice, and are folded batch by batch
+    into sharded state; the final state equals q_fold_outcomes."""
+    from quarry.streaming.ingest import fold_outcome_stream
     base = work_dir(spark, f"outcomes-{uuid.uuid4().hex[:12]}")
-    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/events.parque[t]")
-    fold_outcome_stream(spark, fixtures.outcomes_from(stream), base + "/state", base + "/checkpoint")
-    return _state_out(outcomes.fold_outcomes(spark.read.parquet(latest_state(spark, base + "/state"))))
+    events = table(spark, sf, "events")
+    folder = fixtures.arriving(events, "event_id", base + "/arriving", 6, again=F.col("event_type").isin("error", "view"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema) + ", arrival int"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return _state_out(fold_outcome_stream(spark, fixtures.outcomes_from(stream), base + "/state", base + "/checkpoint", most=2).entries())
+
+
+def _warm(spark, sf):
+    """A second run over all files whose extractor finds no service: whatever it returns comes from the stores."""
+    def nothing(requests):
+        return text_extractor(requests).withColumns({"outcome": F.lit("service_failure"), "text": F.lit(None).cast("string")})
+    store, f = _new_store(spark, "warm"), fixtures.files(spark, sf)
+    pipeline.generate(spark, f, pipeline.Settings(config=_cfg(), store=store, now=FIXED_NOW))
+    return pipeline.generate(spark, f, pipeline.Settings(config=_cfg(), store=store, now=FIXED_NOW, extractor=nothing))
+
+
+def q_warm_store(spark, sf):
+    """Search text of all files, answered from the stores."""
+    return _warm(spark, sf).select(F.col("file_id").alias("doc_id"), "sha1", "route", "content")
+
+
+def q_warm_metadata(spark, sf):
+    """Metadata of all files, answered from the stores."""
+    return _metadata_rows(_warm(spark, sf))
 
 
 QUERIES = {name: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)}

@@ -587,6 +587,11 @@ SELECT sha1, attempts, classes,
   CASE WHEN last = 'transient' THEN 'retries exhausted' WHEN last = 'parser_failure' THEN 'unprocessable' WHEN d = 'f' THEN 'malformed response' END AS message,
   strftime(TIMESTAMP '2024-06-01' + INTERVAL (attempts) HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ts
 FROM n"""
+    q["q_path_index_loads"] = """SELECT doc_id, sha1(coalesce(text, '') || CASE WHEN lang = 'fr' THEN ' changed' ELSE '' END) AS sha1,
+  CASE WHEN lang = 'en' THEN 'index' ELSE 'computed' END AS sha1_source FROM documents"""
+    q["q_files_search_content"] = f"""SELECT doc_id, sha1(coalesce(text, '')) AS sha1, 'solo' AS route, trim(coalesce(text, ''), {TRIM}) AS content FROM documents"""
+    q["q_warm_store"] = q["q_search_content"]
+    q["q_warm_metadata"] = q["q_generate_metadata"]
     q["q_extract_pages"] = f"SELECT page_id, sha1({body}) AS text_sha1, CASE WHEN {title} <> '' THEN {ws(dec(title))} END AS title FROM pages"
     return q
 

@@ -60,7 +60,7 @@ def prepare_files(spark: SparkSession, files: DataFrame, s: Settings) -> DataFra
     if s.store_for_all is not None:
         f = f.withColumn("store", F.when(F.col("profile_ok"), F.lit(s.store_for_all)))
     f = f.withColumn("request_rank", routing.strongest_request(F.col("content_request"), F.col("metadata_request")))
-    return with_content_key(f)
+    return f if "sha1" in f.columns else with_content_key(f)
 
 
 def _apply(entries: DataFrame, outcomes: DataFrame, asked: Column) -> DataFrame:
@@ -109,12 +109,12 @@ def error_class(m_state: Column, c_state: Column, request: Column):
 
 
 def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
-                     contents: DataFrame | None = None) -> DataFrame:
+                     contents: DataFrame | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """E2 + E3 over all requests of a batch; returns one entry per (store, sha1)
     with the request it served and its answer (E4).
 
-    ``prepared`` holds the per-file keys; ``contents`` ``(file_id, content)``
-    is read only for the representative file of each hash to extract: the
+    ``prepared`` holds the per-file keys; ``contents`` ``(file_id, content)``, or
+    a function that adds ``content`` to requests by their ``rep``, is read only for the representative file of each hash to extract: the
     smallest id among those with the strongest request, OCR first."""
     now = F.lit(s.now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
     meta_only = (F.col("metadata_request") == "metadata") | (F.col("content_request") == "metadata")
@@ -144,7 +144,11 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
     e = state.expire(e, F.col("success_before"), F.col("failure_before"))
     e = e.withColumn("action", state.action(F.col("m_state"), F.col("c_state"), F.col("request"))) \
          .withColumn("m_new", F.lit(False)).withColumn("c_new", F.lit(False))
-    content = (contents if contents is not None else prepared).select(F.col("file_id").alias("rep"), "content")
+    if callable(contents):
+        fetch = contents
+    else:
+        content = (contents if contents is not None else prepared).select(F.col("file_id").alias("rep"), "content")
+        fetch = lambda some: some.join(content, "rep")
 
     def extract(todo: DataFrame, full: Column) -> DataFrame:
         """Ask once per hash; ``todo`` has (sha1, best, action)."""
@@ -154,7 +158,6 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
                      F.col("b.best.rep").alias("rep"), F.col("b.best.mime").alias("mime"),
                      ((F.col("b.kind") == -2) & ~F.col("b.best.no_ocr")).alias("ocr"), F.col("b.best.langs").alias("ocr_languages"))
              .withColumn("ts", now))
-        fetch = lambda some: some.join(content, "rep")
         in_rounds = getattr(s.extractor, "in_rounds", None)  # contents are fetched by each round for its own requests
         return in_rounds(t, fetch) if in_rounds else s.extractor(fetch(t))
 
@@ -183,7 +186,7 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
         if e.where(changed).limit(1).count() > 0:
             ch = _with_payload(e.where(changed), s.store, "properties", old_m, shards)
             ch = _with_payload(ch, s.store, "text", old_c, shards)
-            s.store.commit(ch.withColumn("schema_version", F.lit(state.SCHEMA_VERSION)))
+            s.store.commit(ch.withColumn("schema_version", F.lit(state.SCHEMA_VERSION)), strict=True)
         e = _with_payload(e, s.store, "properties", old_m, shards)
         if e.where((F.col("request") == "full") & old_c).limit(1).count() > 0:  # texts are read only if a file needs one
             e = _with_payload(e, s.store, "text", old_c & (F.col("request") == "full"), shards)
@@ -194,9 +197,12 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
                     F.when(F.col("c_state") == "good", F.col("text")).alias("text"), *told)
 
 
-def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
+def generate(spark: SparkSession, files: DataFrame, s: Settings, fetch: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """M2 + M3 per file: ``search_content`` and metadata columns.
 
+    Files come with their ``content``, or with its ``sha1`` and a function
+    ``fetch`` that reads contents when they must be extracted (:func:`quarry.sources.files.fetcher`).
+
     Output: file_id, sha1, route, content_request, metadata_request,
     content (search text), extracted_properties (M3 stash, typed),
     native_meta, display (M6 struct), and for the content and the metadata
@@ -207,7 +213,7 @@ def generate(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
     # request aggregation and the final join; bytes are read again only for the
     # representative file of each hash that must be extracted.
     p = prepare_files(spark, files, s).drop("content").checkpoint(eager=True)
-    entries = store_or_extract(spark, p, s, contents=files.select("file_id", "content"))
+    entries = store_or_extract(spark, p, s, contents=fetch or files.select("file_id", "content"))
     j = p.join(entries.withColumnRenamed("store", "e_store").withColumnRenamed("sha1", "e_sha1"),
                F.col("store").eqNullSafe(F.col("e_store")) & (F.col("sha1") == F.col("e_sha1")), "left") \
          .drop("e_store", "e_sha1", "content")

@@ -6,7 +6,7 @@ over one), so its size grows with the table it reads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.functions import meta
 from quarry.sources.tables import table
@@ -77,6 +77,25 @@ def file_properties(files_df: DataFrame) -> DataFrame:
     return files_df.withColumn("properties", props)
 
 
+def as_files(texts: DataFrame, folder: str) -> None:
+    """Write every row of ``(name, text)`` as a file ``<folder>/<name>``, overwriting one that is there."""
+    def run(frames):
+        import os
+
+        import pandas as pd
+        from pyarrow import fs
+
+        where, top = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        for f in frames:
+            for name, text in zip(f["name"], f["text"]):
+                where.create_dir(os.path.dirname(f"{top}/{name}"), recursive=True)
+                with where.open_output_stream(f"{top}/{name}") as out:
+                    out.write((text or "").encode())
+            yield pd.DataFrame({"n": [len(f)]})
+
+    texts.select("name", "text").mapInPandas(run, "n long").agg(F.sum("n")).collect()
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request attempt log from ``lineitem``: HTTP status or transport errno."""
     li = table(spark, sf_dir, "lineitem")
@@ -109,6 +128,17 @@ def outcomes_from(ev: DataFrame) -> DataFrame:
          .otherwise("service_failure").alias("outcome"))
 
 
+def arriving(df: DataFrame, by: str, folder: str, batches: int, again: Column | None = None) -> str:
+    """Write all rows as ``batches`` files, one to arrive after the other, dealt by a hash of ``by``: so late rows come in
+    every batch. Rows where ``again`` holds are delivered a second time, with the next batch. Returns the folder."""
+    at = F.pmod(F.xxhash64(by), F.lit(batches)).cast("int")
+    rows = df.withColumn("arrival", at)
+    if again is not None:
+        rows = rows.unionByName(df.where(again).withColumn("arrival", (at + 1) % batches))
+    rows.repartition(batches, "arrival").write.partitionBy("arrival").parquet(folder)
+    return folder
+
+
 def store_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashes already in the store: an earlier ingest of English documents."""
     d = table(spark, sf_dir, "documents")

@@ -1,17 +1,16 @@
 """Result store (S3 S4 S5 S9): typed Parquet, written as deltas.
 
-Layout: ``<root>/v=<n>/shard=<xx>/part-*.parquet``. A commit writes the changed
-entries only, as the next version; a version counts once its ``_COMMITTED``
-marker is there, so a plan never overwrites what it reads and a lost executor
-only re-runs tasks of the version being written. For a key, the entry of the
-latest version holds. When ``compact_after`` deltas have gathered, they are
-merged into a new base (marked ``_BASE``), and versions before the previous base
-are removed; running readers of that base go on.
+The entries lie in :class:`quarry.sources.runs.Runs`, sharded by the first two
+characters of the hash: a commit writes the changed entries only, and runs are
+merged shard by shard when too many have gathered. For a key, the entry of the
+latest version holds.
 
 :meth:`ResultStore.states` reads keys and state columns alone, and only the
-shards asked for; payload columns are read by :meth:`ResultStore.payload`.
+shards asked for; payload columns are read by :meth:`ResultStore.payload`. A
+shard with one run is read as it is. A merge finds the replaced entries by keys
+and versions alone, and then rewrites the others without sorting or grouping
+their texts.
 
-There is one writer at a time: a second one that picks the same version fails.
 On a cluster with a transactional table format the same upsert is a
 ``MERGE INTO ... ON (store, sha1)``.
 """
@@ -23,6 +22,8 @@ from pyspark.sql import types as T
 
 from quarry.functions import meta
 from quarry.functions.keys import shard
+from quarry.operators.state import checked
+from quarry.sources.runs import Runs
 
 STORE_SCHEMA = T.StructType([
     T.StructField("store", T.StringType()),
@@ -47,93 +48,74 @@ STATE = [c for c in ENTRY_COLS if c not in (*KEY, *PAYLOAD)]
 
 
 class ResultStore:
-    def __init__(self, spark: SparkSession, root: str, compact_after: int = 8):
+    """``compact_after``: merge the whole store when more versions than that count; None: only shards that are due."""
+
+    def __init__(self, spark: SparkSession, root: str, compact_after: int | None = None, most: int = 4, ratio: float = 2.0):
         self.spark = spark
         self.root = root.rstrip("/")
         self.compact_after = compact_after
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _folders(self) -> dict[int, set]:
-        """Version to its markers; every version folder, committed or not."""
-        p = self._Path(self.root)
-        if not self._fs.exists(p):
-            return {}
-        out = {}
-        for st in self._fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v="):
-                out[int(name[2:])] = {m for m in ("_COMMITTED", "_BASE") if self._fs.exists(self._Path(st.getPath(), m))}
-        return out
+        self.runs = Runs(spark, root, STORE_SCHEMA, shard(F.col("sha1")), most, ratio)
+
+    def _folders(self) -> dict:
+        """Version to its marker; every version folder, committed or not."""
+        return self.runs.folders()
 
     def _live(self) -> list[int]:
-        """Committed versions from the last base on."""
-        done = sorted((v, m) for v, m in self._folders().items() if "_COMMITTED" in m)
-        base = max((v for v, m in done if "_BASE" in m), default=0)
-        return [v for v, _ in done if v >= base]
+        """Versions of which a shard counts."""
+        return sorted({v for versions in self.runs.live().values() for v in versions})
 
     def version(self) -> int:
         return max(self._live(), default=0)
 
-    def _read(self, columns: list, shards: list | None = None) -> DataFrame:
-        """The given columns and ``v`` of all live versions; with ``shards``, those partitions only."""
-        fields = [f for f in STORE_SCHEMA.fields if f.name in columns]
-        extra = [T.StructField("v", T.IntegerType()), T.StructField("shard", T.StringType())]
-        live = self._live()
-        if not live:
-            return self.spark.createDataFrame([], T.StructType(fields + extra[:1]))
-        df = (self.spark.read.schema(T.StructType(fields + extra)).option("basePath", self.root)
-              .parquet(*[f"{self.root}/v={v}" for v in live]))
-        if shards is not None:
-            df = df.where(F.col("shard").isin(shards))
-        return df.select(*[f.name for f in fields], "v")
-
-    def _latest(self, df: DataFrame, columns: list) -> DataFrame:
-        if len(self._live()) < 2:
-            return df
-        return (df.groupBy(*KEY).agg(F.max_by(F.struct(*columns, "v"), "v").alias("e")).select(*KEY, "e.*"))
+    def _parts(self, columns: list, shards: list | None) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of the shards with one run, and of those with several (None if there are none)."""
+        live = {s: v for s, v in self.runs.live().items() if shards is None or s in set(shards)}
+        many = {s: v for s, v in live.items() if len(v) > 1}
+        alone = self.runs.read(columns, shards, {s: v for s, v in live.items() if s not in many})
+        return alone, self.runs.read(columns, shards, many) if many else None
 
     def states(self, shards: list | None = None) -> DataFrame:
         """S3, keys and states: ``(store, sha1, <state columns>, v)`` of the current entries."""
-        return self._latest(self._read(KEY + STATE, shards), STATE)
+        alone, many = self._parts(KEY + STATE, shards)
+        alone = alone.select(*KEY, *STATE, "v")
+        if many is None:
+            return alone
+        return alone.unionByName(many.groupBy(*KEY).agg(F.max_by(F.struct(*STATE, "v"), "v").alias("e")).select(*KEY, "e.*"))
 
     def payload(self, columns: list, shards: list | None = None) -> DataFrame:
-        """``(store, sha1, v, <columns>)`` of every live version: join it with the ``v`` of :meth:`states`."""
-        return self._read(KEY + list(columns), shards)
+        """``(store, sha1, v, <columns>)`` of every run that counts: join it with the ``v`` of :meth:`states`."""
+        return self.runs.read(KEY + list(columns), shards).drop("shard")
+
+    @staticmethod
+    def _current(rows: DataFrame) -> DataFrame:
+        """Rows that no later version of their key replaces; keys and versions are compared, the rest is not shuffled unless many are replaced."""
+        last = rows.groupBy(*KEY).agg(F.max("v").alias("last"), F.count("*").alias("n")).where("n > 1").select(*[F.col(k).alias(f"l_{k}") for k in KEY], "last")
+        return rows.join(last, F.col("store").eqNullSafe(F.col("l_store")) & (F.col("sha1") == F.col("l_sha1")) & (F.col("v") < F.col("last")), "left_anti")
 
     def state(self) -> DataFrame:
         """S3: current entries with their payload (empty frame for a new store)."""
-        rest = [c for c in ENTRY_COLS if c not in KEY]
-        return self._latest(self._read(ENTRY_COLS), rest).select(*ENTRY_COLS)
-
-    def _write(self, df: DataFrame, markers: list) -> int:
-        v = max(self._folders(), default=0) + 1
-        path = f"{self.root}/v={v}"
-        if self._fs.exists(self._Path(path)):
-            raise FileExistsError(f"{path}: another writer is at work")
-        # a shard is written by one task: few and large files
-        (df.withColumn("shard", shard(F.col("sha1"))).repartition("shard")
-         .write.mode("errorifexists").partitionBy("shard").parquet(path))
-        for m in markers:
-            self._fs.create(self._Path(path, m)).close()
-        return v
-
-    def commit(self, changes: DataFrame) -> int:
+        alone, many = self._parts(ENTRY_COLS, None)
+        alone = alone.select(*ENTRY_COLS)
+        return alone if many is None else alone.unionByName(self._current(many).select(*ENTRY_COLS))
+
+    def _write(self, df: DataFrame, markers: list | None = None) -> int:
+        return self.runs.write(df, version=max(self._folders(), default=0) + 1)
+
+    def commit(self, changes: DataFrame, strict: bool = False) -> int:
         """Upsert changed entries by (store, sha1).
 
         The new record replaces the old one; contents are kept only while
-        C is good (P11: expiry and failures delete stored text).
+        C is good (P11: expiry and failures delete stored text). ``strict``:
+        an entry that breaks an invariant (F8) ends the commit; nothing of it counts then.
         """
         ch = changes.select(*ENTRY_COLS).withColumn("text", F.when(F.col("c_state") == "good", F.col("text")))
-        v = self._write(ch, ["_COMMITTED"])
-        return self.compact() if len(self._live()) > self.compact_after else v
+        v = self._write(checked(ch) if strict else ch)
+        if self.compact_after is not None:
+            return self.compact() if len(self._live()) > self.compact_after else v
+        due = self.runs.due()
+        return self.runs.merge(due, self._current) if due else v
 
     def compact(self) -> int:
-        """Merge the live versions into a new base; remove what lies before the previous base."""
-        before = min(self._live(), default=0)
-        v = self._write(self.state(), ["_BASE", "_COMMITTED"])
-        for old in self._folders():
-            if old < before:
-                self._fs.delete(self._Path(f"{self.root}/v={old}"), True)
-        return v
+        """Merge every shard into one run."""
+        live = self.runs.live()
+        return self.runs.merge(live, self._current) if live else 0

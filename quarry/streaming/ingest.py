@@ -15,12 +15,15 @@ import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
+from quarry.functions.keys import shard
 from quarry.operators.outcomes import fold_outcomes
 from quarry.operators.profiles import ProfileConfig
 from quarry.plans import pipeline
 from quarry.session import work_dir
 from quarry.sources import fixtures
+from quarry.sources.runs import Runs
 from quarry.sources.store import ResultStore
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -69,10 +72,10 @@ def refresh(spark: SparkSession, files: DataFrame, config: ProfileConfig, store:
 
 
 def decisive_events(log: DataFrame) -> DataFrame:
-    """The at most three events per hash that decide its folded state (the
-    latest M-deciding, C-deciding and success events). Folding them gives
-    the same state as folding the whole log, so they are the stream's
-    bounded state."""
+    """The at most three events per hash that decide its folded state: the latest
+    M-deciding, C-deciding and success events, or the latest event of a hash that
+    has none of them. Folding them gives the same state as folding the whole log,
+    so they are the stream's bounded state."""
     ok = F.col("outcome") == "success"
     pf = F.col("outcome") == "parser_failure"
     full = F.col("request_kind") == "full"
@@ -80,43 +83,50 @@ def decisive_events(log: DataFrame) -> DataFrame:
     ev = F.struct("ts", "event_id", "request_kind", "outcome")
     conds = [ok | (pf & ~full), full & (ok | pf), ok]
     agg = log.groupBy("sha1").agg(*[F.max_by(F.when(c, ev), F.when(c, order)).alias(f"e{i}")
-                                    for i, c in enumerate(conds)])
-    x = agg.select("sha1", F.explode(F.array("e0", "e1", "e2")).alias("e")).where(F.col("e").isNotNull())
-    return x.select("sha1", "e.ts", "e.event_id", "e.request_kind", "e.outcome").dropDuplicates(["sha1", "event_id"])
+                                    for i, c in enumerate(conds)], F.max_by(ev, order).alias("any"))
+    found = F.array_distinct(F.array_compact(F.array("e0", "e1", "e2")))
+    return agg.select("sha1", F.explode(F.when(F.size(found) > 0, found).otherwise(F.array("any"))).alias("e")).select(
+        "sha1", "e.ts", "e.event_id", "e.request_kind", "e.outcome")
 
 
-def fold_outcome_stream(spark: SparkSession, log_stream: DataFrame, state_root: str, checkpoint: str) -> None:
-    """Fold an outcome-log stream into the latest state per hash.
+LOG_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
+    ("sha1", T.StringType()), ("ts", T.TimestampType()), ("event_id", T.LongType()), ("request_kind", T.StringType()), ("outcome", T.StringType()))])
 
-    Each micro-batch is unioned with the decisive events kept so far and
-    reduced again to decisive events (bounded: three per hash), written as
-    a new version; out-of-order records resolve by event time. The version
-    before the last is kept for readers, older ones are removed. Read the
-    state with ``fold_outcomes(spark.read.parquet(latest_state(...)))``."""
-    cols = ["sha1", "ts", "event_id", "request_kind", "outcome"]
-    fs, path = _file_system(spark, state_root)
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        log = df.select(*cols)
-        before = f"{state_root}/b={batch_id - 1}"
-        if fs.exists(path(before)):  # no state is written before the first batch; any read error ends the stream
-            log = log.unionByName(spark.read.parquet(before).select(*cols))
-        elif batch_id > 0:
-            raise FileNotFoundError(f"{before}: the state of the batch before is lost")
-        decisive_events(log).write.mode("overwrite").parquet(f"{state_root}/b={batch_id}")
-        fs.delete(path(f"{state_root}/b={batch_id - 2}"), True)
+class OutcomeState:
+    """The decisive events of an outcome log, in sharded runs.
 
-    (log_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-     .trigger(availableNow=True).start().awaitTermination())
+    A batch writes the decisive events of its own hashes as a delta and reads
+    nothing of what is kept; runs of a shard are merged, and reduced again, when
+    too many have gathered. Folding the events of all runs gives the state,
+    whatever the order in which records came: late ones are resolved by event
+    time, repeated ones by event id.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, most: int = 4, ratio: float = 2.0):
+        self.runs = Runs(spark, root, LOG_SCHEMA, shard(F.col("sha1")), most, ratio)
+
+    def add(self, log: DataFrame, token: str | None = None) -> None:
+        """Commit a batch; one whose ``token`` is committed already (a batch that is played again) changes nothing."""
+        if token is not None and token in self.runs.tokens():
+            return
+        self.runs.write(decisive_events(log), token=token)
+        due = self.runs.due()
+        if due:
+            self.runs.merge(due, decisive_events)
 
+    def entries(self) -> DataFrame:
+        """The latest state per hash, as ``fold_outcomes`` gives it."""
+        return fold_outcomes(self.runs.read().drop("v", "shard"))
 
-def _file_system(spark: SparkSession, root: str):
-    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return make(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
+def fold_outcome_stream(spark: SparkSession, log_stream: DataFrame, state_root: str, checkpoint: str, **settings) -> OutcomeState:
+    """Fold an outcome-log stream into the latest state per hash, batch by batch."""
+    kept = OutcomeState(spark, state_root, **settings)
 
-def latest_state(spark: SparkSession, state_root: str) -> str:
-    """Folder of the state after the last batch."""
-    fs, path = _file_system(spark, state_root)
-    names = [st.getPath().getName() for st in fs.listStatus(path(state_root))]
-    return f"{state_root}/b={max(int(n[2:]) for n in names if n.startswith('b='))}"
+    def batch(df: DataFrame, batch_id: int) -> None:
+        kept.add(df.select(*LOG_SCHEMA.names), token=str(batch_id))
+
+    (log_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return kept

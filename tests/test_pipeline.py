@@ -167,7 +167,6 @@ def test_decisive_events_fold_equal(spark, sf):
 
 
 def test_outcome_stream(spark, sf):
-    import os
     from quarry.operators.outcomes import fold_outcomes
     from quarry.sources import fixtures
     from quarry.streaming.ingest import fold_outcome_stream
@@ -175,9 +174,7 @@ def test_outcome_stream(spark, sf):
     log = fixtures.outcomes(spark, sf)
     log.repartition(3).write.parquet(base + "/in")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
-    fold_outcome_stream(spark, stream, base + "/state", base + "/ckpt")
-    last = max(int(d[2:]) for d in os.listdir(base + "/state") if d.startswith("b="))
-    got = sorted(tuple(r) for r in fold_outcomes(spark.read.parquet(f"{base}/state/b={last}")).collect())
+    got = sorted(tuple(r) for r in fold_outcome_stream(spark, stream, base + "/state", base + "/ckpt").entries().collect())
     assert got == sorted(tuple(r) for r in fold_outcomes(log).collect())
 
 
