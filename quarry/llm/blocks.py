@@ -118,6 +118,20 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(n, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def free(columns: list, name: str) -> str:
+    """``name``, or with ``_`` behind it until no column is called so."""
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
+
+
+def unclaimed(columns: list, name: str) -> str:
+    """``name`` for a result column; an input column of that name is an error."""
+    if free(columns, name) != name:
+        raise ValueError(f"the input has a column {name}: give the result column another name")
+    return name
+
+
 def scratch(spark, name: str) -> str:
     """A new folder for a written table, below the shared folder of ``spark.checkpoint.dir``."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

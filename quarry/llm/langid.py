@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quarry.llm.blocks import buffers_of, slices, text_column
+from quarry.llm.blocks import buffers_of, slices, text_column, unclaimed
 
 MAX_LANGUAGES = 10_000  # their counts pass through the driver
 SAMPLE = 3000      # rows, over all languages, on which centroids are fitted
@@ -173,8 +173,9 @@ def fit(training: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     return Model(names, np.array(cent, np.float32).reshape(len(names), DIMS), idf, np.array(limit), total, {x: len(v) for x, v in got.items()})
 
 
-def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` (any columns) with a last struct ``langid`` (lang, score, rejected)."""
+def classify(docs: DataFrame, model: Model, text_col: str = "text", result: str = "langid") -> DataFrame:
+    """``docs`` with a last struct ``result`` (lang, score, rejected); an input column called so is an error."""
+    unclaimed(docs.columns, result)
     languages, centroids, idf, limit = model.languages, model.centroids.T.copy(), model.idf, model.limit
     told = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
@@ -201,7 +202,7 @@ def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             out += (~ok | (top < limit[near] * sure)).tolist()
         return pd.DataFrame({"lang": lang, "score": score, "rejected": out})
 
-    return docs.withColumn("langid", predict(F.col(f"`{text_col}`")))
+    return docs.withColumn(result, predict(F.col(f"`{text_col}`")))
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

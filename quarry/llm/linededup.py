@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quarry.llm.blocks import scratch, slices
+from quarry.llm.blocks import scratch, slices, unclaimed
 
 MIN_WORDS = 30   # the least words of a run, and of a deleted block
 SALT = 256       # partners of one earlier document that one group aligns
@@ -229,8 +229,12 @@ def cut_text(text: str, cuts: list) -> tuple[str, int, int]:
     return "\n".join(s for s, g in zip(lines, gone) if not g), int(gone.sum()), sum(len(s.split()) for s, g in zip(lines, gone) if g)
 
 
-def dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with the text cut, and a last struct ``line_dedup`` (n_lines, removed_lines, removed_words)."""
+def dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", result: str = "line_dedup") -> DataFrame:
+    """All rows and columns of ``docs`` with the text cut, and a last struct ``result`` (n_lines, removed_lines, removed_words).
+
+    An input column called ``result`` is an error.
+    """
+    unclaimed(docs.columns, result)
     cuts = find_cuts(docs, min_words, id_col, text_col)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("doc"),
                          F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
@@ -249,4 +253,4 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", t
     n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
     return less.select(
         *[(F.when(cuttable, F.col("done.text")).otherwise(F.col("text")) if c == text_col else F.col("row").getField(c)).alias(c) for c in docs.columns],
-        F.struct(n_lines.alias("n_lines"), F.col("done.lines").alias("removed_lines"), F.col("done.words").alias("removed_words")).alias("line_dedup"))
+        F.struct(n_lines.alias("n_lines"), F.col("done.lines").alias("removed_lines"), F.col("done.words").alias("removed_words")).alias(result))

@@ -25,9 +25,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quarry.llm.blocks import buffers_of, coded, slices, text_column, words_of
+from quarry.llm.blocks import buffers_of, coded, free, slices, text_column, unclaimed, words_of
 
 SAMPLE = 8000        # labelled rows, about, that the machine is fitted on
+SAMPLE_BYTES = 128 << 20  # of their texts: the features of a sample pass through the driver
 BUCKETS = 1 << 15    # hashed words
 RANK = 6
 EPOCHS = 12
@@ -153,12 +154,16 @@ def train(upto, idx, val, stats, y, epochs: int = EPOCHS, seed: int = 5) -> Mach
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         sample: int = SAMPLE) -> Machine | None:
     """Fit on the given documents and labels (the caller leaves out what is held out); None without labels."""
-    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
-    marked = marked.join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
-    n = marked.count()
-    share = min(1.0, sample / max(n, 1))
-    chosen = marked.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 40)) < F.lit(share * (1 << 40)))
-    rows = F.broadcast(chosen).join(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id").select("y", "text")  # about SAMPLE ids
+    marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)").distinct()
+    # equal rows say the same thing once, so neither an id nor a text with very many rows enters the sample as a whole
+    key = F.xxhash64(F.col(id_col), F.col(text_col)).alias("key")
+    places = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), key, F.octet_length(text_col).alias("size"))
+    marked = marked.join(places, "id").distinct()
+    total = marked.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    share = min(1.0, sample / max(total["n"], 1), SAMPLE_BYTES / max(total["bytes"] or 0, 1))
+    chosen = marked.where(F.pmod(F.xxhash64("key", "y", F.lit(11)), F.lit(1 << 40)) < F.lit(share * (1 << 40))).select("id", "key", "y")
+    texts = docs.select(F.col(id_col).alias("id"), key, F.col(text_col).alias("text"))
+    rows = texts.join(F.broadcast(chosen), ["id", "key"]).dropDuplicates(["id", "key", "y"]).select("y", "text")  # about SAMPLE rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", STEP):
@@ -179,14 +184,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                  np.array([np.frombuffer(r.s, np.float64) for r in got]), np.array([r.y for r in got], float))
 
 
-def score(docs: DataFrame, machine: Machine | None, keep: list, text_col: str = "text") -> DataFrame:
-    """``(*keep, score double)``: the probability of label 1 for every whole text."""
-    frame = docs.select(*keep, F.col(text_col).alias("__text"))
-    names = frame.columns[:-1]
+def score(docs: DataFrame, machine: Machine | None, keep: list, text_col: str = "text", result: str = "score") -> DataFrame:
+    """``(*keep, result double)``: the probability of label 1 for every whole text; a kept column called ``result`` is an error."""
+    names = docs.select(*keep).columns
+    unclaimed(names, result)
+    own = free(names, "text")
+    frame = docs.select(*keep, F.col(text_col).alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "__text", STEP):
-            p = probability(machine, *features(text_column(b, "__text"))) if machine else np.full(b.num_rows, 0.5)
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(p, pa.float64())], names=[*names, "score"])
+        for b in slices(batches, own, STEP):
+            p = probability(machine, *features(text_column(b, own))) if machine else np.full(b.num_rows, 0.5)
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(p, pa.float64())], names=[*names, result])
 
-    return frame.mapInArrow(run, T.StructType([*frame.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields[:-1], T.StructField(result, T.DoubleType())]))

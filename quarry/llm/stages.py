@@ -11,25 +11,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarry.llm import bpe, decontam, langid, linededup, minhash
-from quarry.llm.blocks import bound_batches
+from quarry.llm.blocks import bound_batches, free
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the language classifier rejects: no letters, or far from all centroids."""
     bound_batches(spark)
-    model = langid.fit(langid.training_rows(docs))
-    return langid.classify(docs, model).where(~F.col("langid.rejected")).select(*_own(docs))
+    model, told = langid.fit(langid.training_rows(docs)), free(docs.columns, "langid")
+    return langid.classify(docs, model, result=told).where(~F.col(f"{told}.rejected")).select(*_own(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete aligned blocks from later documents; a document of which nothing is left goes. n_chars follows the text."""
     bound_batches(spark)
-    done = linededup.dedup(docs)
-    emptied = (F.col("line_dedup.removed_lines") > 0) & ~F.col("text").rlike(r"[^\s]")
+    told = free(docs.columns, "line_dedup")
+    done, removed = linededup.dedup(docs, result=told), F.col(f"{told}.removed_lines")
+    emptied = (removed > 0) & ~F.col("text").rlike(r"[^\s]")
     kept = done.where(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col("line_dedup.removed_lines") > 0, length).otherwise(F.col("n_chars")))
+        kept = kept.withColumn("n_chars", F.when(removed > 0, length).otherwise(F.col("n_chars")))
     return kept.select(*_own(docs))
 
 
@@ -40,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     after all others. Of rows with the same doc_id and text one stays.
     """
     bound_batches(spark)
-    row = _free(docs, "row")
+    row = free(docs.columns, "row")
     named = docs.select("*", F.xxhash64("doc_id", "text").alias(row))
     found = minhash.near_duplicates(named.select(row, "text"), id_col=row).select(F.col("doc_id").alias(row), "component_id").distinct()
     ids = named.select(row, "doc_id").distinct()
@@ -53,7 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window of a benchmark item. Each row is judged by its own text, whatever its doc_id."""
     bound_batches(spark)
-    digest, gone = F.unhex(F.md5("text")), _free(docs, "found")
+    digest, gone = F.unhex(F.md5("text")), free(docs.columns, "found")
     index = decontam.written_index(docs.select(digest.alias("digest"), "text"), "digest")
     found = decontam.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = found.where("n_hit > 0").select(F.col("doc_id").alias(gone)).distinct()
@@ -67,12 +68,5 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
-def _free(docs: DataFrame, name: str) -> str:
-    """A column name that ``docs`` doesn't have."""
-    while name.lower() in (c.lower() for c in docs.columns):
-        name += "_"
-    return name
-
-
 def _own(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
