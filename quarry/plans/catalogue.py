@@ -25,6 +25,7 @@ from quarry.plans import fixture_profiles, pipeline
 from quarry.session import work_dir
 from quarry.sources import fixtures
 from quarry.sources.files import PathIndex, fetcher, listing
+from quarry.sources.outputs import OutputTable
 from quarry.sources.store import ResultStore
 from quarry.sources.tables import table
 
@@ -62,6 +63,33 @@ def _new_store(spark, name):
     return ResultStore(spark, work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}"))
 
 
+def _two_loads(spark, sf):
+    """An output table after a load without the German files, and a complete one without the English files, in which
+    French texts have changed and contents whose hash begins with 0 can't be extracted; and the second change set."""
+    def some_fail(requests):
+        out, bad = text_extractor(requests), F.col("sha1").startswith("0")
+        return out.withColumns({"outcome": F.when(bad, "parser_failure").otherwise(F.col("outcome")), "text": F.when(~bad, F.col("text"))})
+    lang, d = F.coalesce("lang", F.lit("")), table(spark, sf, "documents")
+    changed = d.withColumn("text", F.when(lang == "fr", F.concat("text", F.lit(" changed"))).otherwise(F.col("text")))
+    out, changes = OutputTable(spark, work_dir(spark, f"outputs-{uuid.uuid4().hex[:12]}"), most=1), None
+    for docs, extractor in ((d.where(lang != "de"), text_extractor), (changed.where(lang != "en"), some_fail)):
+        files = docs.select(F.col("doc_id").alias("file_id"), F.lit("text/plain").alias("mime"), F.lit(False).alias("has_native"), F.lit(None).cast("string").alias("native_text"),
+                            F.lit(None).cast(meta.FORMATTED).alias("native_meta"), F.coalesce("text", F.lit("")).alias("content"))
+        changes = out.apply(pipeline.generate(spark, files, pipeline.Settings(config=default_config(), now=FIXED_NOW, extractor=extractor)), complete=True)
+    return out, changes
+
+
+def q_output_changes(spark, sf):
+    """The change set of a second load."""
+    return _two_loads(spark, sf)[1].select(F.col("file_id").alias("doc_id"), "change", F.sha1("content").alias("content_sha1"))
+
+
+def q_output_table(spark, sf):
+    """The outputs after two loads."""
+    return _two_loads(spark, sf)[0].rows().select(F.col("file_id").alias("doc_id"), "sha1", F.sha1("content").alias("content_sha1"),
+                                                  F.size("display.collapsed").alias("n_collapsed"))
+
+
 # ---- content identity -------------------------------------------------------
 
 def q_content_key(spark, sf):

@@ -590,6 +590,12 @@ FROM n"""
     q["q_path_index_loads"] = """SELECT doc_id, sha1(coalesce(text, '') || CASE WHEN lang = 'fr' THEN ' changed' ELSE '' END) AS sha1,
   CASE WHEN lang = 'en' THEN 'index' ELSE 'computed' END AS sha1_source FROM documents"""
     q["q_files_search_content"] = f"""SELECT doc_id, sha1(coalesce(text, '')) AS sha1, 'solo' AS route, trim(coalesce(text, ''), {TRIM}) AS content FROM documents"""
+    loads = f"""WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS old, coalesce(text, '') || CASE WHEN lang = 'fr' THEN ' changed' ELSE '' END AS new FROM documents),
+l AS (SELECT *, lang <> 'de' AS was, lang <> 'en' AND sha1(new)[1] <> '0' AS there FROM d)"""
+    q["q_output_changes"] = loads + f""" SELECT doc_id, CASE WHEN NOT was THEN 'insert' WHEN there THEN 'update' ELSE 'remove' END AS change,
+  CASE WHEN there THEN sha1(trim(new, {TRIM})) END AS content_sha1 FROM l WHERE was <> there OR (was AND there AND old <> new)"""
+    q["q_output_table"] = loads + f""" SELECT doc_id, sha1(new) AS sha1, sha1(trim(new, {TRIM})) AS content_sha1, 4 AS n_collapsed FROM l WHERE there"""
     q["q_warm_store"] = q["q_search_content"]
     q["q_warm_metadata"] = q["q_generate_metadata"]
     q["q_extract_pages"] = f"SELECT page_id, sha1({body}) AS text_sha1, CASE WHEN {title} <> '' THEN {ws(dec(title))} END AS title FROM pages"
