@@ -19,7 +19,7 @@ from quarry.functions.text import append_metadata, trim_text
 from quarry.operators import content, merge, outcomes, routing, state
 from quarry.operators.extract import RetryingExtractor, by_mime, html_extractor, text_extractor
 from quarry.operators.profiles import DEFAULTS, ProfileConfig, default_config, match_profile, resolve_long, resolve_profiles, choose_label
-from quarry.operators.properties import RuleSet, map_properties, processed, register_formatter, register_processor
+from quarry.operators.properties import BUILTIN_RULES, RuleSet, map_properties, processed, register_formatter, register_processor
 from quarry.operators.responses import parse_responses
 from quarry.plans import fixture_profiles, pipeline
 from quarry.session import work_dir
@@ -296,20 +296,20 @@ def q_errors(spark, sf):
     return g.select(F.col("file_id").alias("doc_id"), "kind", "error_class", "error_part", "ignored")
 
 
-def _search_content_failures(spark, sf, routes):
+def _search_content_failures(spark, sf):
     g = pipeline.generate(spark, fixtures.files(spark, sf), _failures(spark, sf))
-    return g.where(routes).select(F.col("file_id").alias("doc_id"), "route", F.sha1("content").alias("content_sha1"),
+    return g.select(F.col("file_id").alias("doc_id"), "route", F.sha1("content").alias("content_sha1"),
                                   F.size("extracted_properties").alias("n_properties"))
 
 
 def q_search_content_failures(spark, sf):
-    """M2 when extraction fails: what is left of the search text, and whether metadata are stashed; all routes but wrapping."""
-    return _search_content_failures(spark, sf, "route <> 'wrapping'")
+    """M2 when extraction fails: what is left of the search text of all files, and whether metadata are stashed."""
+    return _search_content_failures(spark, sf)
 
 
 def q_search_content_failures_wrapping(spark, sf):
-    """The same for the files of route wrapping: native text merged with the metadata text."""
-    return _search_content_failures(spark, sf, "route = 'wrapping'")
+    """The files of route wrapping among them: native text merged with the metadata text."""
+    return _search_content_failures(spark, sf).where("route = 'wrapping'")
 
 
 def q_refresh(spark, sf):
@@ -438,6 +438,21 @@ def q_map_properties(spark, sf):
                     F.posexplode("m.values").alias("vpos", "value"))
 
 
+RULE_NAMES = [*(r[0] for r in BUILTIN_RULES), "Unknown:Name", "unknown <name>"]
+NAMES_PER_FILE = 12
+
+
+def q_builtin_rules(spark, sf):
+    """All built-in rules. The files' properties go round the names of all rules and two unknown ones; a value holds markup."""
+    names, file_id = F.array(*[F.lit(n) for n in RULE_NAMES]), F.col("doc_id")
+    at = lambda k: F.pmod(file_id * NAMES_PER_FILE + k, F.lit(len(RULE_NAMES))).cast("int")
+    props = F.transform(F.sequence(F.lit(0), F.lit(NAMES_PER_FILE - 1)), lambda k: F.struct(
+        k.alias("pos"), F.get(names, at(k)).alias("name"), F.array(F.concat(F.lit("a < "), F.coalesce("lang", F.lit("-")))).alias("values"), F.lit(False).alias("is_list")))
+    m = table(spark, sf, "documents").select("doc_id", F.explode(map_properties(props, RuleSet())).alias("m"))
+    return m.select("doc_id", F.col("m.pos").alias("pos"), F.col("m.name").alias("name"), F.col("m.visibility_tag").alias("visibility_tag"), F.col("m.id").alias("id"),
+                    F.posexplode("m.values").alias("vpos", "value"))
+
+
 def user_rules():
     """Two rule sets over all levels of precedence: exact, ``!``, built-in, ``*``; with formatters, arguments and discard."""
     register_formatter("stars", lambda tag, v: F.concat(F.lit("*"), tag, F.lit("* "), v))

@@ -596,6 +596,13 @@ l AS (SELECT *, lang <> 'de' AS was, lang <> 'en' AND sha1(new)[1] <> '0' AS the
     q["q_output_changes"] = loads + f""" SELECT doc_id, CASE WHEN NOT was THEN 'insert' WHEN there THEN 'update' ELSE 'remove' END AS change,
   CASE WHEN there THEN sha1(trim(new, {TRIM})) END AS content_sha1 FROM l WHERE was <> there OR (was AND there AND old <> new)"""
     q["q_output_table"] = loads + f""" SELECT doc_id, sha1(new) AS sha1, sha1(trim(new, {TRIM})) AS content_sha1, 4 AS n_collapsed FROM l WHERE there"""
+    q["q_search_content_failures"] = f"SELECT * FROM ({q['q_search_content_failures']}) UNION ALL SELECT * FROM ({q['q_search_content_failures_wrapping']})"
+    names = [*(r[0] for r in BUILTIN_RULES), "Unknown:Name", "unknown <name>"]
+    listed = ", ".join("'" + n.replace("'", "''") + "'" for n in names)
+    q["q_builtin_rules"] = W(f"""props AS (
+  SELECT doc_id AS file_id, k AS pos, ([{listed}])[CAST((doc_id * 12 + k) % {len(names)} AS INT) + 1] AS name, 0 AS vpos, 'a < ' || coalesce(lang, '-') AS value
+  FROM documents, range(12) AS r(k))""", RULES, mapped_cte()) + (
+        "SELECT file_id AS doc_id, CAST(pos AS BIGINT) AS pos, name, visibility_tag, id, CAST(vpos AS BIGINT) AS vpos, value FROM mapped")
     q["q_warm_store"] = q["q_search_content"]
     q["q_warm_metadata"] = q["q_generate_metadata"]
     q["q_extract_pages"] = f"SELECT page_id, sha1({body}) AS text_sha1, CASE WHEN {title} <> '' THEN {ws(dec(title))} END AS title FROM pages"

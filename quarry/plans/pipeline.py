@@ -46,6 +46,7 @@ class Settings:
     failure_before: _dt.datetime | None = None
     visible_fields: tuple = tuple(DEFAULT_VISIBLE_FIELDS)  # J7
     strict: bool = False                  # an error that isn't ignored ends the job
+    merge_requests: bool = True           # False: a hash needed for metadata and in full is asked for metadata first, then in full
 
 
 def prepare_files(spark: SparkSession, files: DataFrame, s: Settings) -> DataFrame:
@@ -161,6 +162,11 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
         in_rounds = getattr(s.extractor, "in_rounds", None)  # contents are fetched by each round for its own requests
         return in_rounds(t, fetch) if in_rounds else s.extractor(fetch(t))
 
+    if not s.merge_requests:
+        both = (F.col("action") == "extract_full") & F.col("wants_metadata") & (F.col("m_state") == "unknown")
+        # the full answer that follows replaces the metadata; failed metadata stay if it isn't given
+        first = _apply(e, extract(e.where(both), F.lit(False)), both)
+        e = first.checkpoint(eager=True)
     asked = F.col("action").startswith("extract")
     e = _apply(e, extract(e.where(asked), F.col("action") == "extract_full"), asked)
     if not getattr(s.extractor, "never_fails", False):

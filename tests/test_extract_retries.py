@@ -92,3 +92,25 @@ def test_in_the_pipeline_with_a_second_request_for_metadata(spark, sf):
         assert r.c_state != "fail" or r.action == "extract_metadata_fallback"
     asked = extractor.log().groupBy("sha1", "request_kind").agg(F.max("attempt").alias("n"), F.count("*").alias("rows")).collect()
     assert all(r.n == r.rows == len(CLASSES.get(r.sha1[0], "s")) for r in asked)
+
+
+def test_metadata_first_then_in_full(spark, sf):
+    """merge_requests=False: hashes that files need both ways are asked twice, and the results are the same."""
+    files = fixtures.files(spark, sf)
+    asked, entries = {}, {}
+    for merge in (True, False):
+        log = []
+
+        def watching(requests):
+            log.append(requests.select("sha1", "request_kind"))
+            return catalogue.text_extractor(requests)
+
+        watching.never_fails = True
+        s = pipeline.Settings(config=fixture_profiles.failure_config(), now=catalogue.FIXED_NOW, extractor=watching, merge_requests=merge)
+        e = pipeline.store_or_extract(spark, pipeline.prepare_files(spark, files, s).drop("content"), s, contents=files.select("file_id", "content"))
+        entries[merge] = sorted(map(str, e.drop("action").collect()))
+        asked[merge] = [{(r.sha1, r.request_kind) for r in x.collect()} for x in log]
+    assert entries[True] == entries[False]
+    first, then = asked[False]
+    assert [then] == asked[True] and first and {k for _, k in first} == {"metadata"}
+    assert {h for h, _ in first} <= {h for h, k in then if k == "full"}
