@@ -167,6 +167,51 @@ def register_formatter(name: str, fn: Callable[[Column, Column], Column]) -> Non
     FORMATTERS[name] = fn
 
 
+# Value formatters over whole Arrow batches: (format tags, values) -> formatted values, arrays of equal length.
+BATCH_FORMATTERS: dict[str, Callable] = {}
+
+
+def register_batch_formatter(name: str, fn: Callable) -> None:
+    """Register a formatter that gets the values of all properties of a batch as one Arrow array, with their format
+    tags as another, and returns an array of as many strings. It runs in Python workers and must not need this package."""
+    BATCH_FORMATTERS[name] = fn
+
+
+MAPPED = "array<struct<pos: int, name: string, values: array<string>, visibility_tag: string, id: string>>"
+
+
+def _in_batches(fn: Callable) -> Callable[[Column], Column]:
+    """Mapped properties with a field ``fmt`` (null: leave the values) to mapped properties: all values are laid end to
+    end, formatted at once, and cut again by the offsets they had."""
+    def run(props):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def lengths(x):
+            return pc.fill_null(pc.list_value_length(x), 0).to_numpy().astype(np.int64)
+
+        def listed(x, like):
+            ends = pa.array(np.concatenate([[0], np.cumsum(lengths(like))]), pa.int32())
+            return pa.ListArray.from_arrays(ends, x, mask=pc.is_null(like) if like.null_count else None)
+
+        if isinstance(props, pa.ChunkedArray):
+            props = props.combine_chunks()
+        flat = props.flatten()
+        told = dict(zip((f.name for f in flat.type), flat.flatten()))
+        values = told["values"].flatten()
+        tags = told["fmt"].take(pa.array(np.repeat(np.arange(len(flat)), lengths(told["values"]))))
+        wanted = pc.is_valid(tags)
+        done = fn(tags.filter(wanted), values.filter(wanted))
+        if len(done) != pc.sum(wanted).as_py() if len(wanted) else len(done):
+            raise ValueError("a formatter returns as many values as it gets")
+        told["values"] = listed(pc.replace_with_mask(values, wanted, done.cast(values.type)), told["values"])
+        names = ["pos", "name", "values", "visibility_tag", "id"]
+        return listed(pa.StructArray.from_arrays([told[n] for n in names], names=names), props)
+
+    return F.arrow_udf(run, MAPPED)
+
+
 class RuleSet:
     """Effective rule lookup (J3): user exact → user ``!`` → built-in exact →
     user ``*`` → plain. User rules: name → False (drop) | True (plain) | tag |
@@ -241,7 +286,8 @@ class RuleSet:
 
 def _mapped(p: Column, r: Column, rules: RuleSet) -> Column:
     """M9 / M10 for one property ``p`` under rule ``r`` (both field refs)."""
-    fmt = FORMATTERS[rules.formatter]
+    batch = rules.formatter in BATCH_FORMATTERS
+    fmt = FORMATTERS["identity" if batch else rules.formatter]
     tag = r["tag"]
     fmt_tag = F.coalesce(r["fmt"], tag)
     display = r["action"] == "display"
@@ -251,10 +297,12 @@ def _mapped(p: Column, r: Column, rules: RuleSet) -> Column:
         F.when(display, F.transform(p["values"], lambda v: fmt(fmt_tag, v)))
          .otherwise(F.transform(p["values"], lambda v: escape_html(v))).alias("values"),
         ascii_lower(F.when(display, tag).otherwise(p["name"])).alias("visibility_tag"),
-        F.concat(F.lit(meta.ID_PREFIX), F.when(display, ascii_lower(tag)).otherwise(p["name"])).alias("id"))
+        F.concat(F.lit(meta.ID_PREFIX), F.when(display, ascii_lower(tag)).otherwise(p["name"])).alias("id"),
+        *([F.when(display, fmt_tag).alias("fmt")] if batch else []))
     for i, (fn, args) in enumerate(rules.named):
         done = fn(p["name"], p["values"], *args)
-        done = F.when(done.isNotNull(), F.struct(p["pos"].alias("pos"), *[done[c].alias(c) for c in ("name", "values", "visibility_tag", "id")]))
+        done = F.when(done.isNotNull(), F.struct(p["pos"].alias("pos"), *[done[c].alias(c) for c in ("name", "values", "visibility_tag", "id")],
+                                                     *([F.lit(None).cast("string").alias("fmt")] if batch else [])))
         own = F.when(r["action"] == f"named:{i}", done).otherwise(own)
     return own
 
@@ -266,4 +314,5 @@ def map_properties(props: Column, rules: RuleSet) -> Column:
     with_rule = F.transform(props, lambda p: F.struct(p.alias("p"), rules.lookup(p["name"]).alias("r")))
     kept = F.filter(with_rule, lambda x: x["r"]["action"] != "drop")
     mapped = F.transform(kept, lambda x: _mapped(x["p"], x["r"], rules))
-    return F.array_compact(mapped) if rules.named else mapped
+    mapped = F.array_compact(mapped) if rules.named else mapped
+    return _in_batches(BATCH_FORMATTERS[rules.formatter])(mapped) if rules.formatter in BATCH_FORMATTERS else mapped

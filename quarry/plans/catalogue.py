@@ -19,7 +19,7 @@ from quarry.functions.text import append_metadata, trim_text
 from quarry.operators import content, merge, outcomes, routing, state
 from quarry.operators.extract import RetryingExtractor, by_mime, html_extractor, text_extractor
 from quarry.operators.profiles import DEFAULTS, ProfileConfig, default_config, match_profile, resolve_long, resolve_profiles, choose_label
-from quarry.operators.properties import BUILTIN_RULES, RuleSet, map_properties, processed, register_formatter, register_processor
+from quarry.operators.properties import BUILTIN_RULES, RuleSet, map_properties, processed, register_batch_formatter, register_formatter, register_processor
 from quarry.operators.responses import parse_responses
 from quarry.plans import fixture_profiles, pipeline
 from quarry.session import work_dir
@@ -453,14 +453,26 @@ def q_builtin_rules(spark, sf):
                     F.posexplode("m.values").alias("vpos", "value"))
 
 
+def stars_of_batches():
+    """The formatter ``stars`` over Arrow arrays."""
+    def stars(tags, values):
+        import pyarrow.compute as pc
+        return pc.binary_join_element_wise("*", tags, "* ", values, "")
+
+    return stars
+
+
 def user_rules():
-    """Two rule sets over all levels of precedence: exact, ``!``, built-in, ``*``; with formatters, arguments and discard."""
+    """Rule sets over all levels of precedence: exact, ``!``, built-in, ``*``; with formatters, arguments and discard.
+    One formatter comes as a Column and as a function of Arrow batches."""
     register_formatter("stars", lambda tag, v: F.concat(F.lit("*"), tag, F.lit("* "), v))
+    register_batch_formatter("stars_arrow", stars_of_batches())
     register_processor("wrap", lambda name, values, a, b: processed(
         F.upper(name), F.transform(values, lambda v: F.concat(F.lit(a), v, F.lit(b))), F.lit("Note")))
     register_processor("long_only", lambda name, values, n: F.when(F.length(values[0]) > n, processed(name, values, name)))
-    return {"star": RuleSet({"dc:language": ("Lang<uage>", "Tongue"), "dc:source": False, "meta:keyword": True, "Custom:Note": {"formatter": "wrap", "args": ["[", "]"]},
-                             "meta:character-count": {"formatter": "long_only", "args": [3]}, "*": False}, formatter="stars", labels={"exif-artist": "Künstler"}),
+    star = {"dc:language": ("Lang<uage>", "Tongue"), "dc:source": False, "meta:keyword": True, "Custom:Note": {"formatter": "wrap", "args": ["[", "]"]},
+            "meta:character-count": {"formatter": "long_only", "args": [3]}, "*": False}
+    return {"star": RuleSet(star, formatter="stars", labels={"exif-artist": "Künstler"}), "star_arrow": RuleSet(star, formatter="stars_arrow", labels={"exif-artist": "Künstler"}),
             "bang": RuleSet({"dc:language": True, "!": "Bang"})}
 
 

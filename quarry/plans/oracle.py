@@ -603,6 +603,7 @@ l AS (SELECT *, lang <> 'de' AS was, lang <> 'en' AND sha1(new)[1] <> '0' AS the
   SELECT doc_id AS file_id, k AS pos, ([{listed}])[CAST((doc_id * 12 + k) % {len(names)} AS INT) + 1] AS name, 0 AS vpos, 'a < ' || coalesce(lang, '-') AS value
   FROM documents, range(12) AS r(k))""", RULES, mapped_cte()) + (
         "SELECT file_id AS doc_id, CAST(pos AS BIGINT) AS pos, name, visibility_tag, id, CAST(vpos AS BIGINT) AS vpos, value FROM mapped")
+    q["q_user_rules"] = f"WITH u AS ({q['q_user_rules']}) SELECT * FROM u UNION ALL SELECT * REPLACE ('star_arrow' AS rules) FROM u WHERE rules = 'star'"
     q["q_warm_store"] = q["q_search_content"]
     q["q_warm_metadata"] = q["q_generate_metadata"]
     q["q_extract_pages"] = f"SELECT page_id, sha1({body}) AS text_sha1, CASE WHEN {title} <> '' THEN {ws(dec(title))} END AS title FROM pages"

@@ -1,5 +1,7 @@
 """Profile assembly and property mapping cases."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quarry.operators.profiles import DEFAULTS, ProfileConfig, resolve_profiles
@@ -53,3 +55,25 @@ def test_parse_responses(spark):
         ("n", ["2"], False), ("t", ["true"], False), ("s", ["[1]"], False), ("e", [None], False)]
     assert got[4].properties == [] and got[4].text == ""
     assert not got[6].parsed_ok and not got[7].parsed_ok
+
+
+def test_batch_formatter_is_the_column_form(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators import properties as P
+
+    def upper(tags, values):
+        import pyarrow.compute as pc
+        return pc.binary_join_element_wise(tags, pc.utf8_upper(values), ":")
+
+    P.register_batch_formatter("test_upper_arrow", upper)
+    P.register_formatter("test_upper", lambda tag, v: F.concat(tag, F.lit(":"), F.upper(v)))
+    P.register_batch_formatter("test_short", lambda tags, values: values[:1])
+    kind = "array<struct<pos: int, name: string, values: array<string>, is_list: boolean>>"
+    rows = [(1, [(0, "a", ["x", "y", None], True), (1, "b", [], True), (2, "c", ["<z>"], False)]), (2, []), (3, None), (4, [(0, "drop", ["q"], False)]), (5, [(0, "a", ["é"], False)])]
+    df = spark.createDataFrame(rows, f"id int, p {kind}")
+    user = {"a": ("Tag", "F"), "b": "B", "drop": False}
+    both = [df.select("id", P.map_properties(F.col("p"), P.RuleSet(user, formatter=f)).alias("m")).orderBy("id").collect() for f in ("test_upper", "test_upper_arrow")]
+    assert both[0] == both[1] and both[0][0].m[0]["values"] == ["F:X", "F:Y", None]
+    with pytest.raises(Exception, match="as many values"):
+        df.select("id", P.map_properties(F.col("p"), P.RuleSet(user, formatter="test_short")).alias("m")).orderBy("id").collect()
