@@ -108,7 +108,7 @@ def ordered_turns(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     rows = df.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), text(role_col).alias("role"), text(text_col).alias("text"),
                      F.lit(1).cast("long").alias("pos")).where("conv_id is not null")
     ranked = running(rows, "conv_id", [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")],
-                     [F.col("turn").asc_nulls_first(), F.col("role"), F.substring("text", 1, 32)], ["pos"], "add")
+                     [F.col("turn").asc_nulls_first(), F.substring(F.concat("role", F.lit("\0"), F.substring("text", 1, 64)), 1, 64)], ["pos"], "add")
     digest = F.unhex(F.md5(F.concat(F.octet_length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text"))))
     return ranked.select("conv_id", "pos", digest.alias("digest"), F.octet_length("text").cast("long").alias("n_bytes"))
 
