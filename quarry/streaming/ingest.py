@@ -125,7 +125,7 @@ def fold_outcome_stream(spark: SparkSession, log_stream: DataFrame, state_root:
     kept = OutcomeState(spark, state_root, **settings)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        kept.add(df.select(*LOG_SCHEMA.names), token=str(batch_id))
+        kept.add(df.select(*LOG_SCHEMA.names), token=f"{checkpoint}#{batch_id}")  # batch numbers begin anew with another checkpoint
 
     (log_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
