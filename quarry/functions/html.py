@@ -10,17 +10,38 @@ from pyspark.sql import Column, functions as F
 
 # ---- fixed values ----
 # Entities decoded after tag removal (``&amp;`` last, so ``&amp;lt;``
-# stays ``&lt;``).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+# stays ``&lt;``); a no-break space counts as a space.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+            ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&bdquo;", "„"),
+            ("&hellip;", "…"), ("&bull;", "•"), ("&middot;", "·"), ("&laquo;", "«"), ("&raquo;", "»"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
+            ("&euro;", "€"), ("&pound;", "£"), ("&cent;", "¢"), ("&sect;", "§"), ("&deg;", "°"), ("&times;", "×"),
+            ("&auml;", "ä"), ("&ouml;", "ö"), ("&uuml;", "ü"), ("&Auml;", "Ä"), ("&Ouml;", "Ö"), ("&Uuml;", "Ü"), ("&szlig;", "ß"),
+            ("&eacute;", "é"), ("&egrave;", "è"), ("&agrave;", "à"), ("&aacute;", "á"), ("&iacute;", "í"), ("&oacute;", "ó"), ("&uacute;", "ú"),
+            ("&ccedil;", "ç"), ("&ntilde;", "ñ"), ("&amp;", "&")]
 # ---- end of fixed values ----
 WS = "[ \\t\\n\\r\\f]+"
+NUMBER = "^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"  # behind &#
+
+
+def _numeric(c: Column) -> Column:
+    """``&#8217;`` and ``&#x2019;``; a number that is no character becomes U+FFFD, an ampersand ``&amp;`` (decoded last)."""
+    def one(p: Column) -> Column:
+        m = F.regexp_extract(p, NUMBER, 1)
+        code = F.when(F.lower(m).startswith("x"), F.conv(F.substr(m, F.lit(2)), 16, 10).cast("long")).otherwise(m.try_cast("long"))
+        good = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = (F.when(code == 38, "&amp;").when(code == 160, " ")
+                .when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+        return F.when(m == "", F.concat(F.lit("&#"), p)).otherwise(F.concat(char, F.substr(p, F.length(m) + 2)))
+    pieces = F.split(c, "&#")
+    return F.when(F.contains(c, F.lit("&#")), F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")).otherwise(c)
 
 
 def decode_entities(c: Column) -> Column:
-    for a, b in ENTITIES:
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    told = c
+    for a, b in ENTITIES[:-1]:
+        told = F.replace(told, F.lit(a), F.lit(b))
+    told = F.replace(_numeric(told), F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))
+    return F.when(F.contains(c, F.lit("&")), told).otherwise(c)
 
 
 def collapse_ws(c: Column) -> Column:
@@ -43,11 +64,11 @@ def charset(html: Column) -> Column:
 
 
 def body_text(html: Column) -> Column:
-    """Visible text: drop comments, scripts, styles, the head, then tags;
-    decode entities; collapse white space."""
-    t = F.regexp_replace(html, "(?s)<!--.*?-->", " ")
-    t = F.regexp_replace(t, "(?is)<script[^>]*>.*?</script>", " ")
-    t = F.regexp_replace(t, "(?is)<style[^>]*>.*?</style>", " ")
+    """Visible text: drop comments, scripts, styles (up to the end where one isn't
+    closed), the head, then tags; decode entities; collapse white space."""
+    t = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", " ")
+    t = F.regexp_replace(t, r"(?is)<script[^>]*>.*?(?:</script>|\z)", " ")
+    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?(?:</style>|\z)", " ")
     t = F.regexp_replace(t, "(?is)<head[^>]*>.*?</head>", " ")
     t = F.regexp_replace(t, "<[^>]*>", " ")
     return collapse_ws(decode_entities(t))

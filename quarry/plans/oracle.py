@@ -9,6 +9,7 @@ from __future__ import annotations
 from quarry.operators.profiles import PARAMS, STRATEGY_WORDS
 from quarry.operators.properties import BUILTIN_RULES
 from quarry.functions.meta import STASH_TAG
+from quarry.functions.html import ENTITIES, NUMBER
 from quarry.plans import catalogue as C
 from quarry.plans.fixture_profiles import FAILURE_LABELS, FAILURE_PARAMS, LABELS, PARAMS as PROFILE_PARAMS, values_sql
 
@@ -549,18 +550,23 @@ WHERE r.has_nm AND n.name <> '""" + STASH_TAG + "'"
                                 display_rows_cte("fs", "mprop", "nat_r", "s.metadata_request <> 'none'")) + (
         "SELECT file_id AS doc_id, grp, pos, name, value FROM disp_rows")
     h = "html"
-    ents = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#039;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-
     def dec(x):
-        for a, b in ents:
-            x = f"replace({x}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
-        return x
+        named = x
+        for a, b in ENTITIES[:-1]:
+            named = f"replace({named}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
+        code = ("CASE WHEN lower(m[1]) = 'x' THEN list_reduce(list_prepend(0::BIGINT, list_transform(string_split(lower(m[2:]), ''), "
+                "lambda h: CAST(strpos('0123456789abcdef', h) - 1 AS BIGINT))), lambda u, w: u * 16 + w) ELSE TRY_CAST(m AS BIGINT) END")
+        char = (f"list_transform([{code}], lambda k: CASE WHEN k = 38 THEN '&amp;' WHEN k = 160 THEN ' ' "
+                "WHEN k > 0 AND k <= 1114111 AND NOT k BETWEEN 55296 AND 57343 THEN chr(CAST(k AS INT)) ELSE chr(65533) END)[1]")
+        one = (f"list_transform([regexp_extract(p, '{NUMBER}', 1)], lambda m: CASE WHEN m = '' THEN '&#' || p ELSE {char} || substr(p, length(m) + 2) END)[1]")
+        pieces = f"string_split({named}, '&#')"
+        return f"replace({pieces}[1] || list_reduce(list_prepend('', list_transform({pieces}[2:], lambda p: {one})), lambda u, w: u || w), '&amp;', '&')"
 
     def ws(x):
         return f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f]+', ' ', 'g'), ' ')"
-    body = f"regexp_replace({h}, '(?s)<!--.*?-->', ' ', 'g')"
-    body = f"regexp_replace({body}, '(?is)<script[^>]*>.*?</script>', ' ', 'g')"
-    body = f"regexp_replace({body}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
+    body = f"regexp_replace({h}, '(?s)<!--.*?(?:-->|\\z)', ' ', 'g')"
+    body = f"regexp_replace({body}, '(?is)<script[^>]*>.*?(?:</script>|\\z)', ' ', 'g')"
+    body = f"regexp_replace({body}, '(?is)<style[^>]*>.*?(?:</style>|\\z)', ' ', 'g')"
     body = f"regexp_replace({body}, '(?is)<head[^>]*>.*?</head>', ' ', 'g')"
     body = f"regexp_replace({body}, '<[^>]*>', ' ', 'g')"
     body = ws(dec(body))
