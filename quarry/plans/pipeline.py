@@ -93,9 +93,9 @@ def _apply(entries: DataFrame, outcomes: DataFrame, asked: Column) -> DataFrame:
     return j.withColumns(upd).drop("o_sha1", "o_kind", "o_outcome", "o_props", "o_text", "o_message", "o_ts")
 
 
-def _with_payload(entries: DataFrame, store: ResultStore, column: str, wanted: Column, shards: list) -> DataFrame:
+def _with_payload(entries: DataFrame, store: ResultStore, column: str, wanted: Column, shards: list, live: dict) -> DataFrame:
     """Fill ``column`` from the store where ``wanted`` (entries have the ``v`` of their stored record)."""
-    old = store.payload([column], shards).select(*[F.col(k).alias(f"p_{k}") for k in KEY], F.col("v").alias("p_v"), F.col(column).alias("p_value"))
+    old = store.payload([column], shards, live).select(*[F.col(k).alias(f"p_{k}") for k in KEY], F.col("v").alias("p_v"), F.col(column).alias("p_value"))
     j = entries.join(old, (F.col("store") == F.col("p_store")) & (F.col("sha1") == F.col("p_sha1")) & (F.col("v") == F.col("p_v")) & wanted, "left")
     return j.withColumn(column, F.coalesce(F.col(column), F.col("p_value"))).drop("p_store", "p_sha1", "p_v", "p_value")
 
@@ -109,6 +109,29 @@ def error_class(m_state: Column, c_state: Column, request: Column):
     return (F.when(asked & ~resolved, "service_failure").when(asked, err), F.when(asked & resolved, part))
 
 
+def _extracted(e: DataFrame, s: Settings, extract: Callable[[DataFrame, Column], DataFrame], asked: Column) -> DataFrame:
+    """Entries after the extractions they ask for (E2, E3), written with a reliable checkpoint if an answer can't be asked for again."""
+    if not s.merge_requests:
+        both = (F.col("action") == "extract_full") & F.col("wants_metadata") & (F.col("m_state") == "unknown")
+        # the full answer that follows replaces the metadata; failed metadata stay if it isn't given
+        e = _apply(e, extract(e.where(both), F.lit(False)), both).checkpoint(eager=True)
+    e = _apply(e, extract(e.where(asked), F.col("action") == "extract_full"), asked)
+    fails = not getattr(s.extractor, "never_fails", False)
+    if fails:
+        # Contents failed to parse and M is still unknown: ask for metadata only. The same after any full request
+        # for the content, if a file needs metadata alone (it would have asked on its own).
+        # The first answers are written, so that no lost executor asks again for them.
+        e = e.checkpoint(eager=True)
+        hashes = e.where(F.col("action") == "extract_full").select("sha1").distinct().withColumn("in_full", F.lit(True))
+        again = asked & F.col("in_full") & (F.col("m_state") == "unknown") & ((F.col("c_state") == "fail") | F.col("wants_metadata"))
+        e = e.join(hashes, "sha1", "left").withColumn(
+            "action", F.when(F.coalesce(again, F.lit(False)), "extract_metadata_fallback").otherwise(F.col("action"))).drop("in_full")
+        second = F.col("action") == "extract_metadata_fallback"
+        e = _apply(e, extract(e.where(second), F.lit(False)), second)
+    # In the shared folder: new answers survive lost executors, and lineage is cut here.
+    return e.checkpoint(eager=True) if s.store is not None or fails else e
+
+
 def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
                      contents: DataFrame | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """E2 + E3 over all requests of a batch; returns one entry per (store, sha1)
@@ -129,10 +152,12 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
             .select("store", "sha1", "best", "wants_metadata", "success_before", "failure_before",
                     routing.rank_to_request(-F.col("best.rank")).alias("request")))
     shards: list = []
+    live: dict = {}
     if s.store is not None:
+        live = s.store.runs.live()  # the commit below may merge runs; this batch goes on with those it has probed
         # at most 256 values; a small batch reads the store's partitions of its own keys only
         shards = [r[0] for r in reqs.where("store is not null").select(shard(F.col("sha1"))).distinct().collect()]
-        e = reqs.join(s.store.states(shards).drop("schema_version"), KEY, "left")
+        e = reqs.join(s.store.states(shards, live).drop("schema_version"), KEY, "left")
     else:
         e = reqs.withColumn("v", F.lit(None).cast("int"))
         for c in STATE:
@@ -162,40 +187,27 @@ def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
         in_rounds = getattr(s.extractor, "in_rounds", None)  # contents are fetched by each round for its own requests
         return in_rounds(t, fetch) if in_rounds else s.extractor(fetch(t))
 
-    if not s.merge_requests:
-        both = (F.col("action") == "extract_full") & F.col("wants_metadata") & (F.col("m_state") == "unknown")
-        # the full answer that follows replaces the metadata; failed metadata stay if it isn't given
-        first = _apply(e, extract(e.where(both), F.lit(False)), both)
-        e = first.checkpoint(eager=True)
     asked = F.col("action").startswith("extract")
-    e = _apply(e, extract(e.where(asked), F.col("action") == "extract_full"), asked)
-    if not getattr(s.extractor, "never_fails", False):
-        # Contents failed to parse and M is still unknown: ask for metadata only. The same after any full request
-        # for the content, if a file needs metadata alone (it would have asked on its own).
-        # The first answers are written, so that no lost executor asks again for them.
-        e = e.checkpoint(eager=True)
-        hashes = e.where(F.col("action") == "extract_full").select("sha1").distinct().withColumn("in_full", F.lit(True))
-        again = asked & F.col("in_full") & (F.col("m_state") == "unknown") & ((F.col("c_state") == "fail") | F.col("wants_metadata"))
-        e = e.join(hashes, "sha1", "left").withColumn(
-            "action", F.when(F.coalesce(again, F.lit(False)), "extract_metadata_fallback").otherwise(F.col("action"))).drop("in_full")
-        second = F.col("action") == "extract_metadata_fallback"
-        e = _apply(e, extract(e.where(second), F.lit(False)), second)
-    if s.store is not None or not getattr(s.extractor, "never_fails", False):
-        # Reliable checkpoint in the shared folder: new answers survive lost executors, and lineage is cut here.
+    ask = True
+    if s.store is not None:
+        # Keys and states are worked out once. If the stores answer everything, no content is read at all.
         e = e.checkpoint(eager=True)
+        ask = e.where(asked).limit(1).count() > 0
+    if ask:
+        e = _extracted(e, s, extract, asked)
     if s.store is not None:
         stored = F.col("v").isNotNull()
         old_m = stored & ~F.col("m_new") & (F.col("m_state") == "good")
         old_c = stored & ~F.col("c_new") & (F.col("c_state") == "good")
         # An entry whose metadata stay unknown isn't stored (the contents failure before it neither).
         changed = (F.col("m_new") | F.col("c_new")) & (F.col("m_state") != "unknown") & F.col("store").isNotNull()
-        if e.where(changed).limit(1).count() > 0:
-            ch = _with_payload(e.where(changed), s.store, "properties", old_m, shards)
-            ch = _with_payload(ch, s.store, "text", old_c, shards)
+        if ask and e.where(changed).limit(1).count() > 0:
+            ch = _with_payload(e.where(changed), s.store, "properties", old_m, shards, live)
+            ch = _with_payload(ch, s.store, "text", old_c, shards, live)
             s.store.commit(ch.withColumn("schema_version", F.lit(state.SCHEMA_VERSION)), strict=True)
-        e = _with_payload(e, s.store, "properties", old_m, shards)
+        e = _with_payload(e, s.store, "properties", old_m, shards, live)
         if e.where((F.col("request") == "full") & old_c).limit(1).count() > 0:  # texts are read only if a file needs one
-            e = _with_payload(e, s.store, "text", old_c & (F.col("request") == "full"), shards)
+            e = _with_payload(e, s.store, "text", old_c & (F.col("request") == "full"), shards, live)
     # The answer to the strongest request, and to either kind: files are judged by their own (not worked out again per file).
     told = [c.alias(name + kind) for kind, request in (("", F.col("request")), ("_full", F.lit("full")), ("_metadata", F.lit("metadata")))
             for name, c in zip(("error_class", "error_part"), error_class(F.col("m_state"), F.col("c_state"), request))]

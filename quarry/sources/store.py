@@ -67,24 +67,25 @@ class ResultStore:
     def version(self) -> int:
         return max(self._live(), default=0)
 
-    def _parts(self, columns: list, shards: list | None) -> tuple[DataFrame, DataFrame | None]:
+    def _parts(self, columns: list, shards: list | None, live: dict | None = None) -> tuple[DataFrame, DataFrame | None]:
         """Rows of the shards with one run, and of those with several (None if there are none)."""
-        live = {s: v for s, v in self.runs.live().items() if shards is None or s in set(shards)}
+        live = {s: v for s, v in (self.runs.live() if live is None else live).items() if shards is None or s in set(shards)}
         many = {s: v for s, v in live.items() if len(v) > 1}
         alone = self.runs.read(columns, shards, {s: v for s, v in live.items() if s not in many})
         return alone, self.runs.read(columns, shards, many) if many else None
 
-    def states(self, shards: list | None = None) -> DataFrame:
-        """S3, keys and states: ``(store, sha1, <state columns>, v)`` of the current entries."""
-        alone, many = self._parts(KEY + STATE, shards)
+    def states(self, shards: list | None = None, live: dict | None = None) -> DataFrame:
+        """S3, keys and states: ``(store, sha1, <state columns>, v)`` of the current entries, or of those of the runs ``live``."""
+        alone, many = self._parts(KEY + STATE, shards, live)
         alone = alone.select(*KEY, *STATE, "v")
         if many is None:
             return alone
         return alone.unionByName(many.groupBy(*KEY).agg(F.max_by(F.struct(*STATE, "v"), "v").alias("e")).select(*KEY, "e.*"))
 
-    def payload(self, columns: list, shards: list | None = None) -> DataFrame:
-        """``(store, sha1, v, <columns>)`` of every run that counts: join it with the ``v`` of :meth:`states`."""
-        return self.runs.read(KEY + list(columns), shards).drop("shard")
+    def payload(self, columns: list, shards: list | None = None, live: dict | None = None) -> DataFrame:
+        """``(store, sha1, v, <columns>)`` of every run: join it with the ``v`` of :meth:`states`, read with the same ``live``
+        (``runs.live()``) if a commit comes between, which may merge runs; those merged are kept up to the next merge."""
+        return self.runs.read(KEY + list(columns), shards, live).drop("shard")
 
     @staticmethod
     def _current(rows: DataFrame) -> DataFrame:

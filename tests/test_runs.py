@@ -178,3 +178,22 @@ def test_a_batch_writes_its_own_hashes_only(spark, tmp_path):
     assert kept.runs.read(runs={"05": [2]}).count() == 1
     r = kept.entries().where("sha1 = '05'").first()
     assert (r.m_state, r.c_state) == ("good", "fail")
+
+
+def test_hits_keep_their_texts_when_the_commit_merges_runs(spark, sf, tmp_path):
+    """A batch with stored and new contents whose own commit merges the runs that hold the stored ones."""
+    from quarry.operators.profiles import DEFAULTS, ProfileConfig
+    from quarry.plans import pipeline
+    from quarry.sources import fixtures
+
+    config = ProfileConfig.from_dict({"*": {**DEFAULTS, "cache_file_backend": "main"}})
+    f = fixtures.files(spark, sf)
+    store = ResultStore(spark, str(tmp_path / "s"), most=1)
+    told = lambda df: sorted((r.file_id, r.route, r.content, str(r.extracted_properties)) for r in df.collect())
+    expected = told(pipeline.generate(spark, f, pipeline.Settings(config=config, now=dt.datetime(2025, 1, 1))))
+    for files in (f.where("lang = 'en'"), f.where("lang in ('en', 'fr')"), f, f):
+        got = pipeline.generate(spark, files, pipeline.Settings(config=config, now=dt.datetime(2025, 1, 1), store=store))
+        got = told(got)
+        assert all(r in expected for r in got)
+    assert got == expected
+    assert any(m and m["since"] for m in store.runs.folders().values())
