@@ -114,7 +114,8 @@ def resolve_layers(near: DataFrame, deep: DataFrame, m_payload=(), c_payload=())
 
 def properties_json(props: Column) -> Column:
     """Ordered properties as a JSON object: one value as itself, a list as an array."""
-    inner = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    # what stands between the brackets of a JSON array; the lambda is a name for it, so that a long text is written once
+    inner = lambda c: F.transform(F.array(F.to_json(F.array(c))), lambda j: F.substring(j, F.lit(2), F.length(j) - 2))[0]
     item = lambda p: F.concat(inner(p["name"]), F.lit(":"), F.when(
         p["is_list"], F.to_json(p["values"], {"ignoreNullFields": "false"})).otherwise(F.coalesce(inner(p["values"][0]), F.lit("null"))))
     return F.concat(F.lit("{"), F.array_join(F.transform(props, item), ","), F.lit("}"))

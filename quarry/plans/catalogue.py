@@ -404,7 +404,8 @@ def q_unstash(spark, sf):
         one = merge.unstash(p.withColumn("kept", c), "kept", "found").select("file_id", F.lit(form).alias("form"), "found")
         out = one if out is None else out.unionByName(one)
     # the text key is no property, so parsing a stash drops it
-    e = out.select("file_id", "form", F.explode("found").alias("p")).where(F.col("p.name") != meta.CONTENT_KEY)
+    # explode_outer as in q_parse_properties: of a plain explode Catalyst makes a filter that writes and parses the stash a second time
+    e = out.select("file_id", "form", F.explode_outer("found").alias("p")).where(F.col("p.name") != meta.CONTENT_KEY)
     return e.select(F.col("file_id").alias("doc_id"), "form", F.col("p.name").alias("name"), F.col("p.is_list").alias("is_list"),
                     F.posexplode("p.values").alias("vpos", "value"))
 
