@@ -574,8 +574,10 @@ def q_html_extract(spark, sf):
 def q_ingest_stream(spark, sf):
     """The documents come in three batches; copies of a content come in different ones."""
     from quarry.streaming.ingest import ingest_documents_stream
-    folder = fixtures.arriving(table(spark, sf, "documents"), "doc_id", work_dir(spark, f"arriving-{uuid.uuid4().hex[:12]}"), 3)
-    return ingest_documents_stream(spark, sf, _cfg(), now=FIXED_NOW, source=folder)
+    base, out = work_dir(spark, f"ingest-{uuid.uuid4().hex[:12]}"), None
+    for folder in fixtures.arriving(table(spark, sf, "documents"), "doc_id", base + "/arriving", 3):
+        out = ingest_documents_stream(spark, sf, _cfg(), now=FIXED_NOW, source=folder, base=base, files_per_batch=None)
+    return out
 
 
 def q_outcome_stream(spark, sf):
@@ -584,10 +586,11 @@ def q_outcome_stream(spark, sf):
     from quarry.streaming.ingest import fold_outcome_stream
     base = work_dir(spark, f"outcomes-{uuid.uuid4().hex[:12]}")
     events = table(spark, sf, "events")
-    folder = fixtures.arriving(events, "event_id", base + "/arriving", 6, again=F.col("event_type").isin("error", "view"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema) + ", arrival int"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return _state_out(fold_outcome_stream(spark, fixtures.outcomes_from(stream), base + "/state", base + "/checkpoint", most=2).entries())
+    schema, kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema) + ", arrival int", None
+    for folder in fixtures.arriving(events, "event_id", base + "/arriving", 6, again=F.col("event_type").isin("error", "view")):
+        stream = spark.readStream.schema(schema).parquet(folder)  # all that has arrived is a batch
+        kept = fold_outcome_stream(spark, fixtures.outcomes_from(stream), base + "/state", base + "/checkpoint", most=2)
+    return _state_out(kept.entries())
 
 
 def _warm(spark, sf):

@@ -6,6 +6,8 @@ over one), so its size grows with the table it reads.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.functions import meta
@@ -128,15 +130,18 @@ def outcomes_from(ev: DataFrame) -> DataFrame:
          .otherwise("service_failure").alias("outcome"))
 
 
-def arriving(df: DataFrame, by: str, folder: str, batches: int, again: Column | None = None) -> str:
-    """Write all rows as ``batches`` files, one to arrive after the other, dealt by a hash of ``by``: so late rows come in
-    every batch. Rows where ``again`` holds are delivered a second time, with the next batch. Returns the folder."""
+def arriving(df: DataFrame, by: str, folder: str, batches: int, again: Column | None = None) -> Iterator[str]:
+    """Write all rows as ``batches`` batches of files, dealt by a hash of ``by``: so late rows come in every batch. Rows
+    where ``again`` holds are delivered a second time, with the next batch. The folder is told each time one has arrived.
+
+    Each task writes the rows of its own part of ``df`` as a file, so no task holds a batch and nothing is shuffled."""
     at = F.pmod(F.xxhash64(by), F.lit(batches)).cast("int")
-    rows = df.withColumn("arrival", at)
-    if again is not None:
-        rows = rows.unionByName(df.where(again).withColumn("arrival", (at + 1) % batches))
-    rows.repartition(batches, "arrival").write.partitionBy("arrival").parquet(folder)
-    return folder
+    for i in range(batches):
+        rows = df.where(at == i)
+        if again is not None:
+            rows = rows.unionByName(df.where(again & (at == (i - 1) % batches)))
+        rows.write.parquet(f"{folder}/arrival={i}")
+        yield folder
 
 
 def store_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,11 +51,17 @@ def output(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def ingest_documents_stream(spark: SparkSession, sf_dir: str, config: ProfileConfig,
-                            now: dt.datetime | None = None, source: str | None = None) -> DataFrame:
-    """T1 over the ``documents`` table, a file or a folder of part files, read as a file stream."""
-    base = work_dir(spark, f"ingest-{uuid.uuid4().hex[:12]}")
-    stream = (spark.readStream.schema(DOC_SCHEMA).option("maxFilesPerTrigger", 1)
-              .parquet(source or f"{sf_dir}/documents.parque[t]"))  # a pattern: the table may be one file or a folder of them
+                            now: dt.datetime | None = None, source: str | None = None, base: str | None = None,
+                            files_per_batch: int | None = 1) -> DataFrame:
+    """T1 over the ``documents`` table, a file or a folder of part files, read as a file stream.
+
+    ``base`` holds the checkpoint, the store and the outputs: a call with the ``base`` of an earlier one goes on with the
+    files that have arrived since. ``files_per_batch``: None takes all that have arrived as one batch."""
+    base = base or work_dir(spark, f"ingest-{uuid.uuid4().hex[:12]}")
+    reader = spark.readStream.schema(DOC_SCHEMA)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source or f"{sf_dir}/documents.parque[t]")  # a pattern: the table may be one file or a folder of them
     store = ResultStore(spark, base + "/store")
     ingest(spark, stream, fixtures.files_from, config, base + "/out", base + "/checkpoint", store=store, now=now)
     return output(spark, base + "/out")

@@ -1,6 +1,11 @@
 """What keeps tasks, times and writes in proportion to the input."""
 
+import glob
+
+from pyspark.sql import functions as F
+
 from quarry.plans import catalogue
+from quarry.sources import fixtures
 
 
 def test_a_stash_is_written_and_parsed_once(spark, sf):
@@ -8,3 +13,14 @@ def test_a_stash_is_written_and_parsed_once(spark, sf):
     plan = catalogue.q_unstash(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("get_json_object(") == 1
     assert plan.count("StructsToJson") + plan.count("to_json(") == 3  # a name, a list, a value
+
+
+def test_a_batch_arrives_in_files_of_several_tasks(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").repartition(4)
+    told = [sorted(glob.glob(f"{folder}/arrival=*")) for folder in fixtures.arriving(docs, "doc_id", str(tmp_path / "in"), 3, again=F.col("doc_id") < 10)]
+    assert [len(x) for x in told] == [1, 2, 3]  # one arrives after the other
+    assert all(len(glob.glob(f"{arrival}/part-*")) > 1 for arrival in told[-1])
+    got = spark.read.parquet(str(tmp_path / "in"))
+    assert sorted(r.doc_id for r in got.collect()) == sorted([r.doc_id for r in docs.collect()] + list(range(10)))
+    times = got.where("doc_id < 10").groupBy("doc_id").agg(F.sort_array(F.collect_list("arrival")).alias("a")).collect()
+    assert {tuple(r.a) for r in times} <= {(0, 1), (1, 2), (0, 2)}
