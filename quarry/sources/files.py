@@ -88,7 +88,7 @@ def listing(spark: SparkSession, folder: str, mime_by_ending: dict | None = None
         n = todo.count()
         if not n:
             break
-        todo = todo.repartition(-(-n // TASK_FOLDERS))
+        todo = todo.repartition(max(-(-n // TASK_FOLDERS), min(n, spark.sparkContext.defaultParallelism)))  # few folders may hold many files
     told = files_of(found.where("not is_folder").select("path", F.struct("length", "modified").alias("content")), mime_by_ending)
     return told.select("file_id", "path", "mime", "has_native", "native_text", "native_meta", "content.length", "content.modified")
 
@@ -112,32 +112,42 @@ def hashed(files: DataFrame, range_bytes: int = RANGE_BYTES, open_stream: Callab
                 out.append(digest.hexdigest())
             yield pd.DataFrame({"path": f["path"], "sha1": out})
 
-    size = files.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
-    tasks = max(1, -(-(size["bytes"] or 0) // TASK_BYTES), -(-size["n"] // TASK_FILES))
-    dealt = files.select("path").repartition(int(tasks), F.xxhash64("path"))
+    dealt = files.select("path").repartition(_tasks(files), F.xxhash64("path"))
     return dealt.mapInPandas(run, "path string, sha1 string")
 
 
-def fetcher(files: DataFrame, row_limit: int = ROW_LIMIT, open_stream: Callable | None = None) -> Callable[[DataFrame], DataFrame]:
+def _tasks(files: DataFrame) -> int:
+    """Tasks for reading ``files`` (length): their rows are small, so Spark would give very many of them to one."""
+    size = files.agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).first()
+    return int(max(1, -(-(size["bytes"] or 0) // TASK_BYTES), -(-size["n"] // TASK_FILES)))
+
+
+def fetcher(files: DataFrame, row_limit: int = ROW_LIMIT, open_stream: Callable | None = None,
+            frame_bytes: int = RANGE_BYTES) -> Callable[[DataFrame], DataFrame]:
     """Adds ``content`` to requests by their representative file ``rep``; null for a file above ``row_limit``,
-    which an extractor may open by its ``path``."""
+    which an extractor may open by its ``path``. The files are dealt over tasks by number and length, and a task
+    passes them on as frames of about ``frame_bytes``."""
     open_ = open_stream or stream_of()
     places = files.select(F.col("file_id").alias("rep"), "path", "length")
 
     def run(frames: Iterator) -> Iterator:
         for f in frames:
-            for at in range(len(f)):  # a row at a time: contents are large
-                one = f.iloc[at:at + 1].drop(columns="length")
+            rows, held, some = f.drop(columns="length"), 0, []
+            for at, (path, length) in enumerate(zip(f["path"], f["length"]), 1):
                 content = None
-                if f["length"].iloc[at] <= row_limit:
-                    with open_(one["path"].iloc[0]) as stream:
+                if length <= row_limit:
+                    with open_(path) as stream:
                         content = stream.read()
-                yield one.assign(content=[content])
+                    held += len(content)
+                some.append(content)
+                if held >= frame_bytes or at == len(f):  # contents can be large: a frame holds at most one beyond this
+                    yield rows.iloc[at - len(some):at].assign(content=some)
+                    held, some = 0, []
 
     def fetch(requests: DataFrame) -> DataFrame:
         j = requests.join(places, "rep")
         schema = T.StructType([f for f in j.schema.fields if f.name != "length"] + [T.StructField("content", T.BinaryType())])
-        return j.mapInPandas(run, schema)
+        return j.repartition(_tasks(j), F.xxhash64("rep")).mapInPandas(run, schema)
 
     return fetch
 

@@ -5,6 +5,7 @@ import glob
 from pyspark.sql import functions as F
 
 from quarry.plans import catalogue
+from quarry.sources import files as S
 from quarry.sources import fixtures
 
 
@@ -24,3 +25,16 @@ def test_a_batch_arrives_in_files_of_several_tasks(spark, sf, tmp_path):
     assert sorted(r.doc_id for r in got.collect()) == sorted([r.doc_id for r in docs.collect()] + list(range(10)))
     times = got.where("doc_id < 10").groupBy("doc_id").agg(F.sort_array(F.collect_list("arrival")).alias("a")).collect()
     assert {tuple(r.a) for r in times} <= {(0, 1), (1, 2), (0, 2)}
+
+
+def test_contents_are_fetched_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Requests are small, so without a number of tasks of their own all files of a load are read by one or two."""
+    for i in range(60):
+        (tmp_path / f"{i:02}.txt").write_bytes(b"" if i == 7 else str(i).encode() * (i + 1))
+    monkeypatch.setattr(S, "TASK_FILES", 10)
+    files = S.listing(spark, str(tmp_path)).checkpoint()
+    requests = files.select(F.col("file_id").alias("rep"), F.lit("full").alias("request_kind"))
+    got = S.fetcher(files, row_limit=100, frame_bytes=50)(requests).select("path", "content", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in got}) > 3
+    expected = {f"{i:02}.txt": b"" if i == 7 else None if i > 49 else str(i).encode() * (i + 1) for i in range(60)}
+    assert {r.path[-6:]: r.content if r.content is None else bytes(r.content) for r in got} == expected and len(got) == 60
