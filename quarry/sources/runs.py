@@ -26,6 +26,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+SHARDS = 256             # about, that a root has
+DEAL_BYTES = 64 << 20    # of rows that a task compares and writes
+
 
 class Runs:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, shard: Column, most: int = 4, ratio: float = 2.0):
@@ -92,15 +95,16 @@ class Runs:
 
     # ---- changes ----
 
-    def write(self, rows: DataFrame, token: str | None = None, since: dict | None = None, version: int | None = None) -> int:
-        """Rows as the next version; ``since``: shards for which it stands for all versions from that one on."""
+    def write(self, rows: DataFrame, token: str | None = None, since: dict | None = None, version: int | None = None, dealt: bool = False) -> int:
+        """Rows as the next version; ``since``: shards for which it stands for all versions from that one on;
+        ``dealt``: the rows come from :meth:`deal`, and aren't shuffled again."""
         v = version or max(self.folders(), default=0) + 1
         path = f"{self.root}/v={v}"
         if self._fs.exists(self._Path(path)):
             raise FileExistsError(f"{path}: another writer is at work")
         cols = [f.name for f in self.schema.fields]
-        (rows.select(*cols, self.shard.alias("shard")).hint("rebalance", "shard")
-         .write.mode("errorifexists").partitionBy("shard").parquet(path))
+        out = rows.select(*cols, "shard") if dealt else rows.select(*cols, self.shard.alias("shard")).hint("rebalance", "shard")
+        out.write.mode("errorifexists").partitionBy("shard").parquet(path)
         size = {}
         for st in self._fs.listStatus(self._Path(path)):
             name = st.getPath().getName()
@@ -116,6 +120,14 @@ class Runs:
             out.close()
         return v
 
+    def deal(self, rows: DataFrame, key: str, size: int) -> DataFrame:
+        """Rows dealt by ``shard``, with a column ``part``: a shard of a large load is shared by several tasks, but rows of a
+        ``key`` (of which the shard is worked out) stay together. So what is compared per shard, part and key and then
+        written is shuffled once. ``size``: about the bytes of the rows."""
+        tasks = int(max(1, -(-size // DEAL_BYTES)))
+        parts = F.pmod(F.xxhash64(key), F.lit(-(-tasks // SHARDS)))
+        return rows.withColumns({"shard": self.shard, "part": parts}).repartition(tasks, "shard", "part")
+
     def due(self, folders: dict | None = None) -> dict[str, list[int]]:
         """Shard to the versions that should be merged now."""
         folders = self.folders() if folders is None else folders
@@ -131,11 +143,12 @@ class Runs:
             out[s] = versions[at:]
         return out
 
-    def merge(self, runs: dict[str, list[int]], fold: Callable[[DataFrame], DataFrame]) -> int:
-        """Write the folded rows of the newest ``runs`` of some shards as one; the other shards stay as they are."""
+    def merge(self, runs: dict[str, list[int]], fold: Callable[[DataFrame], DataFrame], dealt: bool = False) -> int:
+        """Write the folded rows of the newest ``runs`` of some shards as one; the other shards stay as they are.
+        ``dealt``: ``fold`` deals the rows itself."""
         folders = self.folders()
         since = {s: min(folders[v]["since"].get(s, v) for v in versions) for s, versions in runs.items()}
-        v = self.write(fold(self.read(runs=runs)), since=since)
+        v = self.write(fold(self.read(runs=runs)), since=since, dealt=dealt)
         live = {w for versions in self.live({**folders, v: {"bytes": dict.fromkeys(since, 0), "since": since}}).values() for w in versions}
         before = {w for versions in self.live(folders).values() for w in versions}
         for old, mark in folders.items():

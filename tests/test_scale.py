@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from quarry.plans import catalogue
 from quarry.sources import files as S
-from quarry.sources import fixtures
+from quarry.sources import fixtures, runs
+from quarry.sources.outputs import OutputTable
+from quarry.sources.runs import Runs
+
+OUTPUT = ("file_id long, sha1 string, content string, display struct<visible: array<struct<id: string, name: string, value: string>>, "
+          "collapsed: array<struct<id: string, name: string, value: string>>>")
 
 
 def test_a_stash_is_written_and_parsed_once(spark, sf):
@@ -38,3 +43,27 @@ def test_contents_are_fetched_by_several_tasks(spark, tmp_path, monkeypatch):
     assert len({r.task for r in got}) > 3
     expected = {f"{i:02}.txt": b"" if i == 7 else None if i > 49 else str(i).encode() * (i + 1) for i in range(60)}
     assert {r.path[-6:]: r.content if r.content is None else bytes(r.content) for r in got} == expected and len(got) == 60
+
+
+def test_an_output_is_shuffled_once_to_be_compared_and_written(spark, tmp_path, monkeypatch):
+    plan, plans, write = lambda df: df._jdf.queryExecution().executedPlan().toString(), [], Runs.write
+    monkeypatch.setattr(Runs, "write", lambda self, rows, *a, **kw: (plans.append(plan(rows) + ("" if kw.get("dealt") else "Exchange rebalance")), write(self, rows, *a, **kw))[1])
+    out = OutputTable(spark, str(tmp_path / "out"), most=1)
+    load = lambda texts: spark.createDataFrame([(i, f"s{i}", t, None) for i, t in texts.items()], OUTPUT)
+    out.apply(load({i: f"text {i}" for i in range(300)}), complete=True)
+    second = {i: f"text {i}" + (" new" if i % 5 == 0 else "") for i in range(100, 320)} | {101: None, 400: None}
+    changes = out.apply(load(second), complete=True)
+    assert [p.count("Exchange ") for p in (plans[0], plans[-1])] == [1, 1] and len(plans) == 3  # the first load, and the merge after the second
+    assert "Exchange " not in plan(out.rows())  # one run a shard: nothing to compare
+    assert {r.file_id: r.content for r in out.rows().collect()} == {i: t for i, t in second.items() if t}
+    told = {r.file_id: r.change for r in changes.collect()}
+    assert told == {i: "remove" for i in [*range(100), 101]} | {i: "update" for i in range(100, 300, 5)} | {i: "insert" for i in range(300, 320)}
+
+
+def test_a_large_load_is_dealt_over_tasks_and_files_stay_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "SHARDS", 4)
+    rows = spark.range(1000).withColumnRenamed("id", "file_id")
+    rows = rows.unionByName(rows)
+    dealt = OutputTable(spark, str(tmp_path / "out")).runs.deal(rows, "file_id", 40 * runs.DEAL_BYTES).withColumn("task", F.spark_partition_id())
+    assert dealt.agg(F.max("part")).first()[0] == 9 and dealt.select("task").distinct().count() > 20
+    assert dealt.groupBy("file_id").agg(F.count_distinct("task").alias("n"), F.count("*").alias("rows")).where("n <> 1 or rows <> 2").count() == 0
