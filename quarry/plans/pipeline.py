@@ -123,13 +123,15 @@ def _extracted(e: DataFrame, s: Settings, extract: Callable[[DataFrame, Column],
         # The first answers are written, so that no lost executor asks again for them.
         e = e.checkpoint(eager=True)
         hashes = e.where(F.col("action") == "extract_full").select("sha1").distinct().withColumn("in_full", F.lit(True))
-        again = asked & F.col("in_full") & (F.col("m_state") == "unknown") & ((F.col("c_state") == "fail") | F.col("wants_metadata"))
-        e = e.join(hashes, "sha1", "left").withColumn(
-            "action", F.when(F.coalesce(again, F.lit(False)), "extract_metadata_fallback").otherwise(F.col("action"))).drop("in_full")
+        # Only entries that may ask again are compared and written again: they have no text, the others stay as they are.
+        may = F.coalesce(asked & (F.col("m_state") == "unknown") & ((F.col("c_state") == "fail") | F.col("wants_metadata")), F.lit(False))
+        some = e.where(may).join(hashes, "sha1", "left").withColumn(
+            "action", F.when(F.col("in_full"), "extract_metadata_fallback").otherwise(F.col("action"))).drop("in_full")
         second = F.col("action") == "extract_metadata_fallback"
-        e = _apply(e, extract(e.where(second), F.lit(False)), second)
+        some = _apply(some, extract(some.where(second), F.lit(False)), second)
+        return e.where(~may).unionByName(some.checkpoint(eager=True))
     # In the shared folder: new answers survive lost executors, and lineage is cut here.
-    return e.checkpoint(eager=True) if s.store is not None or fails else e
+    return e.checkpoint(eager=True) if s.store is not None else e
 
 
 def store_or_extract(spark: SparkSession, prepared: DataFrame, s: Settings,
