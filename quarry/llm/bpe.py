@@ -18,10 +18,11 @@ import base64
 import hashlib
 import heapq
 import os
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -134,13 +135,16 @@ class Replay:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids of each text)."""
-        find, flat, counts = self.pattern.findall, [], np.empty(len(texts), np.int64)
+        find, counts = self.pattern.findall, np.empty(len(texts), np.int64)
+        code: defaultdict[str, int] = defaultdict()  # numbers the pieces as they come, so that no list of all of them is held
+        code.default_factory = code.__len__
+        flat = array("i")
         for i, text in enumerate(texts):
             found = find(text)
             counts[i] = len(found)
-            flat += found
-        codes, distinct = pd.factorize(np.array(flat, dtype=object)) if flat else (np.empty(0, np.int64), [])
-        del flat
+            flat.extend(map(code.__getitem__, found))
+        codes, distinct = np.frombuffer(flat, np.int32) if flat else np.empty(0, np.int32), list(code)
+        del code
         distinct = [p.encode("utf-8") for p in distinct]
         whole = np.fromiter((self.ranks.get(p, -1) for p in distinct), np.int64, len(distinct))
         rest = np.flatnonzero(whole < 0)
@@ -231,16 +235,18 @@ def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
         digits = Decoder({f"{i} ".encode(): i for i in range(replay.width)})
         for b in slices(batches, text_col, ENCODE_BYTES):
             ids, n = replay.encode(text_column(b, text_col).to_pylist())
-            told, at, one = [], 0, np.ones(1, np.int64)
-            decoded = decoder.decode(ids, n)
-            for text, k in zip(decoded, n.tolist()):
-                own = hashlib.sha256()
-                for a in range(at, at + k, HASHED):  # a long text has long digits: portions of them at a time
-                    part = ids[a:min(a + HASHED, at + k)]
-                    written = memoryview(digits.decode(part, one * len(part))[0].as_buffer())
-                    own.update(written if a + len(part) < at + k else written[:-1])
-                at += k
-                told.append((own.hexdigest(), hashlib.sha256(text.as_buffer()).hexdigest()))
+            told, at, one, upto, row = [], 0, np.ones(1, np.int64), np.concatenate([[0], np.cumsum(n)]), 0
+            while row < len(n):  # some rows at a time: numpy holds 24 bytes for each byte decoded
+                to = max(row + 1, int(np.searchsorted(upto, upto[row] + HASHED, side="right")) - 1)
+                for text, k in zip(decoder.decode(ids[upto[row]:upto[to]], n[row:to]), n[row:to].tolist()):
+                    own = hashlib.sha256()
+                    for a in range(at, at + k, HASHED):  # a long text has long digits: portions of them at a time
+                        part = ids[a:min(a + HASHED, at + k)]
+                        written = memoryview(digits.decode(part, one * len(part))[0].as_buffer())
+                        own.update(written if a + len(part) < at + k else written[:-1])
+                    at += k
+                    told.append((own.hexdigest(), hashlib.sha256(text.as_buffer()).hexdigest()))
+                row = to
             yield pa.RecordBatch.from_arrays([b.column(id_col), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in zip(*told))], names=names)
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),

@@ -36,7 +36,8 @@ DIMS = 4096        # hashed n-grams
 CENTROIDS = 4      # per language
 SLACK = 0.3        # a text is rejected below this share of the least cosine in its centroid's sample
 SURE = 400         # n-grams from which on the whole limit holds; it is in proportion for shorter texts, whose cosine says less
-STEP = 2 << 20     # bytes of text turned into counts at once
+STEP = 1 << 19     # bytes of text turned into counts at once: numpy holds some 80 bytes for each
+ROWS = 128         # and texts: their counts are 8 bytes times DIMS each
 LETTER = regex.compile(r"\p{L}")
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -97,8 +98,8 @@ def has_letter(texts: list[str | None]) -> np.ndarray:
 
 def _pieces(batches, col):
     for b in slices(batches, col, STEP):
-        for at in range(0, b.num_rows, 512):
-            yield b.slice(at, 512)
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
 
 
 def _spherical(v: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
